@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import one_row, with_global_index
+from quarry.operators.util import checkpoint, one_row, with_global_index
 
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
@@ -74,14 +74,21 @@ def tf_weight(tf) -> F.Column:
     return F.lit(1.0) + F.ln(F.col(tf) if isinstance(tf, str) else tf)
 
 
-def tf_idf(dtm: DataFrame, n_docs: DataFrame, drop_zero: bool = False) -> DataFrame:
+def tf_idf(dtm: DataFrame, n_docs: DataFrame, drop_zero: bool = False,
+           materialize: bool = True) -> DataFrame:
     """AGG11: ``(doc_id, term, tf, idf, tfidf)``.
 
+    The DTM feeds both the document frequencies and the join, so by default
+    it is written once to the shared checkpoint folder (eager) instead of
+    tokenizing the corpus twice; the checkpoint also cuts lineage.
+
     The join is on ``term``; common terms are hot keys, so this relies on
     AQE skew-join splitting (on by default in :mod:`quarry.session`) rather
     than a forced broadcast of a table that grows with the vocabulary.
     ``drop_zero`` removes terms present in every document (idf = 0).
     """
+    if materialize:
+        dtm = checkpoint(dtm)
     w = idf(dtm, n_docs)
     if drop_zero:
         w = w.where(F.col("idf") > 0)
