@@ -22,9 +22,9 @@ def listings(spark: SparkSession, sf: str) -> DataFrame:
     li = t.lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_items"), F.min("l_shipdate").alias("first_ship"),
         F.max("l_shipdate").alias("last_ship"))
-    o = t.orders.join(li, t.orders.o_orderkey == li.l_orderkey, "left")
+    o = t.orders.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    o = o.join(c, o.o_custkey == c.c_custkey, "left")
+    o = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
     return o.select(
         F.col("o_orderkey").alias("id"),
         F.col("c_nationkey").alias("outcode_id"),
