@@ -110,3 +110,20 @@ def frobenius_norm(cells: DataFrame, value_col: str, group_cols: list[str] | Non
     """AGG22: ``sqrt(sum(v^2))`` over a long matrix, optionally per group."""
     agg = F.sqrt(F.sum(F.col(value_col) * F.col(value_col))).alias("frobenius")
     return cells.groupBy(*(group_cols or [])).agg(agg)
+
+
+def to_ml_vectors(cells: DataFrame, vocab: DataFrame, n_cols: int, id_col: str = "doc_id",
+                  key_col: str = "term", value_col: str = "tf") -> DataFrame:
+    """Long cells -> one ``pyspark.ml`` SparseVector per row id (the ML border).
+
+    ``vocab`` maps ``key_col`` to a dense ``term_index``. Each document's
+    cells are grouped (a group is one document) and converted once.
+    """
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    rows = (cells.join(vocab.select(key_col, "term_index"), key_col).groupBy(id_col)
+            .agg(F.sort_array(F.collect_list(F.struct("term_index", F.col(value_col).cast("double").alias("v")))).alias("e")))
+    schema = StructType([StructField(id_col, LongType()), StructField("features", VectorUDT())])
+    rdd = rows.rdd.map(lambda r: (int(r[0]), Vectors.sparse(n_cols, [int(e[0]) for e in r[1]], [e[1] for e in r[1]])))
+    return cells.sparkSession.createDataFrame(rdd, schema)

@@ -28,6 +28,7 @@ def listings(spark: SparkSession, sf: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("id"),
         F.col("c_nationkey").alias("outcode_id"),
+        F.col("o_custkey").alias("customer_id"),
         F.floor(F.col("o_totalprice") / 100).cast("int").alias("monthly_price"),
         F.to_date("o_orderdate").alias("date_advertised"),
         F.to_date("last_ship").alias("latest_date"),
@@ -45,7 +46,7 @@ def listings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-LISTINGS_SQL = """(select o.o_orderkey as id, c.c_nationkey as outcode_id,
+LISTINGS_SQL = """(select o.o_orderkey as id, c.c_nationkey as outcode_id, o.o_custkey as customer_id,
   cast(floor(o.o_totalprice / 100) as integer) as monthly_price,
   cast(o.o_orderdate as date) as date_advertised, cast(li.last_ship as date) as latest_date,
   o.o_orderstatus = 'F' as let_agreed, o.o_orderstatus = 'P' as removed,

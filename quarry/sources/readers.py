@@ -54,12 +54,14 @@ def read_stopwords(spark: SparkSession, path: str, min_len_exclusive: int = 2, s
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """SRC4: tab-separated ``term<TAB>score``, no header, no quoting; last line wins (q18).
 
-    ``monotonically_increasing_id`` grows with file offset (partition index,
-    then row), so it orders duplicates by line.
+    Line order is (file path, position in the file): a folder of lexicon
+    files reads as their concatenation in path order. Within one file split
+    ``monotonically_increasing_id`` follows the line order (a lexicon file
+    is far below one split).
     """
     raw = (spark.read.option("sep", "\t").option("quote", "").option("header", "false")
-           .option("encoding", "UTF-8").schema(LEXICON_SCHEMA).csv(path))
-    raw = raw.withColumn("line_no", F.monotonically_increasing_id())
+           .option("encoding", "UTF-8").option("recursiveFileLookup", "true").schema(LEXICON_SCHEMA).csv(path))
+    raw = raw.withColumn("line_no", F.struct(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")))
     return raw.groupBy("term").agg(F.max_by("valence", "line_no").alias("valence"))
 
 
