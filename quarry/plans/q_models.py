@@ -106,14 +106,17 @@ def gibbs_lda(spark, sf):
 
 @register("topic_report", "SNK5, TOP2, TOP3")
 def topic_report(spark, sf):
-    """Top 10 words per topic and top 3 topics per document, written as JSON."""
+    """Top 10 words per topic and top 3 topics per document of the fitted
+    topic model, written as JSON; returns the words part read back."""
     from quarry.session import scratch_path
-    from quarry.sources.sinks import write_topic_report
+    from quarry.sources.sinks import write_report
 
-    theta, beta, _ = _gibbs(spark, sf)
+    cv, vec, model = _lda(spark, sf)
+    words = TP.topic_top_words(model, cv.vocabulary, n=10)
+    docs = TP.doc_top_topics(TP.lda_project(model, vec), k=K_TOPICS, n=3)
     path = scratch_path(spark, "topic_report")
-    write_topic_report(beta, theta, path, n_words=10, n_topics=3)
-    return spark.read.json(f"{path}/words")
+    write_report({"words": words, "documents": docs}, path)
+    return spark.read.schema("topic int, rank int, term string, weight double").json(f"{path}/words")
 
 
 def _analysis_frame(spark, sf):
