@@ -40,6 +40,28 @@ def segment_records(records: DataFrame, record_col: str = "record", pattern: str
     return out.withColumn(names[-1], F.trim(T.remove_newlines(names[-1], glue_newlines)))
 
 
+def running_header(lines: DataFrame, group_col: str, order_col: str, is_header: F.Column,
+                   out: str = "seg_start", bucket_size: int = 4096) -> DataFrame:
+    """For each unit, the position of the last header at or before it in its group.
+
+    A two-level prefix maximum, so that no task sees a whole group: units are
+    cut into buckets of ``bucket_size`` consecutive positions; a running max
+    inside each (group, bucket) is a window over at most ``bucket_size`` rows;
+    each bucket's carry-in is a running max over the per-bucket maxima (one
+    row per bucket), joined back by (group, bucket).
+    """
+    t = lines.withColumn("_b", F.floor(F.col(order_col) / bucket_size)).withColumn(
+        "_h", F.when(is_header, F.col(order_col)))
+    w_in = (Window.partitionBy(group_col, "_b").orderBy(order_col)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    t = t.withColumn("_local", F.max("_h").over(w_in))
+    per_bucket = t.groupBy(group_col, "_b").agg(F.max("_h").alias("_bm"))
+    w_b = Window.partitionBy(group_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.withColumn("_carry", F.max("_bm").over(w_b)).select(group_col, "_b", "_carry")
+    t = t.join(carry, [group_col, "_b"], "left")
+    return t.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry"))).drop("_b", "_h", "_local", "_carry")
+
+
 def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_header: F.Column,
                       text_col: str = "text", trim: bool = True, replace_underscore: bool = True) -> DataFrame:
     """SEG2 / SEG3: split ordered units into segments that start at header units.
@@ -47,12 +69,12 @@ def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_heade
     Output: ``(group, seg_start, header, n_lines, body)`` where ``body`` is the
     newline-joined lines of the following non-header units (trimmed,
     empty lines dropped when ``trim``). Units before the first header are
-    dropped; the last segment is kept (q3).
+    dropped; the last segment is kept (q3). Segment ids come from
+    :func:`running_header` (no per-group window); each output row holds one
+    segment, which is the result's unit.
     """
-    w = (Window.partitionBy(group_col).orderBy(order_col)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     tagged = lines.select(group_col, order_col, text_col, is_header.alias("_is_header"))
-    tagged = tagged.withColumn("seg_start", F.max(F.when(F.col("_is_header"), F.col(order_col))).over(w))
+    tagged = running_header(tagged, group_col, order_col, F.col("_is_header"))
     tagged = tagged.where(F.col("seg_start").isNotNull())
     hdr_text = F.split(F.col(text_col), "\n").getItem(0)
     if replace_underscore:

@@ -118,7 +118,7 @@ def ingest_batch(spark, sf):
     return good.select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
-@register("ingest_stream", "ING3 (stream)")
+@register("ingest_stream", "ING3 (stream)", "select event_id, ts, user_id, event_type, value, props from events")
 def ingest_stream(spark, sf):
     """Two file drops of ``events`` drained by an availableNow stream."""
     from quarry.streaming.ingest import ingest_stream as run

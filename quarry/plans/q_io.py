@@ -9,6 +9,7 @@ from quarry.operators.ingest import new_keys_only
 from quarry.plans import corpus as C
 from quarry.plans import fixtures as FX
 from quarry.plans import sqlfrag as S
+from quarry.plans.q_similarity import GROUP_COSINE_SQL
 from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources import readers as R
@@ -61,7 +62,14 @@ def lexicon_load(spark, sf):
     return R.read_lexicon(spark, path)
 
 
-@register("write_results_csv", "SNK2, SRC6")
+_RESULTS_SQL = f"""(select 3 as analysis_num, 0 as max_singular_values,
+  max(case when group_a = 'de' and group_b = 'de' then mean_cos end) as AA,
+  max(case when group_a = 'de' and group_b = 'fr' then mean_cos end) as AB,
+  max(case when group_a = 'fr' and group_b = 'fr' then mean_cos end) as BB
+from ({GROUP_COSINE_SQL}) gc)"""
+
+
+@register("write_results_csv", "SNK2, SRC6", f"select * from {_RESULTS_SQL}")
 def write_results_csv(spark, sf):
     """Per-language mean cosine table written as CSV and read back with its schema."""
     from quarry.plans.q_similarity import doc_unit_rows
@@ -75,10 +83,14 @@ def write_results_csv(spark, sf):
                       F.col("de_de").alias("AA"), F.col("de_fr").alias("AB"), F.col("fr_fr").alias("BB"))
     path = scratch_path(spark, "results_csv")
     W.write_results_csv(res, path)
-    return R.read_results_csv(spark, path)
+    back = R.read_results_csv(spark, path)
+    return back.select("analysis_num", "max_singular_values", *[F.round(c, 6).alias(c) for c in ("AA", "AB", "BB")])
 
 
-@register("read_results_csv", "SRC6, FLT9, RSH1, SET2")
+@register("read_results_csv", "SRC6, FLT9, RSH1, SET2", f"""
+select analysis_num, max_singular_values, 'AA' as pair, AA as value, 'within A' as pair_name from {_RESULTS_SQL}
+union all select analysis_num, max_singular_values, 'AB', AB, 'between' from {_RESULTS_SQL}
+union all select analysis_num, max_singular_values, 'BB', BB, 'within B' from {_RESULTS_SQL}""")
 def read_results_csv(spark, sf):
     """Results CSV read back, one analysis selected, AA/AB/BB unpivoted with labels."""
     from quarry.operators.features import unpivot_pairs

@@ -180,7 +180,7 @@ def score_by_year(spark, sf):
     return out.withColumn("avg_score", F.round("avg_score", 6))
 
 
-@register("polarity_subjectivity", "AGG16", f"""
+@register("polarity_subjectivity", "AGG16, UDF3", f"""
 select doc_id, count(term) as n_tokens, count(case when polarity > 0 then 1 end) as n_pos,
        count(case when polarity < 0 then 1 end) as n_neg,
        round((count(case when polarity > 0 then 1 end) - count(case when polarity < 0 then 1 end)) /

@@ -62,3 +62,14 @@ def test_cards_and_title(spark):
     assert blocks[0].block_text == "Premium added today"
     assert pages.select(H.title("html")).first()[0] == "Nice & big flat"
     assert pages.select(H.counter_total(F.lit("1 of 12"))).first()[0] == 12
+
+
+def test_running_header_across_buckets(spark):
+    from quarry.operators.segment import running_header
+
+    rows = [(1, i, i in (0, 5, 17)) for i in range(40)] + [(2, i, i == 3) for i in range(10)]
+    df = spark.createDataFrame(rows, "g long, n long, h boolean")
+    got = {(r.g, r.n): r.seg_start for r in running_header(df, "g", "n", F.col("h"), bucket_size=4).collect()}
+    for (g, n), s in got.items():
+        heads = [i for (gg, i, h) in rows if gg == g and h and i <= n]
+        assert s == (max(heads) if heads else None)
