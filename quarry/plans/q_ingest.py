@@ -8,7 +8,7 @@ from quarry.functions import dates as D
 from quarry.functions import html as H
 from quarry.functions import text as T
 from quarry.operators import ingest as I
-from quarry.operators import lexicon as L
+from quarry.operators.pipeline import clean_tokens
 from quarry.plans import corpus as C
 from quarry.plans import sqlfrag as S
 from quarry.plans.listings import AS_OF, LISTINGS_SQL, listings
@@ -180,20 +180,6 @@ def first_seen_ids(spark, sf):
     return out.select(F.substring("link", 2, 1 << 20).alias("link_id"), "page_id", "pos")
 
 
-def clean_tokens(df, text_col: str = "text", stop=None, stem: bool = False, min_tokens: int = 12):
-    """ING6: tokenize, ASCII-fold and strip, drop stopwords and digit tokens, (stem), gate."""
-    toks = T.ascii_fold_tokens(T.word_tokens(text_col))
-    out = df.withColumn("tokens", toks)
-    if stop is not None:
-        out = L.stopword_remove(out, stop)
-    out = out.withColumn("tokens", T.drop_digit_tokens("tokens"))
-    if stem:
-        from quarry.functions.stemmer import stem_token_arrays
-
-        out = stem_token_arrays(out, "tokens")
-    return out.withColumn("tokens", T.min_length_gate("tokens", min_tokens))
-
-
 @register("clean_text_pipeline", "ING6, TXT7, TXT8, TXT10", f"""
 select doc_id, len(g) as n_tokens, array_to_string(g, ' ') as tokens_joined from (
   select doc_id, case when len(t) >= 12 then t end as g from (

@@ -16,7 +16,7 @@ from quarry.operators import topics as TP
 from quarry.operators.util import checkpoint, with_global_index
 from quarry.plans import corpus as C
 from quarry.plans.listings import listings
-from quarry.plans.q_ingest import clean_tokens
+from quarry.operators.pipeline import clean_tokens, speech_tokens
 from quarry.plans.registry import register
 from quarry.sources.tables import Tables
 
@@ -34,6 +34,14 @@ def _clean_stemmed(spark, sf):
     return clean_tokens(d, stop=C.stopwords(spark), stem=True)
 
 
+@register("speech_compat", "TXT1, TXT6, JON3, TXT9 (q1 option)")
+def speech_compat(spark, sf):
+    """Speech cleaning with the stemmed-stopword comparison of the old code (q1)."""
+    d = Tables(spark, sf).documents.select("doc_id", "text")
+    out = speech_tokens(d, stop=C.stopwords(spark), stopword_stage="before", stem_stopwords=True)
+    return out.select("doc_id", F.size("tokens").alias("n_tokens"), T.join_tokens("tokens").alias("tokens_joined"))
+
+
 @register("clean_text_stemmed", "ING6 (with TXT9)")
 def clean_text_stemmed(spark, sf):
     out = _clean_stemmed(spark, sf)

@@ -22,16 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_small_scan(df) if name in TEXT_TABLES else df
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+# A scan is spread only when it has at most this many splits: each split is
+# at most ``spark.sql.files.maxPartitionBytes``, so the extra shuffle moves a
+# few GB at most; bigger tables keep their scan parallelism as it is.
+SPREAD_MAX_SPLITS = 32
+
 
-    Only small inputs qualify (each split is at most
-    ``spark.sql.files.maxPartitionBytes``), so the extra shuffle is bounded;
-    a large table already has at least one split per core and is untouched.
-    """
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a small scan that yields fewer splits than the cluster has cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
-    return df.repartition(cores) if n < cores else df
+    return df.repartition(cores) if n < cores and n <= SPREAD_MAX_SPLITS else df
 
 
 class Tables:
