@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import bounded_broadcast
+from quarry.operators.util import bounded_broadcast, explode_nonempty
 
 _VOWELS = frozenset("aeiou")
 
@@ -157,7 +157,7 @@ def stem_token_arrays(df: DataFrame, tokens_col: str = "tokens", id_col: str = "
     ``max_broadcast_terms``; otherwise a shuffle join that AQE splits on hot
     terms), and regrouped per document.
     """
-    toks = df.select(id_col, F.posexplode(tokens_col).alias("pos", "term"))
+    toks = explode_nonempty(df, [id_col], tokens_col, "term", "pos")
     m = bounded_broadcast(stem_map(toks, "term"), max_broadcast_terms)
     stemmed = toks.join(m, "term").groupBy(id_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "stem"))), lambda s: s["stem"]).alias("_st"))

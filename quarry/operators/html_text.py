@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions import html as H
 from quarry.plans import fixtures as FX
+from quarry.operators.util import explode_nonempty
 
 
 def page_links(pages: DataFrame, pattern: str, id_col: str = "page_id") -> DataFrame:
     """HTM1: link ids (path without the leading '/') matching ``pattern``,
     distinct per page, with the position where each was first seen."""
-    ex = pages.select(id_col, F.posexplode(H.links("html")).alias("pos", "link"))
+    ex = explode_nonempty(pages, [id_col], H.links("html"), "link", "pos")
     ex = ex.where(F.col("link").rlike(pattern))
     return (ex.groupBy(id_col, "link").agg(F.min("pos").alias("first_pos"))
             .select(id_col, F.substring("link", 2, 1 << 20).alias("link_id"), "first_pos"))
@@ -26,7 +27,7 @@ def page_links(pages: DataFrame, pattern: str, id_col: str = "page_id") -> DataF
 def page_blocks(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """HTM2: one row per ``<p>`` block with a premium flag (bold lead),
     the block text and its word count."""
-    ex = pages.select(id_col, F.posexplode(H.paragraphs("html")).alias("block_no", "block"))
+    ex = explode_nonempty(pages, [id_col], H.paragraphs("html"), "block", "block_no")
     txt = H.html_text("block")
     return ex.select(id_col, "block_no", F.col("block").startswith("<b>").alias("is_premium"),
                      txt.alias("block_text"),

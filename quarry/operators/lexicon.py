@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.util import bounded_broadcast
+from quarry.operators.util import bounded_broadcast, explode_nonempty
 
 
 def lexicon_from_pairs(spark: SparkSession, pairs: list[tuple[str, int]]) -> DataFrame:
@@ -91,7 +91,7 @@ def stopword_remove(docs: DataFrame, stopwords: DataFrame, id_col: str = "doc_id
     words = [r[0] for r in stopwords.select("term").distinct().limit(INLINE_STOPWORDS + 1).collect()]
     if len(words) <= INLINE_STOPWORDS:
         return docs.withColumn(tokens_col, stopword_filter_inline(tokens_col, words))
-    toks = docs.select(id_col, F.posexplode(tokens_col).alias("pos", "term"))
+    toks = explode_nonempty(docs, [id_col], tokens_col, "term", "pos")
     kept = toks.join(stopwords.select("term").distinct(), "term", "left_anti")
     regrouped = kept.groupBy(id_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda s: s["term"]).alias("_kept"))

@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import checkpoint, one_row, with_global_index
+from quarry.operators.util import checkpoint, explode_nonempty, one_row, with_global_index
 
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
                   term_col: str = "term", with_pos: bool = False) -> DataFrame:
     """One row per token occurrence."""
     if with_pos:
-        return docs.select(id_col, F.posexplode(tokens_col).alias("pos", term_col))
-    return docs.select(id_col, F.explode(tokens_col).alias(term_col))
+        return explode_nonempty(docs, [id_col], tokens_col, term_col, "pos")
+    return explode_nonempty(docs, [id_col], tokens_col, term_col)
 
 
 def doc_term_matrix(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:

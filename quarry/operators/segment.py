@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.operators.util import explode_nonempty
 
 # The corpus delimiter and the header pattern of a record
 # that follows it ("<year>_<id>_<author>_***" then a newline, then the text).
@@ -80,8 +81,8 @@ def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_heade
     if replace_underscore:
         hdr_text = F.regexp_replace(hdr_text, "_", " ")
     headers = tagged.where("_is_header").select(group_col, "seg_start", F.trim(hdr_text).alias("header"))
-    body = (tagged.where(~F.col("_is_header"))
-            .select(group_col, "seg_start", order_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line")))
+    body = explode_nonempty(tagged.where(~F.col("_is_header")), [group_col, "seg_start", order_col],
+                            F.split(F.col(text_col), "\n"), "line", "pos")
     if trim:
         body = body.withColumn("line", F.trim("line")).where(F.col("line") != "")
     grouped = body.groupBy(group_col, "seg_start").agg(

@@ -9,6 +9,7 @@ from quarry.functions import html as H
 from quarry.functions import text as T
 from quarry.operators import ingest as I
 from quarry.operators.pipeline import clean_tokens
+from quarry.operators.util import explode_nonempty
 from quarry.plans import corpus as C
 from quarry.plans import sqlfrag as S
 from quarry.plans.listings import AS_OF, LISTINGS_SQL, listings
@@ -175,7 +176,7 @@ where regexp_full_match(link, '/[^/?#]+')
 group by link""")
 def first_seen_ids(spark, sf):
     p = Tables(spark, sf).pages
-    ex = p.select("page_id", F.posexplode(H.links("html")).alias("pos", "link")).where(F.col("link").rlike(r"^/[^/?#]+$"))
+    ex = explode_nonempty(p, ["page_id"], H.links("html"), "link", "pos").where(F.col("link").rlike(r"^/[^/?#]+$"))
     out = I.first_seen(ex, "link", ["page_id", "pos"])
     return out.select(F.substring("link", 2, 1 << 20).alias("link_id"), "page_id", "pos")
 

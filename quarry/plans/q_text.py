@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators import lexicon as L
 from quarry.operators.matrix import explode_terms
+from quarry.operators.util import explode_nonempty
 from quarry.plans import corpus as C
 from quarry.plans import sqlfrag as S
 from quarry.plans.registry import register
@@ -137,7 +138,7 @@ select source, word, n from (
   from (select source, unnest(tokens) as term from {S.DOC_TOKENS}) group by source, term)
 where rk = 4""")
 def kth_frequent_word(spark, sf, k: int = 4):
-    toks = C.doc_tokens(spark, sf).select("source", F.explode("tokens").alias("word"))
+    toks = explode_nonempty(C.doc_tokens(spark, sf), ["source"], "tokens", "word")
     counts = toks.groupBy("source", "word").agg(F.count(F.lit(1)).alias("n"))
     # rank <= k lets Spark insert a partial WindowGroupLimit before the shuffle
     w = Window.partitionBy("source").orderBy(F.desc("n"), "word")

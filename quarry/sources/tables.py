@@ -9,9 +9,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Tables whose rows carry long text: per-row work (regex tokenizing, HTML
-# parsing) dominates, so a scan must not run on fewer tasks than cores.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+# Tables whose rows carry long text, with their key: per-row work (regex
+# tokenizing, HTML parsing) dominates, so a scan must not run on fewer tasks
+# than cores.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df) if name in TEXT_TABLES else df
+    return spread_small_scan(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 # A scan is spread only when it has at most this many splits: each split is
@@ -28,11 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SPREAD_MAX_SPLITS = 32
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a small scan that yields fewer splits than the cluster has cores."""
+def spread_small_scan(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a small scan that yields fewer splits than the cluster has cores.
+
+    Hash-partitioned by the table key, so that later per-document
+    aggregations (``groupBy(doc_id, ...)``, windows by document) find their
+    distribution already satisfied and skip an exchange.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
-    return df.repartition(cores) if n < cores and n <= SPREAD_MAX_SPLITS else df
+    if n < cores and n <= SPREAD_MAX_SPLITS:
+        return df.repartition(cores, key) if key else df.repartition(cores)
+    return df
 
 
 class Tables:
