@@ -8,9 +8,10 @@ matrix B and the document-topic matrix T, so one iteration is:
 1. m = topic-term counts (``groupBy``), B ~ Dir(m + eta) drawn per term
    chunk (``applyInPandas``, one RNG per (seed, iteration, chunk)) and
    normalised by per-topic sums (K numbers);
-2. cells join B by term; per document (``applyInPandas`` grouped by
-   document, a group is one document's distinct terms) draw
-   T ~ Dir(n + alpha) and a topic per cell with p ~ T[k] * B[v, k];
+2. cells join B by term, are hash-partitioned by document and sorted; a
+   ``mapInPandas`` pass draws, vectorised over whole documents per Arrow
+   batch, T ~ Dir(n + alpha) per document and a topic per cell with
+   p ~ T[k] * B[v, k];
 3. checkpoint the new assignment (lineage cut, survives executor loss).
 
 Only K-sized scalars (norm checks) reach the driver.
@@ -104,28 +105,61 @@ def _draw_b(k: int, eta: float, seed: int, it: int):
 
 
 def _doc_step(k: int, alpha: float, seed: int, it: int):
-    def fn(pdf):
+    """Per-partition document step over rows sorted by (doc_id, term_index).
+
+    Whole documents are processed per Arrow batch, vectorised across
+    documents; the rows of the last document of a batch are carried into the
+    next batch, so a document split by the batch size is still handled as a
+    whole. RNG per (seed, iteration, document): the result does not depend
+    on partitioning or batching.
+    """
+
+    def step(pdf):
         import pandas as pd
 
-        doc = int(pdf["doc_id"].iloc[0])
-        rng = np.random.default_rng([seed, it, doc, 2])
-        pdf = pdf.sort_values("term_index")
+        docs = pdf["doc_id"].to_numpy()
         tf = pdf["tf"].to_numpy(dtype=float)
-        z = pdf["z"].to_numpy()
-        n = np.bincount(z, weights=tf, minlength=k)
-        t = rng.gamma(n + alpha)
-        t = t / t.sum()
+        z = pdf["z"].to_numpy().astype(np.int64)
         b = pdf[[f"b{j}" for j in range(k)]].to_numpy(dtype=float)
-        p = b * t[None, :]
+        starts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
+        ends = np.r_[starts[1:], len(docs)]
+        seg = np.repeat(np.arange(len(starts)), ends - starts)
+        n = np.zeros((len(starts), k))
+        np.add.at(n, (seg, z), tf)
+        t = np.empty_like(n)
+        u = np.empty(len(docs))
+        for i, (a, e) in enumerate(zip(starts, ends)):
+            rng = np.random.default_rng([seed, it, int(docs[a]), 2])
+            t[i] = rng.gamma(n[i] + alpha)
+            u[a:e] = rng.random(e - a)
+        t = t / t.sum(axis=1, keepdims=True)
+        p = b * t[seg]
         p = p / p.sum(axis=1, keepdims=True)
-        u = rng.random(len(pdf))
         znew = np.minimum((p.cumsum(axis=1) < u[:, None]).sum(axis=1), k - 1)
-        out = pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "term_index": pdf["term_index"].to_numpy(),
+        out = pd.DataFrame({"doc_id": docs, "term_index": pdf["term_index"].to_numpy(),
                             "tf": pdf["tf"].to_numpy(), "z": znew.astype("int32")})
         for j in range(k):
-            out[f"t{j}"] = t[j]
+            out[f"t{j}"] = t[seg, j]
         return out
 
+    def fn(batches):
+        import pandas as pd
+
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if len(pdf) == 0:
+                continue
+            last = pdf["doc_id"].iloc[-1]
+            tail = (pdf["doc_id"] == last).to_numpy()
+            carry = pdf[tail]
+            head = pdf[~tail]
+            if len(head):
+                yield step(head.reset_index(drop=True))
+        if carry is not None and len(carry):
+            yield step(carry.reset_index(drop=True))
+
     return fn
 
 
@@ -159,13 +193,12 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
         m = m.select("term_index", "chunk", *[F.col(str(j)).cast("double").alias(f"m{j}") for j in range(k)])
         g = m.groupBy("chunk").applyInPandas(_draw_b(k, eta, seed, it), b_schema)
         g = checkpoint(g)
-        sums = g.agg(*[F.sum(f"g{j}").alias(f"s{j}") for j in range(k)])
+        sums = g.agg(*[F.sum(f"g{j}").alias(f"s{j}") for j in range(k)])  # one row
         b = g.crossJoin(F.broadcast(sums)).select("term_index", *[(F.col(f"g{j}") / F.col(f"s{j}")).alias(f"b{j}") for j in range(k)])
         joined = state.select("doc_id", "term_index", "tf", "z").join(b, "term_index")
-        new = joined.groupBy("doc_id").applyInPandas(_doc_step(k, alpha, seed, it), d_schema)
-        new = checkpoint(new)
+        joined = joined.repartition("doc_id").sortWithinPartitions("doc_id", "term_index")
+        new = checkpoint(joined.mapInPandas(_doc_step(k, alpha, seed, it), d_schema))
         theta = new.groupBy("doc_id").agg(*[F.first(f"t{j}").alias(f"t{j}") for j in range(k)])
-        b = checkpoint(b)
         if b_prev is not None:
             pb = b_prev.select("term_index", *[F.col(f"b{j}").alias(f"p{j}") for j in range(k)])
             db = (b.join(pb, "term_index").select(sum((F.col(f"b{j}") - F.col(f"p{j}")) ** 2 for j in range(k)).alias("d"))

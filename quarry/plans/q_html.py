@@ -205,7 +205,13 @@ def parse_flexible_date(spark, sf):
 select o_orderkey, cast(o_orderdate as date) as add_date from orders
 where cast(o_orderdate as date) >= date '{AS_OF}' - 90 and cast(o_orderdate as date) < date '{AS_OF}'""")
 def days_ago_filter(spark, sf):
+    """Orders added in the 90 days before ``as_of``, today excluded.
+
+    The bounds are compared with the raw timestamp column (midnight dates),
+    so they reach the parquet scan as pushed filters (row-group skipping).
+    """
     o = Tables(spark, sf).orders
-    d = F.to_date("o_orderdate")
-    return o.where((d >= D.days_ago(AS_OF, 90)) & (d < F.lit(AS_OF).cast("date"))).select(
-        "o_orderkey", d.alias("add_date"))
+    lo = D.days_ago(AS_OF, 90).cast("timestamp_ntz")
+    hi = F.lit(AS_OF).cast("date").cast("timestamp_ntz")
+    return o.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)).select(
+        "o_orderkey", F.to_date("o_orderdate").alias("add_date"))
