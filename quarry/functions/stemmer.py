@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import bounded_broadcast, explode_nonempty
+from quarry.operators.util import explode_nonempty, split_hot_join
 
 _VOWELS = frozenset("aeiou")
 
@@ -154,12 +154,17 @@ def stem_token_arrays(df: DataFrame, tokens_col: str = "tokens", id_col: str = "
 
     Tokens are exploded with positions, joined with the stem map of the
     distinct terms (broadcast only when the vocabulary is within
-    ``max_broadcast_terms``; otherwise a shuffle join that AQE splits on hot
-    terms), and regrouped per document.
+    ``max_broadcast_terms``; otherwise :func:`split_hot_join`: frequent terms
+    map-side, the rest shuffled), and regrouped per document.
     """
     toks = explode_nonempty(df, [id_col], tokens_col, "term", "pos")
-    m = bounded_broadcast(stem_map(toks, "term"), max_broadcast_terms)
-    stemmed = toks.join(m, "term").groupBy(id_col).agg(
+    m = stem_map(toks, "term")
+    if m.limit(max_broadcast_terms + 1).count() <= max_broadcast_terms:
+        joined = toks.join(F.broadcast(m), "term")
+    else:  # vocabulary too large to broadcast: hot terms still go map-side
+        counts = toks.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        joined = split_hot_join(toks, m, "term", counts, toks.count())
+    stemmed = joined.groupBy(id_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "stem"))), lambda s: s["stem"]).alias("_st"))
     out = df.join(stemmed, id_col, "left")
     fixed = F.when(F.col(tokens_col).isNull(), F.lit(None)).otherwise(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import checkpoint, explode_nonempty, one_row, with_global_index
+from quarry.operators.util import checkpoint, explode_nonempty, one_row, split_hot_join, with_global_index
 
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
@@ -82,17 +82,25 @@ def tf_idf(dtm: DataFrame, n_docs: DataFrame, drop_zero: bool = False,
     it is written once to the shared checkpoint folder (eager) instead of
     tokenizing the corpus twice; the checkpoint also cuts lineage.
 
-    The join is on ``term``; common terms are hot keys, so this relies on
-    AQE skew-join splitting (on by default in :mod:`quarry.session`) rather
-    than a forced broadcast of a table that grows with the vocabulary.
-    ``drop_zero`` removes terms present in every document (idf = 0).
+    The join is on ``term``, whose common values are hot keys: with the DTM
+    materialised, :func:`split_hot_join` sends terms in many documents
+    through a bounded broadcast and shuffles only the rest (no task gets a
+    hot term). The IDF table grows with the vocabulary, so it is never
+    broadcast whole. ``drop_zero`` removes terms present in every document
+    (idf = 0).
     """
     if materialize:
         dtm = checkpoint(dtm)
     w = idf(dtm, n_docs)
     if drop_zero:
         w = w.where(F.col("idf") > 0)
-    out = dtm.join(w.select("term", "idf"), "term")
+    if materialize:
+        # document frequencies are the key counts of the DTM side: terms in
+        # many documents join through a bounded broadcast, the rest shuffle
+        counts = w.select("term", F.col("df").alias("n"))
+        out = split_hot_join(dtm, w.select("term", "idf"), "term", counts, dtm.count())
+    else:
+        out = dtm.join(w.select("term", "idf"), "term")
     return out.withColumn("tfidf", tf_weight("tf") * F.col("idf"))
 
 

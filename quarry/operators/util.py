@@ -82,3 +82,31 @@ def explode_nonempty(df: DataFrame, keep: list, arr, alias: str, pos_alias: str
         return out.where(F.col(pos_alias).isNotNull())
     out = df.select(*keep, F.explode_outer(a).alias(alias))
     return out.where(F.col(alias).isNotNull())
+
+
+# Keys occurring at least total / MAX_HOT_KEYS times on the big side of a
+# join are "hot": there are at most MAX_HOT_KEYS of them (their counts sum to
+# at most the total), so their rows of the small side can always be broadcast.
+MAX_HOT_KEYS = 100_000
+
+
+def split_hot_join(big: DataFrame, small: DataFrame, key: str, key_counts: DataFrame, total: int,
+                   how: str = "inner", max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """Equi-join that splits hot keys off into a broadcast join.
+
+    ``key_counts`` is ``(key, n)``: how often each key occurs in ``big``
+    (``total`` rows in all); ``small`` has one row per key. Rows of ``big``
+    with a hot key (n >= total / max_hot) join a broadcast of the matching
+    ``small`` rows, at most ``max_hot`` by construction, on the map side; the
+    remaining rows shuffle-join ``small``, where no key holds more than
+    total / max_hot rows, so no task receives a hot group. Exact: every row
+    of ``big`` goes to exactly one of the two joins.
+    """
+    threshold = max(1, total // max_hot)
+    hot_keys = key_counts.where(F.col("n") >= threshold).select(key)
+    hot_small = small.join(F.broadcast(hot_keys), key, "left_semi")
+    big_hot = big.join(F.broadcast(hot_keys), key, "left_semi")
+    big_cold = big.join(F.broadcast(hot_keys), key, "left_anti")
+    a = big_hot.join(F.broadcast(hot_small), key, how)
+    b = big_cold.join(small, key, how)
+    return a.unionByName(b)

@@ -59,3 +59,24 @@ def test_pair_cosine(spark):
     assert got[(1, 2)] == pytest.approx(1 / math.sqrt(2))
     assert got[(1, 3)] == 0.0
     assert got[(1, 4)] is None
+
+
+def test_split_hot_join_is_exact(spark):
+    from quarry.operators.util import split_hot_join
+
+    big_rows = [(i, "hot") for i in range(300)] + [(i, f"k{i % 7}") for i in range(70)] + [(1, "missing")]
+    big = spark.createDataFrame(big_rows, "id long, key string")
+    small = spark.createDataFrame([("hot", 1.0)] + [(f"k{i}", float(i)) for i in range(7)], "key string, v double")
+    counts = big.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    for how in ("inner", "left"):
+        got = sorted(tuple(r) for r in split_hot_join(big, small, "key", counts, big.count(), how=how, max_hot=3).collect())
+        want = sorted(tuple(r) for r in big.join(small, "key", how).collect())
+        assert got == want
+
+
+def test_stem_join_fallback_without_broadcast(spark):
+    from quarry.functions.stemmer import stem_token_arrays
+
+    df = spark.createDataFrame([(1, ["ponies", "cats", "ponies"]), (2, ["cats"])], "doc_id long, tokens array<string>")
+    got = {r.doc_id: r.tokens for r in stem_token_arrays(df, "tokens", max_broadcast_terms=1).collect()}
+    assert got == {1: ["poni", "cat", "poni"], 2: ["cat"]}
