@@ -147,6 +147,24 @@ def status_refresh(spark, sf):
     return I.status_refresh(ev, "user_id", "ts", F.col("event_type") == "signup", F.col("event_type") == "purchase")
 
 
+@register("status_refresh_stream", "ING4 (stream)", """
+select user_id, arg_min(removed, ts) as removed, arg_min(let_agreed, ts) as let_agreed, min(ts) as flagged_ts
+from (select user_id, ts, event_type = 'signup' as removed, event_type = 'purchase' as let_agreed from events
+      where event_type in ('signup', 'purchase')) group by user_id""")
+def status_refresh_stream(spark, sf):
+    """The status refresh as a stateful stream over two file drops of ``events``."""
+    from quarry.streaming.ingest import status_refresh_stream as run
+
+    ev = Tables(spark, sf).events
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("polls_src", "polls_sink", "polls_ckpt"))
+    cut = F.lit(STORED_BEFORE).cast("timestamp")
+    ev.where(F.col("ts") < cut).write.parquet(f"{src}/drop=1")
+    args = ("user_id", "ts", "event_type = 'signup'", "event_type = 'purchase'")
+    run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, *args)
+    ev.where(F.col("ts") >= cut).write.parquet(f"{src}/drop=2")
+    return run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, *args)
+
+
 @register("enrich_missing", "ING5", f"""
 select l.id, coalesce(l.num_photos, cast(v.n as integer)) as num_photos
 from {LISTINGS_SQL} l left join (select l_orderkey, count(*) as n from lineitem group by l_orderkey) v on l.id = v.l_orderkey""")

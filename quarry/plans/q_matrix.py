@@ -10,7 +10,7 @@ from quarry.operators import matrix as M
 from quarry.plans import corpus as C
 from quarry.plans import sqlfrag as S
 from quarry.plans.registry import register
-from quarry.sources.tables import Tables
+from quarry.sources.tables import Tables, row_count
 
 
 def _dtm(spark, sf):
@@ -18,7 +18,7 @@ def _dtm(spark, sf):
 
 
 def _n_docs(spark, sf):
-    return Tables(spark, sf).documents.agg(F.count(F.lit(1)).alias("n_docs"))
+    return row_count(spark, sf, "documents")
 
 
 def _tfidf(spark, sf):

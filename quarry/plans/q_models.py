@@ -18,7 +18,7 @@ from quarry.plans import corpus as C
 from quarry.plans.listings import listings
 from quarry.operators.pipeline import clean_tokens, speech_tokens
 from quarry.plans.registry import register
-from quarry.sources.tables import Tables
+from quarry.sources.tables import Tables, row_count
 
 K_TOPICS = 5
 LSA_KS = [0, 10, 20, 30, 40, 50]
@@ -184,7 +184,7 @@ def accuracy_lift(spark, sf):
 
 def _doc_cells(spark, sf):
     d = C.doc_tokens(spark, sf)
-    n = Tables(spark, sf).documents.agg(F.count(F.lit(1)).alias("n_docs"))
+    n = row_count(spark, sf, "documents")
     return M.tf_idf(M.doc_term_matrix(d), n)
 
 

@@ -15,12 +15,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "benchmark": "item_id"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
+    return spread_small_scan(df, TEXT_TABLES[name]) if spread and name in TEXT_TABLES else df
+
+
+def row_count(spark: SparkSession, sf_dir: str, name: str, alias: str = "n_docs") -> DataFrame:
+    """One-row DataFrame with the table's row count (no spreading shuffle)."""
+    from pyspark.sql import functions as F
+
+    return table(spark, sf_dir, name, spread=False).agg(F.count(F.lit(1)).alias(alias))
 
 
 # A scan is spread only when it has at most this many splits: each split is

@@ -44,3 +44,29 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema, sink: str, check
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+def status_refresh_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str, key: str,
+                          ts: str, removed_expr: str, let_expr: str) -> DataFrame:
+    """ING4 as a stateful streaming aggregation.
+
+    Per key the first flagging observation (``min_by`` over event time) is
+    kept in the state store; each trigger rewrites the sink with the
+    complete current table (``complete`` mode into ``foreachBatch``), so a
+    replayed batch produces the same table. State size is one row per
+    flagged key. Returns the sink table.
+    """
+    obs = spark.readStream.schema(schema).parquet(source_dir)
+    obs = obs.select(key, ts, F.expr(removed_expr).alias("removed"), F.expr(let_expr).alias("let_raw"))
+    obs = obs.withColumn("let_agreed", ~F.col("removed") & F.col("let_raw")).where(F.col("removed") | F.col("let_agreed"))
+    agg = obs.groupBy(key).agg(F.min_by(F.struct("removed", "let_agreed", ts), F.col(ts)).alias("_f"))
+    out = agg.select(key, F.col("_f.removed").alias("removed"), F.col("_f.let_agreed").alias("let_agreed"),
+                     F.col(f"_f.{ts}").alias("flagged_ts"))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(sink)
+
+    q = (out.writeStream.outputMode("complete").foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)

@@ -66,3 +66,18 @@ def test_balance_classes(spark):
     df = spark.createDataFrame([(i, 0 if i < 7 else 1) for i in range(10)], "id long, c int")
     got = sorted((r.c, r.id) for r in balance_classes(df, "c", "id").collect())
     assert got == [(0, 0), (0, 1), (0, 2), (1, 7), (1, 8), (1, 9)]
+
+
+def test_status_refresh_stream_matches_batch(spark, tmpdir_path):
+    from quarry.streaming.ingest import status_refresh_stream
+
+    schema = "id long, ts timestamp, kind string"
+    src, sink, ck = f"{tmpdir_path}/src", f"{tmpdir_path}/sink", f"{tmpdir_path}/ck"
+    spark.createDataFrame([(1, ts(1), "view"), (2, ts(1), "view"), (2, ts(2), "let")], schema).write.parquet(f"{src}/d=1")
+    args = ("id", "ts", "kind = 'removed'", "kind = 'let'")
+    status_refresh_stream(spark, f"{src}/d=*", schema, sink, ck, *args)
+    spark.createDataFrame([(2, ts(3), "removed"), (3, ts(5), "removed")], schema).write.parquet(f"{src}/d=2")
+    out = {r.id: r for r in status_refresh_stream(spark, f"{src}/d=*", schema, sink, ck, *args).collect()}
+    assert set(out) == {2, 3}
+    assert (out[2].removed, out[2].let_agreed, out[2].flagged_ts) == (False, True, ts(2))  # sticky across batches
+    assert (out[3].removed, out[3].let_agreed) == (True, False)
