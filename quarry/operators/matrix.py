@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import checkpoint, explode_nonempty, one_row, split_hot_join, with_global_index
+from quarry.operators.util import bounded_broadcast, checkpoint, explode_nonempty, one_row, split_hot_join, with_global_index
 
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens",
@@ -75,7 +75,7 @@ def tf_weight(tf) -> F.Column:
 
 
 def tf_idf(dtm: DataFrame, n_docs: DataFrame, drop_zero: bool = False,
-           materialize: bool = True) -> DataFrame:
+           materialize: bool = True, terms: DataFrame | None = None) -> DataFrame:
     """AGG11: ``(doc_id, term, tf, idf, tfidf)``.
 
     The DTM feeds both the document frequencies and the join, so by default
@@ -87,8 +87,12 @@ def tf_idf(dtm: DataFrame, n_docs: DataFrame, drop_zero: bool = False,
     through a bounded broadcast and shuffles only the rest (no task gets a
     hot term). The IDF table grows with the vocabulary, so it is never
     broadcast whole. ``drop_zero`` removes terms present in every document
-    (idf = 0).
+    (idf = 0). ``terms`` restricts the result to those terms up front (a
+    term's IDF needs only its own cells), so a dictionary query never
+    weighs the whole matrix.
     """
+    if terms is not None:
+        dtm = dtm.join(bounded_broadcast(terms.select("term").distinct()), "term", "left_semi")
     if materialize:
         dtm = checkpoint(dtm)
     w = idf(dtm, n_docs)

@@ -95,7 +95,9 @@ def _rank_dtm(spark, sf):
 
 
 def _rank_tfidf(spark, sf):
-    m = _tfidf(spark, sf).withColumn("w", F.round("tfidf", 6).cast("decimal(18,6)"))
+    dic = C.category_dictionary(spark)
+    m = M.tf_idf(_dtm(spark, sf), _n_docs(spark, sf), terms=dic)
+    m = m.withColumn("w", F.round("tfidf", 6).cast("decimal(18,6)"))
     return L.dict_rank(m, C.category_dictionary(spark), Tables(spark, sf).documents, "w", n=10)
 
 
