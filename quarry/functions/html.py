@@ -74,3 +74,14 @@ def has_marker(html, markers: list[str]) -> Column:
 def counter_total(text) -> Column:
     """HTM7: "1 of 12" -> 12 (third space-separated word as int, NULL if absent)."""
     return F.get(F.split(_c(text), " "), 2).try_cast("int")
+
+
+ARTICLE_RE = r"(?s)<article[^>]*>(.*?)</article>"
+BLOCK_TAG_RE = r"(?i)<(p|br|h[1-6]|li|div|tr|td)\b[^>]*>"
+
+
+def main_text(html) -> Column:
+    """HTM4: text of the ``<article>`` element; block tags become spaces,
+    other tags vanish, entities are unescaped, whitespace is collapsed."""
+    art = F.regexp_extract(strip_non_content(html), ARTICLE_RE, 1)
+    return html_text(F.regexp_replace(art, BLOCK_TAG_RE, " "))

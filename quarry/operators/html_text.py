@@ -105,9 +105,18 @@ def _parse_pages(batches):
 _PARSE_SCHEMA = "page_id long, main_text string, labels map<string,string>"
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """HTM4: main text of each page plus its word count."""
-    out = pages.select("page_id", "html").mapInPandas(_parse_pages, _PARSE_SCHEMA)
+def main_text(pages: DataFrame, method: str = "regex") -> DataFrame:
+    """HTM4: main text of each page plus its word count.
+
+    ``method='regex'`` (default) stays in the JVM (:func:`quarry.functions.html.main_text`);
+    ``method='parser'`` runs the standard-library HTML parser in
+    ``mapInPandas`` for markup that regexes cannot follow (full entity set,
+    nested articles).
+    """
+    if method == "regex":
+        out = pages.select("page_id", H.main_text("html").alias("main_text"))
+    else:
+        out = pages.select("page_id", "html").mapInPandas(_parse_pages, _PARSE_SCHEMA)
     return out.select("page_id", "main_text",
                       F.size(F.regexp_extract_all(F.lower("main_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).alias("n_words"))
 

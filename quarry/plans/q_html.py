@@ -86,11 +86,23 @@ def counter_parse(spark, sf):
     return c.select("page_id", "counter", H.counter_total("counter").alias("total"))
 
 
-@register("page_main_text", "HTM4")
+_ARTICLE_SQL = f"""regexp_replace(regexp_extract({_CLEAN_SQL}, '(?s)<article[^>]*>(.*?)</article>', 1),
+                   '(?i)<(p|br|h[1-6]|li|div|tr|td)\\b[^>]*>', ' ', 'g')"""
+
+
+@register("page_main_text", "HTM4", f"""
+select page_id, {_text_sql(_ARTICLE_SQL)} as main_text,
+       len(regexp_extract_all(lower({_text_sql(_ARTICLE_SQL)}), '([\\p{{L}}\\p{{N}}_]+)', 1)) as n_words
+from pages""")
 def page_main_text(spark, sf):
     return HT.main_text(Tables(spark, sf).pages)
 
 
+@register("page_main_text_parsed", "HTM4 (HTML parser)")
+def page_main_text_parsed(spark, sf):
+    return HT.main_text(Tables(spark, sf).pages, method="parser")
+
+
 @register("page_label_values", "HTM5")
 def page_label_values(spark, sf):
     out = HT.label_values(Tables(spark, sf).pages)
