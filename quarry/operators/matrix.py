@@ -31,15 +31,26 @@ def doc_term_matrix(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def attach_by_term(cells: DataFrame, table: DataFrame, key: str = "term", how: str = "inner") -> DataFrame:
+    """Join long cells with a per-term table (vocabulary index, weights).
+
+    Common terms are hot keys of the cell side; their rows of ``table`` go
+    through a bounded broadcast (:func:`split_hot_join`), the rest shuffle.
+    Counts the cells once (a job) to find the hot terms.
+    """
+    counts = cells.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return split_hot_join(cells, table, key, counts, cells.count(), how=how)
+
+
 def term_vector(texts: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
                 tokens_col: str = "tokens") -> DataFrame:
     """AGG6: counts of each text's tokens restricted to a given vocabulary.
 
     ``vocabulary`` has ``(term, term_index)``; tokens outside it are dropped.
-    The vocabulary grows with the corpus, so the join is left to the planner.
+    The vocabulary grows with the corpus, so it is never broadcast whole.
     """
-    dtm = doc_term_matrix(texts, id_col, tokens_col)
-    return dtm.join(vocabulary.select("term", "term_index"), "term")
+    dtm = checkpoint(doc_term_matrix(texts, id_col, tokens_col))
+    return attach_by_term(dtm, vocabulary.select("term", "term_index"))
 
 
 def corpus_size(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
@@ -134,7 +145,7 @@ def to_ml_vectors(cells: DataFrame, vocab: DataFrame, n_cols: int, id_col: str =
     from pyspark.ml.linalg import Vectors, VectorUDT
     from pyspark.sql.types import LongType, StructField, StructType
 
-    rows = (cells.join(vocab.select(key_col, "term_index"), key_col).groupBy(id_col)
+    rows = (attach_by_term(cells, vocab.select(key_col, "term_index"), key_col).groupBy(id_col)
             .agg(F.sort_array(F.collect_list(F.struct("term_index", F.col(value_col).cast("double").alias("v")))).alias("e")))
     schema = StructType([StructField(id_col, LongType()), StructField("features", VectorUDT())])
     rdd = rows.rdd.map(lambda r: (int(r[0]), Vectors.sparse(n_cols, [int(e[0]) for e in r[1]], [e[1] for e in r[1]])))

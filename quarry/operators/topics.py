@@ -178,10 +178,16 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
     v_size = vocab.count()
     eta = 200.0 / v_size if eta is None else eta
     alpha = 50.0 / k if alpha is None else alpha
-    cells = dtm.select(F.col(id_col).alias("doc_id"), "term", "tf").join(vocab, "term").select(
+    from quarry.operators.matrix import attach_by_term
+    from quarry.operators.util import split_hot_join
+
+    cells = attach_by_term(checkpoint(dtm.select(F.col(id_col).alias("doc_id"), "term", "tf")), vocab).select(
         "doc_id", "term_index", F.col("tf").cast("long").alias("tf"))
     z0 = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "term_index"), F.lit(k)).cast("int")
     state = checkpoint(cells.withColumn("z", z0))
+    # document frequency per term index: hot terms of the cells x B join
+    term_counts = checkpoint(state.groupBy("term_index").agg(F.count(F.lit(1)).alias("n")))
+    n_cells = state.count()
     chunks = vocab.select("term_index", (F.col("term_index") / CHUNK).cast("long").alias("chunk"))
     b_prev = theta_prev = None
     history = []
@@ -195,7 +201,7 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
         g = checkpoint(g)
         sums = g.agg(*[F.sum(f"g{j}").alias(f"s{j}") for j in range(k)])  # one row
         b = g.crossJoin(F.broadcast(sums)).select("term_index", *[(F.col(f"g{j}") / F.col(f"s{j}")).alias(f"b{j}") for j in range(k)])
-        joined = state.select("doc_id", "term_index", "tf", "z").join(b, "term_index")
+        joined = split_hot_join(state.select("doc_id", "term_index", "tf", "z"), b, "term_index", term_counts, n_cells)
         joined = joined.repartition("doc_id").sortWithinPartitions("doc_id", "term_index")
         new = checkpoint(joined.mapInPandas(_doc_step(k, alpha, seed, it), d_schema))
         theta = new.groupBy("doc_id").agg(*[F.first(f"t{j}").alias(f"t{j}") for j in range(k)])
