@@ -102,7 +102,7 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, key_counts: DataF
     total / max_hot rows, so no task receives a hot group. Exact: every row
     of ``big`` goes to exactly one of the two joins.
     """
-    threshold = max(1, total // max_hot)
+    threshold = max(1, -(-total // max_hot))  # ceil: at most max_hot keys reach it
     hot_keys = key_counts.where(F.col("n") >= threshold).select(key)
     hot_small = small.join(F.broadcast(hot_keys), key, "left_semi")
     big_hot = big.join(F.broadcast(hot_keys), key, "left_semi")
