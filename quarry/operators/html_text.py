@@ -24,14 +24,25 @@ def page_links(pages: DataFrame, pattern: str, id_col: str = "page_id") -> DataF
             .select(id_col, F.substring("link", 2, 1 << 20).alias("link_id"), "first_pos"))
 
 
-def page_blocks(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """HTM2: one row per ``<p>`` block with a premium flag (bold lead),
-    the block text and its word count."""
+ADDED_RE = r"(?i)(added (today|yesterday|on [0-9]{1,2} [a-z]+ [0-9]{4}))"
+
+
+def page_blocks(pages: DataFrame, id_col: str = "page_id", as_of: str = "2001-08-01") -> DataFrame:
+    """HTM2: one row per ``<p>`` block (a result card): premium flag (bold
+    lead, per card: q12), card text, word count, the "added ..." phrase and
+    the date it names relative to ``as_of`` (DAT1 / DAT5; NULL if none)."""
+    from quarry.functions.dates import parse_flexible_date
+
     ex = explode_nonempty(pages, [id_col], H.paragraphs("html"), "block", "block_no")
     txt = H.html_text("block")
-    return ex.select(id_col, "block_no", F.col("block").startswith("<b>").alias("is_premium"),
-                     txt.alias("block_text"),
-                     F.size(F.regexp_extract_all(F.lower(txt), F.lit(r"([\p{L}\p{N}_]+)"), 1)).alias("n_words"))
+    out = ex.select(id_col, "block_no", F.col("block").startswith("<b>").alias("is_premium"),
+                    txt.alias("block_text"))
+    added = F.regexp_extract("block_text", ADDED_RE, 1)
+    value = F.regexp_replace(added, r"(?i)^added (on )?", "")
+    return out.select(id_col, "block_no", "is_premium", "block_text",
+                      F.size(F.regexp_extract_all(F.lower("block_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).alias("n_words"),
+                      added.alias("added_text"),
+                      F.when(added != "", parse_flexible_date(value, as_of)).alias("add_date"))
 
 
 def status_flags(pages: DataFrame, removed_markers=None, let_marker: str | None = None) -> DataFrame:

@@ -48,13 +48,30 @@ def page_links(spark, sf):
     return HT.page_links(p, r"^/[^/?#]+$").select("page_id", "link_id", "first_pos")
 
 
-@register("page_blocks", "HTM2", rf"""
-select page_id, block_no, starts_with(block, '<b>') as is_premium, {_text_sql('block')} as block_text,
-       len(regexp_extract_all(lower({_text_sql('block')}), '([\p{{L}}\p{{N}}_]+)', 1)) as n_words
+def _parse_sql(raw: str) -> str:
+    v = f"trim(regexp_replace({raw}, '(?i)^added on ', ''))"
+    return f"""case when lower({v}) in ('today', 'now') then date '{AS_OF}'
+      when lower({v}) = 'yesterday' then date '{AS_OF}' - 1
+      else coalesce(cast(try_strptime(substr({v}, 1, 10), '%d/%m/%Y') as date),
+                    cast(try_strptime(split_part({v}, ' (', 1), '%d %B %Y') as date)) end"""
+
+
+def _page_blocks_sql() -> str:
+    t = _text_sql("block")
+    added = f"regexp_extract({t}, '(?i)(added (today|yesterday|on [0-9]{{1,2}} [a-z]+ [0-9]{{4}}))', 1)"
+    value = f"regexp_replace({added}, '(?i)^added (on )?', '')"
+    return rf"""
+select page_id, block_no, starts_with(block, '<b>') as is_premium, {t} as block_text,
+       len(regexp_extract_all(lower({t}), '([\p{{L}}\p{{N}}_]+)', 1)) as n_words,
+       {added} as added_text,
+       case when {added} <> '' then {_parse_sql(value)} end as add_date
 from (select page_id, unnest(b) as block, unnest(range(0, len(b))) as block_no
-      from (select page_id, regexp_extract_all({_CLEAN_SQL}, '(?s)<p>(.*?)</p>', 1) as b from pages))""")
+      from (select page_id, regexp_extract_all({_CLEAN_SQL}, '(?s)<p>(.*?)</p>', 1) as b from pages))"""
+
+
+@register("page_blocks", "HTM2, DAT5", _page_blocks_sql())
 def page_blocks(spark, sf):
-    return HT.page_blocks(Tables(spark, sf).pages)
+    return HT.page_blocks(Tables(spark, sf).pages, as_of=AS_OF)
 
 
 @register("page_title", "HTM3", rf"""
@@ -187,14 +204,6 @@ _DATE_TEXT_SQL = """(select o_orderkey, case o_orderkey % 7
     when 5 then 'rubbish' end as raw
  from orders)"""
 
-def _parse_sql(raw: str) -> str:
-    v = f"trim(regexp_replace({raw}, '(?i)^added on ', ''))"
-    return f"""case when lower({v}) in ('today', 'now') then date '{AS_OF}'
-      when lower({v}) = 'yesterday' then date '{AS_OF}' - 1
-      else coalesce(cast(try_strptime(substr({v}, 1, 10), '%d/%m/%Y') as date),
-                    cast(try_strptime(split_part({v}, ' (', 1), '%d %B %Y') as date)) end"""
-
-
 def _date_text(spark, sf):
     o = Tables(spark, sf).orders
     k = F.col("o_orderkey") % 7

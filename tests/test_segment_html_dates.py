@@ -73,3 +73,12 @@ def test_running_header_across_buckets(spark):
     for (g, n), s in got.items():
         heads = [i for (gg, i, h) in rows if gg == g and h and i <= n]
         assert s == (max(heads) if heads else None)
+
+
+def test_card_added_dates(spark):
+    html = ('<article><p><b>Premium</b> flat, added today.</p><p>Nice, Added on 12 March 2016.</p>'
+            '<p>added yesterday</p><p>no date</p></article>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [(r.added_text, r.add_date) for r in page_blocks(pages, as_of="2016-03-20").orderBy("block_no").collect()]
+    assert got == [("added today", datetime.date(2016, 3, 20)), ("Added on 12 March 2016", datetime.date(2016, 3, 12)),
+                   ("added yesterday", datetime.date(2016, 3, 19)), ("", None)]
