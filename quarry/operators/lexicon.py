@@ -114,13 +114,19 @@ def dictionary_terms_in_corpus(dictionary: DataFrame, corpus_terms: DataFrame) -
 
 
 def dict_rank(matrix: DataFrame, dictionary: DataFrame, docs: DataFrame, value_col: str,
-              n: int = 10, id_col: str = "doc_id") -> DataFrame:
+              n: int = 10, id_col: str = "doc_id", stem_dictionary: bool = False) -> DataFrame:
     """TOP1: documents ranked by the summed weight of dictionary terms, top ``n``.
 
     Documents without any dictionary term keep a score of 0. Ties are broken
     by ``doc_id`` (q17). ``orderBy(...).limit(n)`` plans as
     TakeOrderedAndProject: per-partition top-n, then a merge of n rows each.
+    ``stem_dictionary`` stems the dictionary words to meet stemmed corpus
+    terms (q2; off by default, as in the reference).
     """
+    if stem_dictionary:
+        from quarry.functions.stemmer import stem_terms
+
+        dictionary = stem_terms(dictionary.select("term"), "term", "term")
     dic = bounded_broadcast(dictionary.select("term").distinct())
     sums = (matrix.join(dic, "term", "left_semi")
             .groupBy(id_col).agg(F.sum(value_col).alias("score")))

@@ -60,3 +60,13 @@ def test_dict_rank_keeps_zero_scores_and_ties(spark):
     dic = spark.createDataFrame([("a",)], "term string")
     r = [(x.doc_id, x.score, x.rank) for x in L.dict_rank(m, dic, docs, "w", n=4).collect()]
     assert r == [(1, 2.0, 1), (2, 2.0, 2), (3, 0.0, 3), (4, 0.0, 4)]
+
+
+def test_dict_rank_stem_dictionary(spark):
+    m = spark.createDataFrame([(1, "poni", 1.0), (2, "cat", 1.0)], "doc_id long, term string, w double")
+    docs = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    dic = spark.createDataFrame([("ponies",)], "term string")
+    plain = [(r.doc_id, r.score) for r in L.dict_rank(m, dic, docs, "w", n=2).collect()]
+    stemmed = [(r.doc_id, r.score) for r in L.dict_rank(m, dic, docs, "w", n=2, stem_dictionary=True).collect()]
+    assert plain == [(1, 0.0), (2, 0.0)]  # unstemmed dictionary misses stemmed terms (q2)
+    assert stemmed == [(1, 1.0), (2, 0.0)]
