@@ -136,8 +136,15 @@ def _stem_batches(batches):
 
 
 def stem_map(terms: DataFrame, col: str = "term") -> DataFrame:
-    """``(term, stem)`` for the distinct values of ``col``."""
+    """``(term, stem)`` for the distinct values of ``col``.
+
+    Distinct terms are found with partial aggregation first, then spread
+    round-robin over the cores (a shuffle of distinct terms only).
+    """
     distinct = terms.select(F.col(col).alias("term")).where(F.col("term").isNotNull()).distinct()
+    # the stemming is CPU-bound Python: give it at least one task per core
+    # (AQE would otherwise coalesce a small distinct set into one task)
+    distinct = distinct.repartition(terms.sparkSession.sparkContext.defaultParallelism)
     return distinct.mapInPandas(_stem_batches, "term string, stem string")
 
 

@@ -70,3 +70,16 @@ def test_dict_rank_stem_dictionary(spark):
     stemmed = [(r.doc_id, r.score) for r in L.dict_rank(m, dic, docs, "w", n=2, stem_dictionary=True).collect()]
     assert plain == [(1, 0.0), (2, 0.0)]  # unstemmed dictionary misses stemmed terms (q2)
     assert stemmed == [(1, 1.0), (2, 0.0)]
+
+
+def test_speech_tokens_stopword_modes(spark):
+    from quarry.operators.pipeline import speech_tokens
+
+    docs = spark.createDataFrame([(1, "We ourselves were running, ourselves!")], "doc_id long, text string")
+    stop = spark.createDataFrame([("ourselves",), ("were",)], "term string")
+    default = speech_tokens(docs, stop=stop).first().tokens
+    compat = speech_tokens(docs, stop=stop, stem_stopwords=True).first().tokens  # q1
+    after = speech_tokens(docs, stop=stop, stopword_stage="after", stem_stopwords=True).first().tokens
+    assert default == ["run"]
+    assert compat == ["ourselv", "run", "ourselv"]  # "ourselves" escapes its stemmed entry; "were" is its own stem
+    assert after == ["run"]
