@@ -8,7 +8,7 @@ from quarry.functions import dates as D
 from quarry.functions import html as H
 from quarry.functions import text as T
 from quarry.operators import ingest as I
-from quarry.operators.pipeline import clean_tokens
+from quarry.operators.cleaning import clean_tokens
 from quarry.operators.util import explode_nonempty
 from quarry.plans import corpus as C
 from quarry.plans import sqlfrag as S
@@ -199,14 +199,14 @@ def first_seen_ids(spark, sf):
     return out.select(F.substring("link", 2, 1 << 20).alias("link_id"), "page_id", "pos")
 
 
-@register("clean_text_pipeline", "ING6, TXT7, TXT8, TXT10", f"""
+@register("clean_text", "ING6, TXT7, TXT8, TXT10", f"""
 select doc_id, len(g) as n_tokens, array_to_string(g, ' ') as tokens_joined from (
   select doc_id, case when len(t) >= 12 then t end as g from (
     select doc_id, list_filter(list_filter(list_filter(list_transform({S.TOK2},
         lambda x: trim(trim(trim(regexp_replace(x, '[^\\x00-\\x7F]', '', 'g'), ' '), '-'), '_')), lambda x: x <> ''),
         lambda x: not list_contains({S.STOPWORD_LIST}, x)), lambda x: not regexp_matches(x, '\\p{{N}}')) as t
     from documents))""")
-def clean_text_pipeline(spark, sf):
+def clean_text(spark, sf):
     d = Tables(spark, sf).documents.select("doc_id", "text")
     out = clean_tokens(d, stop=C.stopwords(spark))
     return out.select("doc_id", F.size("tokens").alias("n_tokens"), T.join_tokens("tokens").alias("tokens_joined"))

@@ -16,7 +16,7 @@ from quarry.operators import topics as TP
 from quarry.operators.util import checkpoint, with_global_index
 from quarry.plans import corpus as C
 from quarry.plans.listings import listings
-from quarry.operators.pipeline import clean_tokens, speech_tokens
+from quarry.operators.cleaning import clean_tokens, speech_tokens
 from quarry.plans.registry import register
 from quarry.sources.tables import Tables, row_count
 

@@ -73,7 +73,7 @@ def test_dict_rank_stem_dictionary(spark):
 
 
 def test_speech_tokens_stopword_modes(spark):
-    from quarry.operators.pipeline import speech_tokens
+    from quarry.operators.cleaning import speech_tokens
 
     docs = spark.createDataFrame([(1, "We ourselves were running, ourselves!")], "doc_id long, text string")
     stop = spark.createDataFrame([("ourselves",), ("were",)], "term string")
