@@ -135,7 +135,7 @@ def ingest_stream(spark, sf):
     second = ev.where(F.col("ts") >= F.lit(STORED_BEFORE).cast("timestamp")).unionByName(
         first.where(F.col("event_type") == "click"))
     second.write.parquet(f"{src}/drop=2")
-    return run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, "event_id", "ts").drop("batch_id")
+    return run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, "event_id", "ts")
 
 
 @register("status_refresh", "ING4", """

@@ -1,9 +1,10 @@
-"""ING3 as Structured Streaming: a file source drained with ``availableNow``.
+"""Ingestion as Structured Streaming (ING3, ING4).
 
-Each micro-batch is deduplicated, anti-joined with what the sink already
-holds, and written to its own ``batch_id=<n>`` folder with overwrite, so a
-replayed batch (after a failure between write and commit) rewrites the
-same folder: the sink stays exactly-once without a transactional format.
+ING3: a file source drained with ``availableNow``; ``dropDuplicates`` on the
+key keeps every key seen so far in the (distributed) state store, keys
+already stored before the stream started are removed by a stream-static
+anti join, and the parquet file sink commits each micro-batch through its
+metadata log, so a replayed batch is not written twice (exactly-once).
 """
 
 from __future__ import annotations
@@ -11,36 +12,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.ingest import dedupe_first
-
-
-def _stored_keys(spark: SparkSession, sink: str, key: str, exclude_batch: int):
-    from py4j.protocol import Py4JJavaError  # noqa: F401
-
-    try:
-        stored = spark.read.parquet(sink)
-    except Exception:  # noqa: BLE001 - empty sink: nothing stored yet
-        return None
-    return stored.where(F.col("batch_id") != exclude_batch).select(key)
-
 
 def ingest_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str,
-                  key: str, order_col: str) -> DataFrame:
+                  key: str, order_col: str | None = None, known_keys: DataFrame | None = None) -> DataFrame:
     """Drain every file now in ``source_dir`` into ``sink``; return the sink table.
 
-    Run it again after new files arrive: only new keys are appended.
+    Run it again after new files arrive: only keys never seen are appended.
+    ``order_col`` is kept for API symmetry with the batch twin; re-sent rows
+    of one key are identical, so which copy survives does not matter.
     """
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        fresh = dedupe_first(batch, key, order_col)
-        known = _stored_keys(batch.sparkSession, sink, key, batch_id)
-        if known is not None:
-            fresh = fresh.join(known.distinct(), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
     stream = spark.readStream.schema(schema).parquet(source_dir)
-    q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint)
+    fresh = stream.dropDuplicates([key])
+    if known_keys is not None:
+        fresh = fresh.join(known_keys.select(key).distinct(), key, "left_anti")
+    q = (fresh.writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
