@@ -63,16 +63,14 @@ def running_header(lines: DataFrame, group_col: str, order_col: str, is_header:
     return t.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry"))).drop("_b", "_h", "_local", "_carry")
 
 
-def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_header: F.Column,
-                      text_col: str = "text", trim: bool = True, replace_underscore: bool = True) -> DataFrame:
-    """SEG2 / SEG3: split ordered units into segments that start at header units.
-
-    Output: ``(group, seg_start, header, n_lines, body)`` where ``body`` is the
-    newline-joined lines of the following non-header units (trimmed,
-    empty lines dropped when ``trim``). Units before the first header are
-    dropped; the last segment is kept (q3). Segment ids come from
-    :func:`running_header` (no per-group window); each output row holds one
-    segment, which is the result's unit.
+def segment_lines(lines: DataFrame, group_col: str, order_col: str, is_header: F.Column,
+                  text_col: str = "text", trim: bool = True, replace_underscore: bool = True):
+    """SEG2 in long form: ``(headers, body_lines)`` without collecting segments.
+
+    ``headers``: ``(group, seg_start, header)``; ``body_lines``:
+    ``(group, seg_start, order, pos, line)`` for the lines of the non-header
+    units that follow each header (trimmed, empty lines dropped when
+    ``trim``). Units before the first header belong to no segment.
     """
     tagged = lines.select(group_col, order_col, text_col, is_header.alias("_is_header"))
     tagged = running_header(tagged, group_col, order_col, F.col("_is_header"))
@@ -85,6 +83,20 @@ def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_heade
                             F.split(F.col(text_col), "\n"), "line", "pos")
     if trim:
         body = body.withColumn("line", F.trim("line")).where(F.col("line") != "")
+    return headers, body
+
+
+def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_header: F.Column,
+                      text_col: str = "text", trim: bool = True, replace_underscore: bool = True) -> DataFrame:
+    """SEG2 / SEG3: split ordered units into segments that start at header units.
+
+    Output: ``(group, seg_start, header, n_lines, body)`` where ``body`` is the
+    newline-joined lines of the segment; the last segment is kept (q3).
+    Segment ids come from :func:`running_header` (no per-group window). One
+    output row is one whole segment, which is the result's unit; use
+    :func:`segment_lines` to keep segments in long form.
+    """
+    headers, body = segment_lines(lines, group_col, order_col, is_header, text_col, trim, replace_underscore)
     grouped = body.groupBy(group_col, "seg_start").agg(
         F.array_sort(F.collect_list(F.struct(order_col, "pos", "line"))).alias("_lines"))
     out = headers.join(grouped, [group_col, "seg_start"], "left")

@@ -43,8 +43,11 @@ def spread_small_scan(df: DataFrame, key: str | None = None) -> DataFrame:
     aggregations (``groupBy(doc_id, ...)``, windows by document) find their
     distribution already satisfied and skip an exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a remote session): leave the scan as is
+        return df
     if n < cores and n <= SPREAD_MAX_SPLITS:
         return df.repartition(cores, key) if key else df.repartition(cores)
     return df
