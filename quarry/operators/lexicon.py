@@ -20,17 +20,36 @@ def resolve_duplicates(lex: DataFrame) -> DataFrame:
     return lex.groupBy("term").agg(F.max_by("valence", "line_no").alias("valence"))
 
 
+def with_ngrams(tokens_col: str, max_n: int) -> F.Column:
+    """Token array plus its space-joined 2..max_n-grams (for phrase entries, q19)."""
+    t = F.col(tokens_col)
+    out = t
+    for n in range(2, max_n + 1):
+        starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - n + 1)).otherwise(
+            F.array().cast("array<int>"))
+        out = F.concat(out, F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " ")))
+    return out
+
+
 def lexicon_sentiment(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id",
-                      tokens_col: str = "tokens") -> DataFrame:
+                      tokens_col: str = "tokens", phrases: bool = False) -> DataFrame:
     """AGG15 + JON1: per document ``n_recognised``, ``score_sum``, ``score_mean``.
 
     The mean divides by recognised words only; no recognised word gives a
     NULL mean and a 0 sum (q7). ``explode_outer`` + left join keeps every
     document in the single aggregation, so no join back is needed. The
-    lexicon is broadcast only behind a row-count check.
+    lexicon is broadcast only behind a row-count check. ``phrases=True``
+    also matches multi-word entries against n-grams (q19; off by default,
+    as in the reference, where phrases never match).
     """
     lex = bounded_broadcast(lexicon.select("term", "valence"))
-    toks = docs.select(id_col, F.explode_outer(tokens_col).alias("term"))
+    terms = F.col(tokens_col)
+    if phrases:
+        # match multi-word entries against n-grams of the same length as well;
+        # their single words still count on their own
+        max_n = lexicon.select(F.max(F.size(F.split("term", " ")))).first()[0] or 1
+        terms = with_ngrams(tokens_col, int(max_n))
+    toks = docs.select(id_col, F.explode_outer(terms).alias("term"))
     scored = toks.join(lex, "term", "left")
     return scored.groupBy(id_col).agg(
         F.count("valence").alias("n_recognised"),

@@ -83,3 +83,21 @@ def test_speech_tokens_stopword_modes(spark):
     assert default == ["run"]
     assert compat == ["ourselv", "run", "ourselv"]  # "ourselves" escapes its stemmed entry; "were" is its own stem
     assert after == ["run"]
+
+
+def test_phrase_matching_option(spark):
+    lex = L.lexicon_from_pairs(spark, [("stand", 1), ("can't stand", -3), ("good", 3)])
+    df = spark.createDataFrame([(1, "i can't stand it good")], "doc_id long, text string")
+    docs = df.select("doc_id", T.preprocess_chars("text").alias("tokens"))
+    off = L.lexicon_sentiment(docs, lex).first()
+    on = L.lexicon_sentiment(docs, lex, phrases=True).first()
+    assert (off.n_recognised, off.score_sum) == (2, 4)
+    assert (on.n_recognised, on.score_sum) == (3, 1)
+
+
+def test_phrase_matching_short_docs(spark):
+    lex = L.lexicon_from_pairs(spark, [("good", 3), ("very good", 1)])
+    df = spark.createDataFrame([(1, "good"), (2, ""), (3, None), (4, "very good")], "doc_id long, text string")
+    docs = df.select("doc_id", T.preprocess_chars("text").alias("tokens"))
+    got = {r.doc_id: r.score_sum for r in L.lexicon_sentiment(docs, lex, phrases=True).collect()}
+    assert got == {1: 3, 2: 0, 3: 0, 4: 4}
