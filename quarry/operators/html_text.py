@@ -21,7 +21,7 @@ def page_links(pages: DataFrame, pattern: str, id_col: str = "page_id") -> DataF
     ex = explode_nonempty(pages, [id_col], H.links("html"), "link", "pos")
     ex = ex.where(F.col("link").rlike(pattern))
     return (ex.groupBy(id_col, "link").agg(F.min("pos").alias("first_pos"))
-            .select(id_col, F.substring("link", 2, 1 << 20).alias("link_id"), "first_pos"))
+            .select(id_col, F.substring("link", 2, 1 << 20).alias("link_id"), F.col("first_pos").cast("long").alias("first_pos")))
 
 
 ADDED_RE = r"(?i)(added (today|yesterday|on [0-9]{1,2} [a-z]+ [0-9]{4}))"
@@ -35,12 +35,12 @@ def page_blocks(pages: DataFrame, id_col: str = "page_id", as_of: str = "2001-08
 
     ex = explode_nonempty(pages, [id_col], H.paragraphs("html"), "block", "block_no")
     txt = H.html_text("block")
-    out = ex.select(id_col, "block_no", F.col("block").startswith("<b>").alias("is_premium"),
+    out = ex.select(id_col, F.col("block_no").cast("long").alias("block_no"), F.col("block").startswith("<b>").alias("is_premium"),
                     txt.alias("block_text"))
     added = F.regexp_extract("block_text", ADDED_RE, 1)
     value = F.regexp_replace(added, r"(?i)^added (on )?", "")
     return out.select(id_col, "block_no", "is_premium", "block_text",
-                      F.size(F.regexp_extract_all(F.lower("block_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).alias("n_words"),
+                      F.size(F.regexp_extract_all(F.lower("block_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).cast("long").alias("n_words"),
                       added.alias("added_text"),
                       F.when(added != "", parse_flexible_date(value, as_of)).alias("add_date"))
 
@@ -129,7 +129,7 @@ def main_text(pages: DataFrame, method: str = "regex") -> DataFrame:
     else:
         out = pages.select("page_id", "html").mapInPandas(_parse_pages, _PARSE_SCHEMA)
     return out.select("page_id", "main_text",
-                      F.size(F.regexp_extract_all(F.lower("main_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).alias("n_words"))
+                      F.size(F.regexp_extract_all(F.lower("main_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).cast("long").alias("n_words"))
 
 
 def label_values(pages: DataFrame) -> DataFrame:

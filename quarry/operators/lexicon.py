@@ -153,7 +153,8 @@ def dict_rank(matrix: DataFrame, dictionary: DataFrame, docs: DataFrame, value_c
               .withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)).cast("double")))
     top = scored.orderBy(F.col("score").desc(), F.col(id_col)).limit(n)
     # n rows: the window below runs over the already-limited result
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), F.col(id_col))))
+    rank = F.row_number().over(Window.orderBy(F.col("score").desc(), F.col(id_col))).cast("long")
+    return top.withColumn("rank", rank)
 
 
 def rank_overlap(a: DataFrame, b: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -84,15 +84,15 @@ def url_pattern_filter(spark, sf):
 
 
 @register("time_to_event", "DAT4", f"""
-select id, case when let_agreed then datediff('day', date_advertised, latest_date) - 1 end as time_to_let from {LISTINGS_SQL}""")
+select id, cast(case when let_agreed then datediff('day', date_advertised, latest_date) - 1 end as integer) as time_to_let from {LISTINGS_SQL}""")
 def time_to_event(spark, sf):
     ls = listings(spark, sf)
     return ls.select("id", D.time_to_event("date_advertised", "latest_date", "let_agreed").alias("time_to_let"))
 
 
 @register("impute_max_plus_one", "NUM4, AGG18", f"""
-with t as (select id, case when let_agreed then datediff('day', date_advertised, latest_date) - 1 end as time_to_let from {LISTINGS_SQL})
-select id, coalesce(time_to_let, (select max(time_to_let) + 1 from t)) as time_to_let from t""")
+with t as (select id, cast(case when let_agreed then datediff('day', date_advertised, latest_date) - 1 end as integer) as time_to_let from {LISTINGS_SQL})
+select id, cast(coalesce(time_to_let, (select max(time_to_let) + 1 from t)) as integer) as time_to_let from t""")
 def impute_max_plus_one(spark, sf):
     ls = listings(spark, sf)
     t = ls.select("id", D.time_to_event("date_advertised", "latest_date", "let_agreed").alias("time_to_let"))
@@ -134,7 +134,8 @@ def geo_flags(spark, sf):
 
 
 @register("conditional_counts", "AGG17", f"""
-select outcode_id, count(*) as n, count_if(let_agreed) as n_let, count_if(removed) as n_removed, count_if(is_share) as n_share
+select outcode_id, count(*) as n, cast(count_if(let_agreed) as bigint) as n_let, cast(count_if(removed) as bigint) as n_removed,
+       cast(count_if(is_share) as bigint) as n_share
 from {LISTINGS_SQL} group by outcode_id""")
 def conditional_counts(spark, sf):
     ls = listings(spark, sf)

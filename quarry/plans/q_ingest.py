@@ -196,7 +196,7 @@ def first_seen_ids(spark, sf):
     p = Tables(spark, sf).pages
     ex = explode_nonempty(p, ["page_id"], H.links("html"), "link", "pos").where(F.col("link").rlike(r"^/[^/?#]+$"))
     out = I.first_seen(ex, "link", ["page_id", "pos"])
-    return out.select(F.substring("link", 2, 1 << 20).alias("link_id"), "page_id", "pos")
+    return out.select(F.substring("link", 2, 1 << 20).alias("link_id"), "page_id", F.col("pos").cast("long").alias("pos"))
 
 
 @register("clean_text", "ING6, TXT7, TXT8, TXT10", f"""
@@ -209,4 +209,4 @@ select doc_id, len(g) as n_tokens, array_to_string(g, ' ') as tokens_joined from
 def clean_text(spark, sf):
     d = Tables(spark, sf).documents.select("doc_id", "text")
     out = clean_tokens(d, stop=C.stopwords(spark))
-    return out.select("doc_id", F.size("tokens").alias("n_tokens"), T.join_tokens("tokens").alias("tokens_joined"))
+    return out.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), T.join_tokens("tokens").alias("tokens_joined"))

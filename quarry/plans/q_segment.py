@@ -69,4 +69,4 @@ select doc_id, len(list_filter(list_transform(string_split(substr(record, length
 from {_RECORD_SQL}""")
 def paragraph_counts(spark, sf):
     seg = G.segment_paragraphs(_records(spark, sf), sep_regex="\n", keep=("doc_id",))
-    return seg.select("doc_id", F.size("paragraphs").alias("n_paragraphs"))
+    return seg.select("doc_id", F.size("paragraphs").cast("long").alias("n_paragraphs"))

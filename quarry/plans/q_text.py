@@ -16,7 +16,7 @@ from quarry.sources.tables import Tables
 
 
 def _tok_out(df, col="tokens"):
-    return df.select("doc_id", F.size(col).alias("n_tokens"), T.join_tokens(col).alias("tokens_joined"))
+    return df.select("doc_id", F.size(col).cast("long").alias("n_tokens"), T.join_tokens(col).alias("tokens_joined"))
 
 
 @register("tokenize_wordpunct", "TXT1", f"""
@@ -97,7 +97,7 @@ def tokens_roundtrip(spark, sf):
     d = Tables(spark, sf).documents.select("doc_id", T.word_tokens("text").alias("t"))
     stored = T.join_tokens("t")
     back = T.split_tokens(stored)
-    return d.select("doc_id", stored.alias("stored"), F.size(back).alias("n_tokens"), (back == F.col("t")).alias("same"))
+    return d.select("doc_id", stored.alias("stored"), F.size(back).cast("long").alias("n_tokens"), (back == F.col("t")).alias("same"))
 
 
 @register("friendly_string", "TXT13", f"""
@@ -127,8 +127,8 @@ select doc_id, cast(length(text) as integer) as n_chars, len({S.TOK2}) as n_word
 from documents""")
 def doc_length_stats(spark, sf):
     d = Tables(spark, sf).documents
-    return d.select("doc_id", F.length("text").alias("n_chars"), F.size(T.word_tokens("text")).alias("n_words"),
-                    F.size(T.preprocess_chars("text")).alias("n_speech_words"))
+    return d.select("doc_id", F.length("text").alias("n_chars"), F.size(T.word_tokens("text")).cast("long").alias("n_words"),
+                    F.size(T.preprocess_chars("text")).cast("long").alias("n_speech_words"))
 
 
 @register("kth_frequent_word", "TOP4", f"""
@@ -175,7 +175,7 @@ def avg_score_by_author(spark, sf):
 
 
 @register("score_by_year", "AGG14, TOP6", f"""
-select year, min(score) as min_score, round(avg(score), 6) as avg_score, count(*) as n_docs from {_SCORES_SQL} group by year""")
+select year, cast(min(score) as bigint) as min_score, round(avg(score), 6) as avg_score, count(*) as n_docs from {_SCORES_SQL} group by year""")
 def score_by_year(spark, sf):
     out = L.score_by_year(_doc_scores(spark, sf), "year", "score")
     return out.withColumn("avg_score", F.round("avg_score", 6))
