@@ -28,7 +28,7 @@ select c_custkey from customer where c_custkey not in (
 def new_keys_only(spark, sf):
     """Customers not seen among the orders already stored (those before 1996)."""
     t = Tables(spark, sf)
-    stored = t.orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp"))
+    stored = t.orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
     return I.new_keys_only(t.customer.select("c_custkey"), stored, "c_custkey", "o_custkey")
 
 
@@ -112,7 +112,7 @@ where event_id not in (select event_id from events where ts < timestamp '{STORED
 def ingest_batch(spark, sf):
     ev = Tables(spark, sf).events
     batch = ev.unionByName(ev.where(F.col("event_type") == "click"))  # re-sent rows
-    known = ev.where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp")).select("event_id")
+    known = ev.where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz")).select("event_id")
     k = F.get_json_object("props", "$.k").try_cast("int")
     good, _ = I.ingest_batch(batch, known, "event_id", "ts",
                              {"no_value": F.col("value").isNull(), "bad_props": k.isNull()})
@@ -128,11 +128,11 @@ def ingest_stream(spark, sf):
     src = scratch_path(spark, "events_src")
     sink = scratch_path(spark, "events_sink")
     ckpt = scratch_path(spark, "events_ckpt")
-    first = ev.where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp"))
+    first = ev.where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
     first.write.parquet(f"{src}/drop=1")
     run(spark, f"{src}/drop=1", ev.schema, sink, ckpt, "event_id", "ts")
     # second drop overlaps the first (re-sent clicks) and brings the rest
-    second = ev.where(F.col("ts") >= F.lit(STORED_BEFORE).cast("timestamp")).unionByName(
+    second = ev.where(F.col("ts") >= F.lit(STORED_BEFORE).cast("timestamp_ntz")).unionByName(
         first.where(F.col("event_type") == "click"))
     second.write.parquet(f"{src}/drop=2")
     return run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, "event_id", "ts")
@@ -157,7 +157,7 @@ def status_refresh_stream(spark, sf):
 
     ev = Tables(spark, sf).events
     src, sink, ckpt = (scratch_path(spark, n) for n in ("polls_src", "polls_sink", "polls_ckpt"))
-    cut = F.lit(STORED_BEFORE).cast("timestamp")
+    cut = F.lit(STORED_BEFORE).cast("timestamp_ntz")
     ev.where(F.col("ts") < cut).write.parquet(f"{src}/drop=1")
     args = ("user_id", "ts", "event_type = 'signup'", "event_type = 'purchase'")
     run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, *args)
