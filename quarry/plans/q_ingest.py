@@ -33,16 +33,17 @@ def new_keys_only(spark, sf):
 
 
 @register("insert_if_absent", "SNK7, JON5", """
-select n_nationkey as outcode_id, true as completed from nation where n_regionkey in (0, 1)
+select c_custkey as key_id, true as completed from customer where c_acctbal < 0
 union all
-select n_nationkey as outcode_id, false as completed from nation
-where n_nationkey not in (select n_nationkey from nation where n_regionkey in (0, 1))""")
+select c_custkey as key_id, false as completed from customer
+where c_custkey not in (select c_custkey from customer where c_acctbal < 0)""")
 def insert_if_absent(spark, sf):
-    n = Tables(spark, sf).nation
-    existing = n.where(F.col("n_regionkey").isin(0, 1)).select(F.col("n_nationkey").alias("outcode_id"),
-                                                               F.lit(True).alias("completed"))
-    new = n.select(F.col("n_nationkey").alias("outcode_id"), F.lit(False).alias("completed"))
-    return I.insert_if_absent(existing, new, "outcode_id")
+    """Ledger of keys: rows started earlier (negative balance) keep their state,
+    every other customer key is inserted once as not completed."""
+    c = Tables(spark, sf).customer
+    existing = c.where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("key_id"), F.lit(True).alias("completed"))
+    new = c.select(F.col("c_custkey").alias("key_id"), F.lit(False).alias("completed"))
+    return I.insert_if_absent(existing, new, "key_id")
 
 
 @register("upsert_by_key", "SNK8, JON11", """
