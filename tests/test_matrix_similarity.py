@@ -80,3 +80,38 @@ def test_stem_join_fallback_without_broadcast(spark):
     df = spark.createDataFrame([(1, ["ponies", "cats", "ponies"]), (2, ["cats"])], "doc_id long, tokens array<string>")
     got = {r.doc_id: r.tokens for r in stem_token_arrays(df, "tokens", max_broadcast_terms=1).collect()}
     assert got == {1: ["poni", "cat", "poni"], 2: ["cat"]}
+
+
+def test_lsa_embed_matches_numpy(spark):
+    rng = np.random.default_rng(11)
+    x = rng.random((8, 12)) * (rng.random((8, 12)) > 0.5)
+    cells = [(d, f"t{j:02d}", float(x[d, j])) for d in range(8) for j in range(12) if x[d, j] != 0]
+    df = spark.createDataFrame(cells, "doc_id long, term string, tfidf double")
+    us, s = SIM.lsa_embed(df, 3)
+    assert s == sorted(s, reverse=True)
+    u, sv, vt = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(s, sv[:3], rtol=1e-6)
+    got = {}
+    for r in us.collect():
+        got.setdefault(r.doc_id, {})[r.comp] = r.value
+    emb = np.array([[got[d][c] for c in range(3)] for d in range(8)])
+    xk = (u[:, :3] * sv[:3]) @ vt[:3]
+
+    def cos(m):
+        n = m / np.linalg.norm(m, axis=1, keepdims=True)
+        return n @ n.T
+
+    assert np.allclose(cos(emb), cos(xk), atol=1e-6)  # U_k S_k rows = rank-k reconstruction cosines
+
+
+def test_lsa_sweep_k0_is_full_space(spark):
+    rng = np.random.default_rng(5)
+    cells = [(d, f"t{j}", float(v)) for d in range(10) for j, v in enumerate(rng.random(6)) if v > 0.3]
+    df = spark.createDataFrame(cells, "doc_id long, term string, tfidf double")
+    groups = spark.createDataFrame([(d, "A" if d < 5 else "B") for d in range(10)], "doc_id long, grp string")
+    us, _ = SIM.lsa_embed(df, 4)
+    unit = SIM.unit_rows(df)
+    sweep = {r.max_singular_values: r for r in SIM.lsa_group_sweep(us, unit, groups, "A", "B", [0, 2, 4]).collect()}
+    full = {(r.group_a, r.group_b): r.mean_cos for r in SIM.group_cosine(unit, groups).collect()}
+    assert sweep[0].AA == pytest.approx(full[("A", "A")]) and sweep[0].AB == pytest.approx(full[("A", "B")])
+    assert set(sweep) == {0, 2, 4}
