@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.util import bounded_broadcast, explode_nonempty
+from quarry.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast, explode_nonempty, split_hot_join
+
+
+def join_lexicon(toks: DataFrame, lexicon: DataFrame, how: str = "left",
+                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Token rows joined with a per-term lexicon.
+
+    A lexicon within ``max_rows`` (checked with a bounded count) is
+    broadcast; a larger one is joined with :func:`split_hot_join`, so
+    frequent tokens still join map-side and no task gets a hot term.
+    """
+    if lexicon.limit(max_rows + 1).count() <= max_rows:
+        return toks.join(F.broadcast(lexicon), "term", how)
+    counts = toks.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return split_hot_join(toks, lexicon, "term", counts, toks.count(), how=how)
 
 
 def lexicon_from_pairs(spark: SparkSession, pairs: list[tuple[str, int]]) -> DataFrame:
@@ -42,7 +56,7 @@ def lexicon_sentiment(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id
     also matches multi-word entries against n-grams (q19; off by default,
     as in the reference, where phrases never match).
     """
-    lex = bounded_broadcast(lexicon.select("term", "valence"))
+    lex = lexicon.select("term", "valence")
     terms = F.col(tokens_col)
     if phrases:
         # match multi-word entries against n-grams of the same length as well;
@@ -50,7 +64,7 @@ def lexicon_sentiment(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id
         max_n = lexicon.select(F.max(F.size(F.split("term", " ")))).first()[0] or 1
         terms = with_ngrams(tokens_col, int(max_n))
     toks = docs.select(id_col, F.explode_outer(terms).alias("term"))
-    scored = toks.join(lex, "term", "left")
+    scored = join_lexicon(toks, lex, "left")
     return scored.groupBy(id_col).agg(
         F.count("valence").alias("n_recognised"),
         F.coalesce(F.sum("valence"), F.lit(0)).cast("long").alias("score_sum"),
@@ -65,9 +79,9 @@ def polarity_subjectivity(docs: DataFrame, categories: DataFrame, id_col: str =
     ``categories`` has ``(term, polarity)`` with polarity +1 or -1.
     polarity = (P - N) / (P + N + 1e-6); subjectivity = (P + N) / (n_tokens + 1e-6).
     """
-    lex = bounded_broadcast(categories.select("term", F.col("polarity").cast("int").alias("pol")))
+    lex = categories.select("term", F.col("polarity").cast("int").alias("pol"))
     toks = docs.select(id_col, F.explode_outer(tokens_col).alias("term"))
-    agg = toks.join(lex, "term", "left").groupBy(id_col).agg(
+    agg = join_lexicon(toks, lex, "left").groupBy(id_col).agg(
         F.count("term").alias("n_tokens"),
         F.count(F.when(F.col("pol") > 0, 1)).alias("n_pos"),
         F.count(F.when(F.col("pol") < 0, 1)).alias("n_neg"),

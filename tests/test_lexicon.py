@@ -101,3 +101,12 @@ def test_phrase_matching_short_docs(spark):
     docs = df.select("doc_id", T.preprocess_chars("text").alias("tokens"))
     got = {r.doc_id: r.score_sum for r in L.lexicon_sentiment(docs, lex, phrases=True).collect()}
     assert got == {1: 3, 2: 0, 3: 0, 4: 4}
+
+
+def test_large_lexicon_path_equals_broadcast_path(spark):
+    lex = L.lexicon_from_pairs(spark, TINY)
+    docs = _docs(spark, [(1, "good good bad rainy"), (2, "nothing"), (3, None)])
+    toks = docs.select("doc_id", F.explode_outer("tokens").alias("term"))
+    a = sorted(repr(sorted(r.asDict().items())) for r in L.join_lexicon(toks, lex, "left").collect())
+    b = sorted(repr(sorted(r.asDict().items())) for r in L.join_lexicon(toks, lex, "left", max_rows=1).collect())
+    assert a == b and len(a) == 6
