@@ -31,3 +31,21 @@ def test_filters_reach_the_scan(spark):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "GreaterThanOrEqual(o_orderdate" in scan and "LessThan(o_orderdate" in scan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp" in scan
+
+
+def test_tfidf_splits_hot_terms(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()["tf_idf"](spark, SF)
+        df.collect()
+        plan = _plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftSemi" in plan and "LeftAnti" in plan  # hot terms map-side, the rest shuffled
+    assert "SortMergeJoin" in plan
+
+
+def test_segment_ids_without_whole_group_window(spark):
+    plan = _plan(E.queries()["segment_by_header"](spark, SF))
+    # every window is partitioned by (conversation, bucket) or runs over per-bucket rows
+    assert "Window" in plan and "FLOOR" in plan.upper()
