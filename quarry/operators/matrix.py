@@ -80,6 +80,10 @@ def idf(dtm: DataFrame, n_docs: DataFrame) -> DataFrame:
             .select("term", "df", F.ln(F.col("n_docs") / F.col("df")).alias("idf")))
 
 
+# An IDF table (one row per term) up to this size is broadcast whole.
+IDF_BROADCAST_ROWS = 500_000
+
+
 def tf_weight(tf) -> F.Column:
     """AGG10: ``1 + ln(x)``; absent cells are the zeros."""
     return F.lit(1.0) + F.ln(F.col(tf) if isinstance(tf, str) else tf)
@@ -93,11 +97,11 @@ def tf_idf(dtm: DataFrame, n_docs: DataFrame, drop_zero: bool = False,
     it is written once to the shared checkpoint folder (eager) instead of
     tokenizing the corpus twice; the checkpoint also cuts lineage.
 
-    The join is on ``term``, whose common values are hot keys: with the DTM
-    materialised, :func:`split_hot_join` sends terms in many documents
-    through a bounded broadcast and shuffles only the rest (no task gets a
-    hot term). The IDF table grows with the vocabulary, so it is never
-    broadcast whole. ``drop_zero`` removes terms present in every document
+    The join is on ``term``, whose common values are hot keys. An IDF table
+    within ``IDF_BROADCAST_ROWS`` (checked with a bounded count) is
+    broadcast; beyond that, with the DTM materialised, :func:`split_hot_join`
+    sends terms in many documents through a bounded broadcast and shuffles
+    only the rest (no task gets a hot term). ``drop_zero`` removes terms present in every document
     (idf = 0). ``terms`` restricts the result to those terms up front (a
     term's IDF needs only its own cells), so a dictionary query never
     weighs the whole matrix.
@@ -109,13 +113,17 @@ def tf_idf(dtm: DataFrame, n_docs: DataFrame, drop_zero: bool = False,
     w = idf(dtm, n_docs)
     if drop_zero:
         w = w.where(F.col("idf") > 0)
-    if materialize:
+    weights = w.select("term", "idf")
+    if weights.limit(IDF_BROADCAST_ROWS + 1).count() <= IDF_BROADCAST_ROWS:
+        # a vocabulary within the checked bound: one map-side join
+        out = dtm.join(F.broadcast(weights), "term")
+    elif materialize:
         # document frequencies are the key counts of the DTM side: terms in
         # many documents join through a bounded broadcast, the rest shuffle
         counts = w.select("term", F.col("df").alias("n"))
-        out = split_hot_join(dtm, w.select("term", "idf"), "term", counts, dtm.count())
+        out = split_hot_join(dtm, weights, "term", counts, dtm.count())
     else:
-        out = dtm.join(w.select("term", "idf"), "term")
+        out = dtm.join(weights, "term")
     return out.withColumn("tfidf", tf_weight("tf") * F.col("idf"))
 
 

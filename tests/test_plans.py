@@ -34,12 +34,17 @@ def test_filters_reach_the_scan(spark):
 
 
 def test_tfidf_splits_hot_terms(spark):
+    from quarry.operators import matrix as M
+
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    saved = M.IDF_BROADCAST_ROWS
+    M.IDF_BROADCAST_ROWS = 10  # vocabulary "too large": take the split path
     try:
         df = E.queries()["tf_idf"](spark, SF)
         df.collect()
         plan = _plan(df)
     finally:
+        M.IDF_BROADCAST_ROWS = saved
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "LeftSemi" in plan and "LeftAnti" in plan  # hot terms map-side, the rest shuffled
     assert "SortMergeJoin" in plan
