@@ -43,6 +43,25 @@ def segment_by_header(spark, sf):
     return G.segment_by_header(conv, "conv_id", "turn", F.col("role") == "user")
 
 
+@register("segment_by_header_raw", "SEG3", r"""
+with t as (select conv_id, turn, role, text,
+                  max(case when role = 'user' then turn end) over (partition by conv_id order by turn rows between unbounded preceding and current row) as seg_start
+           from conversations),
+h as (select conv_id, seg_start, trim(string_split(text, chr(10))[1]) as header from t where role = 'user'),
+l as (select conv_id, seg_start, turn, pos, line
+      from (select conv_id, seg_start, turn, unnest(string_split(text, chr(10))) as line,
+                   unnest(range(0, len(string_split(text, chr(10))))) as pos
+            from t where role <> 'user' and seg_start is not null)),
+b as (select conv_id, seg_start, count(*) as n_lines, string_agg(line, chr(10) order by turn, pos) as body
+      from l group by conv_id, seg_start)
+select h.conv_id, h.seg_start, h.header, coalesce(b.n_lines, 0)::integer as n_lines, coalesce(b.body, '') as body
+from h left join b using (conv_id, seg_start)""")
+def segment_by_header_raw(spark, sf):
+    """The second splitter variant: lines kept untrimmed (blank ones too), '_' kept."""
+    conv = Tables(spark, sf).conversations
+    return G.segment_by_header(conv, "conv_id", "turn", F.col("role") == "user", trim=False, replace_underscore=False)
+
+
 _RECORD_SQL = r"""(select doc_id, '**********_' || cast(1900 + doc_id % 100 as varchar) || '_' || cast(doc_id as varchar) || '_' ||
         upper(substr(source, 1, 1)) || substr(source, 2) || '_***' || chr(10) || text as record from documents)"""
 
