@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs, tests) a fresh private folder is created and used.
+    in a local session (local runs, tests) a fresh private folder is created
+    and used. A cluster session without it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_LOCAL_TMP", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
