@@ -207,11 +207,13 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
         theta = new.groupBy("doc_id").agg(*[F.first(f"t{j}").alias(f"t{j}") for j in range(k)])
         if b_prev is not None:
             pb = b_prev.select("term_index", *[F.col(f"b{j}").alias(f"p{j}") for j in range(k)])
-            db = (b.join(pb, "term_index").select(sum((F.col(f"b{j}") - F.col(f"p{j}")) ** 2 for j in range(k)).alias("d"))
-                  .agg(F.sqrt(F.sum("d"))).first()[0])
+            nb = (b.join(pb, "term_index").select(sum((F.col(f"b{j}") - F.col(f"p{j}")) ** 2 for j in range(k)).alias("d"))
+                  .agg(F.sqrt(F.sum("d")).alias("db")))
             pt = theta_prev.select("doc_id", *[F.col(f"t{j}").alias(f"p{j}") for j in range(k)])
-            dt = (theta.join(pt, "doc_id").select(sum((F.col(f"t{j}") - F.col(f"p{j}")) ** 2 for j in range(k)).alias("d"))
-                  .agg(F.sqrt(F.sum("d"))).first()[0])
+            nt = (theta.join(pt, "doc_id").select(sum((F.col(f"t{j}") - F.col(f"p{j}")) ** 2 for j in range(k)).alias("d"))
+                  .agg(F.sqrt(F.sum("d")).alias("dt")))
+            norms = nb.crossJoin(nt).first()  # both one-row aggregates in one job
+            db, dt = norms["db"], norms["dt"]
             history.append((it, float(db), float(dt)))
             if db < cutoff and dt < cutoff:
                 state, b_prev, theta_prev = new, b, theta
