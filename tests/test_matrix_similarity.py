@@ -54,11 +54,13 @@ def test_group_cosine_equals_brute_force(spark):
 def test_pair_cosine(spark):
     cells = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (2, "a", 2.0), (3, "c", 1.0)],
                                   "doc_id long, term string, tfidf double")
-    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4)], "a long, b long")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (4, 1), (2, 2)], "a long, b long")
     got = {(r.a, r.b): r.cosine for r in SIM.pair_cosine(SIM.unit_rows(cells), pairs, "a", "b").collect()}
     assert got[(1, 2)] == pytest.approx(1 / math.sqrt(2))
     assert got[(1, 3)] == 0.0
-    assert got[(1, 4)] is None
+    assert got[(1, 4)] is None and got[(4, 1)] is None  # zero vector on either side
+    assert got[(2, 2)] == pytest.approx(1.0)
+    assert len(got) == 5
 
 
 def test_split_hot_join_is_exact(spark):
