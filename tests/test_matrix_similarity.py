@@ -117,3 +117,19 @@ def test_lsa_sweep_k0_is_full_space(spark):
     full = {(r.group_a, r.group_b): r.mean_cos for r in SIM.group_cosine(unit, groups).collect()}
     assert sweep[0].AA == pytest.approx(full[("A", "A")]) and sweep[0].AB == pytest.approx(full[("A", "B")])
     assert set(sweep) == {0, 2, 4}
+
+
+def test_group_cosine_join_path_equals_pivot_path(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    cells = [(d, f"t{j}", float(v)) for d in range(12) for j, v in enumerate(rng.random(5)) if v > 0.4]
+    df = spark.createDataFrame(cells, "doc_id long, term string, tfidf double")
+    gdf = spark.createDataFrame([(d, g) for d in range(12) for g in ("A", "B", "C") if (d + ord(g)) % 3],
+                                "doc_id long, grp string")
+    unit = SIM.unit_rows(df)
+    pivot = {(r.group_a, r.group_b): (r.n_a, r.n_b, r.n_common, r.mean_cos) for r in SIM.group_cosine(unit, gdf).collect()}
+    monkeypatch.setattr(SIM, "MAX_PIVOT_GROUPS", 0)
+    joined = {(r.group_a, r.group_b): (r.n_a, r.n_b, r.n_common, r.mean_cos) for r in SIM.group_cosine(unit, gdf).collect()}
+    assert pivot.keys() == joined.keys() and len(pivot) == 9
+    for k in pivot:
+        assert pivot[k][:3] == joined[k][:3]
+        assert pivot[k][3] == pytest.approx(joined[k][3], abs=1e-12)
