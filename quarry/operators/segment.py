@@ -97,12 +97,18 @@ def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_heade
     :func:`segment_lines` to keep segments in long form.
     """
     headers, body = segment_lines(lines, group_col, order_col, is_header, text_col, trim, replace_underscore)
-    grouped = body.groupBy(group_col, "seg_start").agg(
-        F.array_sort(F.collect_list(F.struct(order_col, "pos", "line"))).alias("_lines"))
-    out = headers.join(grouped, [group_col, "seg_start"], "left")
-    lines_arr = F.coalesce(F.transform("_lines", lambda s: s["line"]), F.array().cast("array<string>"))
-    return out.select(group_col, "seg_start", "header", F.size(lines_arr).alias("n_lines"),
-                      F.array_join(lines_arr, "\n").alias("body"))
+    # header and body lines of a segment meet in one aggregation (no join):
+    # the header row sorts first (its unit is the segment start, position -1)
+    rows = (headers.select(group_col, "seg_start", F.col("seg_start").alias(order_col), F.lit(-1).alias("pos"),
+                           F.col("header").alias("line"), F.lit(True).alias("_h"))
+            .unionByName(body.select(group_col, "seg_start", order_col, "pos", "line", F.lit(False).alias("_h"))))
+    grouped = rows.groupBy(group_col, "seg_start").agg(
+        F.max(F.when(F.col("_h"), F.col("line"))).alias("header"),
+        F.max(F.col("_h").cast("int")).alias("_has_header"),
+        F.array_sort(F.collect_list(F.when(~F.col("_h"), F.struct(order_col, "pos", "line")))).alias("_lines"))
+    lines_arr = F.transform("_lines", lambda x: x["line"])
+    return grouped.where(F.col("_has_header") == 1).select(
+        group_col, "seg_start", "header", F.size(lines_arr).alias("n_lines"), F.array_join(lines_arr, "\n").alias("body"))
 
 
 def split_paragraphs(text, sep_regex: str = r"\n\s*\n") -> F.Column:
