@@ -43,3 +43,14 @@ def test_spark_lda_projection_sums_to_one(spark):
         assert r.lda1 + r.lda2 == pytest.approx(1.0, abs=1e-6)
     words = TP.topic_top_words(model, cv.vocabulary, n=2).collect()
     assert len(words) == 4
+
+
+def test_topic_report_from_gibbs(spark, tmpdir_path):
+    from quarry.sources.sinks import write_topic_report
+
+    theta, beta, _ = TP.gibbs_lda(_dtm(spark), k=2, max_iter=2, seed=1)
+    write_topic_report(beta, theta, f"{tmpdir_path}/report", n_words=3, n_topics=1)
+    words = spark.read.json(f"{tmpdir_path}/report/words")
+    docs = spark.read.json(f"{tmpdir_path}/report/documents")
+    assert words.count() == 6 and docs.count() == 12
+    assert {r["rank"] for r in words.collect()} == {1, 2, 3}
