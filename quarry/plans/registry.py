@@ -35,11 +35,14 @@ def register(name: str, ids: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that the registry is complete."""
-    from quarry.plans import q_text, q_matrix  # noqa: F401
-    for mod in ("q_segment", "q_html", "q_features", "q_ingest", "q_similarity",
-                "q_models", "q_io"):
-        try:
-            __import__(f"quarry.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"quarry.plans.{mod}":
-                raise
+    from quarry.plans import (  # noqa: F401
+        q_features,
+        q_html,
+        q_ingest,
+        q_io,
+        q_matrix,
+        q_models,
+        q_segment,
+        q_similarity,
+        q_text,
+    )

@@ -72,3 +72,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, whatever folder they start in.
+
+    The package's sources go out once per application as a zip through
+    ``addPyFile`` (served by the driver to every executor), so Arrow functions
+    of the package import on a cluster without ``--py-files``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="quarry-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._quarry_shipped = True
