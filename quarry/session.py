@@ -88,6 +88,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     fd, path = tempfile.mkstemp(prefix="quarry-", suffix=".zip")
+    path = os.path.realpath(path)
     os.close(fd)
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(root):
