@@ -1,8 +1,8 @@
-"""Queries of this subpackage, in the order of the operators."""
+"""Queries of this subpackage."""
 
 from __future__ import annotations
 
-from quarry.llm import q_mixing, q_sharding, q_urls
+from quarry.llm import q_mixing, q_sharding, q_tokens, q_urls
 
-QUERIES = {**q_mixing.QUERIES, **q_sharding.QUERIES, **q_urls.QUERIES}
+QUERIES = {**q_tokens.QUERIES, **q_mixing.QUERIES, **q_sharding.QUERIES, **q_urls.QUERIES}
 ORACLE = {**q_urls.ORACLE}
