@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import q_classifier, q_mixing, q_sharding, q_tokens, q_urls
+from quarry.llm import q_classifier, q_mixing, q_neighbours, q_sharding, q_tokens, q_urls
 
-QUERIES = {**q_tokens.QUERIES, **q_mixing.QUERIES, **q_sharding.QUERIES, **q_urls.QUERIES, **q_classifier.QUERIES}
+QUERIES = {**q_tokens.QUERIES, **q_mixing.QUERIES, **q_sharding.QUERIES, **q_urls.QUERIES, **q_classifier.QUERIES, **q_neighbours.QUERIES}
 ORACLE = {**q_urls.ORACLE}
