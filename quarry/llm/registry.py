@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import q_classifier, q_fingerprint, q_mixing, q_neighbours, q_sharding, q_tokens, q_urls
+from quarry.llm import q_classifier, q_fingerprint, q_jaccard, q_mixing, q_neighbours, q_sharding, q_tokens, q_urls
 
-QUERIES = {**q_tokens.QUERIES, **q_mixing.QUERIES, **q_sharding.QUERIES, **q_urls.QUERIES, **q_classifier.QUERIES, **q_neighbours.QUERIES, **q_fingerprint.QUERIES}
+QUERIES = {**q_jaccard.QUERIES, **q_tokens.QUERIES, **q_mixing.QUERIES, **q_sharding.QUERIES, **q_urls.QUERIES, **q_classifier.QUERIES, **q_neighbours.QUERIES, **q_fingerprint.QUERIES}
 ORACLE = {**q_urls.ORACLE}
