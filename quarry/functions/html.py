@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
-HREF_RE = r'href="([^"]*)"'
+HREF_RE = r"""(?i)href\s*=\s*("[^"]*"|'[^']*')"""
 H1_RE = r"(?s)<h1[^>]*>(.*?)</h1>"
-PARA_RE = r"(?s)<p>(.*?)</p>"
+PARA_RE = r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"
 
 
 def _c(col) -> Column:
@@ -53,12 +53,13 @@ def title(html) -> Column:
 
 
 def links(html) -> Column:
-    """HTM1: every ``href`` value, in document order."""
-    return F.regexp_extract_all(strip_non_content(html), F.lit(HREF_RE), 1)
+    """HTM1: every ``href`` value, in single or double quotes, in document order."""
+    quoted = F.regexp_extract_all(strip_non_content(html), F.lit(HREF_RE), 1)
+    return F.transform(quoted, lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
 
 
 def paragraphs(html) -> Column:
-    """HTM2: raw inner HTML of each ``<p>...</p>`` block, in order."""
+    """HTM2: raw inner HTML of each ``<p ...>...</p>`` block, in order."""
     return F.regexp_extract_all(strip_non_content(html), F.lit(PARA_RE), 1)
 
 
@@ -81,7 +82,7 @@ BLOCK_TAG_RE = r"(?i)<(p|br|h[1-6]|li|div|tr|td)\b[^>]*>"
 
 
 def main_text(html) -> Column:
-    """HTM4: text of the ``<article>`` element; block tags become spaces,
-    other tags vanish, entities are unescaped, whitespace is collapsed."""
-    art = F.regexp_extract(strip_non_content(html), ARTICLE_RE, 1)
-    return html_text(F.regexp_replace(art, BLOCK_TAG_RE, " "))
+    """HTM4: text of the ``<article>`` elements, one after the other; block tags become
+    spaces, other tags vanish, entities are unescaped, whitespace is collapsed."""
+    arts = F.regexp_extract_all(strip_non_content(html), F.lit(ARTICLE_RE), 1)
+    return html_text(F.regexp_replace(F.array_join(arts, " "), BLOCK_TAG_RE, " "))

@@ -44,5 +44,6 @@ def impute_max_plus_one(df, col: str, out: str | None = None):
 
 
 def train_fraction(id_col) -> Column:
-    """FLT5: a deterministic uniform number in [0, 1) derived from the id."""
-    return ((_c(id_col) * 7919) % 1000) / F.lit(1000.0)
+    """FLT5: a deterministic uniform number in [0, 1) derived from a hash of the id (any type, any size)."""
+    head = F.conv(F.substring(F.md5(_c(id_col).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    return (head % 1000) / F.lit(1000.0)

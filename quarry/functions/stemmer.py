@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import explode_nonempty, split_hot_join
+from quarry.operators.util import checkpoint, explode_nonempty, split_hot_join
 
 _VOWELS = frozenset("aeiou")
 
@@ -162,18 +162,19 @@ def stem_token_arrays(df: DataFrame, tokens_col: str = "tokens", id_col: str = "
     Tokens are exploded with positions, joined with the stem map of the
     distinct terms (broadcast only when the vocabulary is within
     ``max_broadcast_terms``; otherwise :func:`split_hot_join`: frequent terms
-    map-side, the rest shuffled), and regrouped per document.
+    map-side, the rest shuffled), and regrouped by row.
     """
-    toks = explode_nonempty(df, [id_col], tokens_col, "term", "pos")
-    m = stem_map(toks, "term")
+    rows = checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))  # rows of one id stay apart
+    toks = explode_nonempty(rows, ["_row"], tokens_col, "term", "pos")
+    m = checkpoint(stem_map(toks, "term"))  # stemmed once: counted, then joined
     if m.limit(max_broadcast_terms + 1).count() <= max_broadcast_terms:
         joined = toks.join(F.broadcast(m), "term")
     else:  # vocabulary too large to broadcast: hot terms still go map-side
         counts = toks.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
         joined = split_hot_join(toks, m, "term", counts, toks.count())
-    stemmed = joined.groupBy(id_col).agg(
+    stemmed = joined.groupBy("_row").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "stem"))), lambda s: s["stem"]).alias("_st"))
-    out = df.join(stemmed, id_col, "left")
+    out = rows.join(stemmed, "_row", "left")
     fixed = F.when(F.col(tokens_col).isNull(), F.lit(None)).otherwise(
         F.coalesce(F.col("_st"), F.array().cast("array<string>")))
-    return out.withColumn(tokens_col, fixed).drop("_st")
+    return out.withColumn(tokens_col, fixed).drop("_st", "_row").select(*df.columns)

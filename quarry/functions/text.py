@@ -96,8 +96,11 @@ def friendly_string(year, author, text) -> Column:
 
 
 def regex_single_match(text, pattern: str, group: int = 1) -> Column:
-    """TXT14: the captured value only if the pattern matches exactly once, else NULL."""
-    m = F.regexp_extract_all(_c(text), F.lit(pattern), group)
+    """TXT14: the captured value only if the pattern matches exactly once, else NULL.
+
+    ``^`` and ``$`` match at line breaks and ``.`` matches a line break.
+    """
+    m = F.regexp_extract_all(_c(text), F.lit(f"(?sm){pattern}"), group)
     return F.when(F.size(m) == 1, F.get(m, 0))
 
 
@@ -131,8 +134,9 @@ def text_bar(value, per_star: float = 32.0) -> Column:
 
 
 def right_justify(s, width: int = 15) -> Column:
-    """TXT19: pad on the left to ``width`` (longer strings are cut, as lpad does)."""
-    return F.lpad(_c(s).cast("string"), width, " ")
+    """TXT19: pad on the left to ``width``; longer strings stay as they are."""
+    v = _c(s).cast("string")
+    return F.lpad(v, F.greatest(F.length(v), F.lit(width)), F.lit(" "))
 
 
 def strip_dictionary_suffix(word) -> Column:

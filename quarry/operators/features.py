@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import numeric as N
-from quarry.operators.util import with_global_index
-
-MAX_INLINE_CITIES = 1_000
+from quarry.operators.util import bounded_broadcast, with_global_index
 
 
 def city_radii(cities: DataFrame) -> DataFrame:
@@ -20,27 +18,45 @@ def city_radii(cities: DataFrame) -> DataFrame:
                          long_deg.alias("radius_long"), ((lat_deg + long_deg) / 2).alias("radius_deg"))
 
 
+def _city_grid(cities: DataFrame, per_cell: F.Column, name: str) -> tuple[DataFrame, float]:
+    """Cities by the grid cells their discs touch, and the cell size (the largest radius): at most 9 cells a city."""
+    radii = city_radii(cities)
+    size = radii.agg(F.max("radius_deg")).first()[0] or 1.0
+    span = lambda c: F.sequence(F.floor((F.col(c) - F.col("radius_deg")) / size - 1e-9), F.floor((F.col(c) + F.col("radius_deg")) / size + 1e-9))
+    cells = radii.withColumn("_i", F.explode(span("lat"))).withColumn("_j", F.explode(span("long")))
+    return cells.groupBy("_i", "_j").agg(F.collect_list(per_cell).alias(name)), size
+
+
+def _on_grid(points: DataFrame, cities: DataFrame, lat: str, long: str) -> DataFrame:
+    """Points with ``_cities``: the cities whose cells hold the point (NULL for none). One equi-join; rows are not multiplied."""
+    cells, size = _city_grid(cities, F.struct("name", "lat", "long", "radius_deg"), "_cities")
+    here = points.withColumn("_i", F.floor(F.col(lat) / size)).withColumn("_j", F.floor(F.col(long) / size))
+    return here.join(bounded_broadcast(cells), ["_i", "_j"], "left").drop("_i", "_j")
+
+
+def _inside(lat: str, long: str, city: F.Column) -> F.Column:
+    return F.sqrt(F.pow(F.col(lat) - city["lat"], 2) + F.pow(F.col(long) - city["long"], 2)) < city["radius_deg"]
+
+
+def points_in_cities(points: DataFrame, cities: DataFrame, lat: str = "latitude", long: str = "longitude") -> DataFrame:
+    """JON9: a row for each point and city whose disc holds it, with the city's ``name``."""
+    met = _on_grid(points, cities, lat, long)
+    held = met.withColumn("name", F.explode(F.transform(F.filter("_cities", lambda c: _inside(lat, long, c)), lambda c: c["name"])))
+    return held.drop("_cities")
+
+
 def geo_flags(points: DataFrame, cities: DataFrame, lat: str = "latitude", long: str = "longitude",
               home: str = "London") -> DataFrame:
-    """JON9 + NUM2: ``is_home`` (inside the home city) and ``near_other_city``.
+    """JON9 + NUM2: ``is_home`` (inside the home city) and ``near_other_city``; NULL without coordinates.
 
-    The theta join against a city table is planned as inline predicates: the
-    table is checked to hold at most ``MAX_INLINE_CITIES`` rows, collected,
-    and each city becomes one distance comparison in a projection. No join,
-    no shuffle, no per-point grouping.
+    The theta join goes over a grid: a city table of any size is listed by
+    cell and joined by cell, broadcast within a checked bound.
     """
-    rows = city_radii(cities).limit(MAX_INLINE_CITIES + 1).collect()
-    if len(rows) > MAX_INLINE_CITIES:
-        raise ValueError("city table too large for inline theta join")
-    home_flag, other = F.lit(False), F.lit(False)
-    for r in rows:
-        cond = N.within(lat, long, r["lat"], r["long"], r["radius_deg"])
-        if r["name"] == home:
-            home_flag = home_flag | cond
-        else:
-            other = other | cond
-    nulls = F.col(lat).isNull() | F.col(long).isNull()
-    return points.withColumn("is_home", F.when(~nulls, home_flag)).withColumn("near_other_city", F.when(~nulls, other))
+    met = _on_grid(points, cities, lat, long)
+    in_one = lambda which: F.coalesce(F.exists("_cities", lambda c: which(c["name"]) & _inside(lat, long, c)), F.lit(False))
+    known = F.col(lat).isNotNull() & F.col(long).isNotNull()
+    return (met.withColumn("is_home", F.when(known, in_one(lambda n: n == home)))
+            .withColumn("near_other_city", F.when(known, in_one(lambda n: n != home))).drop("_cities"))
 
 
 def conditional_counts(df: DataFrame, group_cols: list[str], conditions: dict[str, F.Column]) -> DataFrame:
@@ -86,5 +102,5 @@ def balance_classes(df: DataFrame, class_col: str, order_col: str) -> DataFrame:
     m = counts.agg(F.min("_n").alias("_m"))
     idx = with_global_index(df, [class_col, order_col], "_pos")
     starts = idx.groupBy(class_col).agg(F.min("_pos").alias("_start"))
-    out = idx.join(starts, class_col).crossJoin(F.broadcast(m))
+    out = idx.join(bounded_broadcast(starts), class_col).crossJoin(F.broadcast(m))
     return out.where(F.col("_pos") - F.col("_start") < F.col("_m")).drop("_pos", "_start", "_m")

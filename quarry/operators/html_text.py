@@ -1,8 +1,6 @@
 """HTML page operators (HTM1-HTM6).
 
-Field extraction is JVM-side regex (:mod:`quarry.functions.html`). Only the
-main-text and label/value pass parses HTML properly; it runs the standard
-library parser inside ``mapInPandas`` (Arrow batches, one page at a time).
+All extraction is by column expressions (:mod:`quarry.functions.html`).
 """
 
 from __future__ import annotations
@@ -21,7 +19,7 @@ def page_links(pages: DataFrame, pattern: str, id_col: str = "page_id") -> DataF
     ex = explode_nonempty(pages, [id_col], H.links("html"), "link", "pos")
     ex = ex.where(F.col("link").rlike(pattern))
     return (ex.groupBy(id_col, "link").agg(F.min("pos").alias("first_pos"))
-            .select(id_col, F.substring("link", 2, 1 << 20).alias("link_id"), F.col("first_pos").cast("long").alias("first_pos")))
+            .select(id_col, F.substr("link", F.lit(2)).alias("link_id"), F.col("first_pos").cast("long").alias("first_pos")))
 
 
 ADDED_RE = r"(?i)(added (today|yesterday|on [0-9]{1,2} [a-z]+ [0-9]{4}))"
@@ -42,7 +40,7 @@ def page_blocks(pages: DataFrame, id_col: str = "page_id", as_of: str = "2001-08
     return out.select(id_col, "block_no", "is_premium", "block_text",
                       F.size(F.regexp_extract_all(F.lower("block_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).cast("long").alias("n_words"),
                       added.alias("added_text"),
-                      F.when(added != "", parse_flexible_date(value, as_of)).alias("add_date"))
+                      F.when(added != "", parse_flexible_date(value, as_of, bare_long_form=True)).alias("add_date"))
 
 
 def status_flags(pages: DataFrame, removed_markers=None, let_marker: str | None = None) -> DataFrame:
@@ -53,85 +51,24 @@ def status_flags(pages: DataFrame, removed_markers=None, let_marker: str | None
         .withColumn("has_ad", F.col("html").contains('class="ad"'))
 
 
-def _parse_pages(batches):
-    """Per page: text inside ``<article>`` (script/style skipped) and label/value pairs."""
-    from html.parser import HTMLParser
-
-    import pandas as pd
-
-    class P(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.depth_article = 0
-            self.skip = 0
-            self.parts = []
-            self.labels = {}
-
-        def handle_starttag(self, tag, attrs):
-            a = dict(attrs)
-            if tag == "article":
-                self.depth_article += 1
-            elif tag in ("script", "style"):
-                self.skip += 1
-            elif tag == "html" and a.get("lang"):
-                self.labels["lang"] = a["lang"]
-            elif tag == "meta":
-                if a.get("charset"):
-                    self.labels["charset"] = a["charset"]
-                if a.get("name") and a.get("content") is not None:
-                    self.labels[a["name"].lower()] = a["content"]
-            if tag in ("p", "br", "h1", "h2", "li", "div") and self.depth_article:
-                self.parts.append(" ")
-
-        def handle_endtag(self, tag):
-            if tag == "article" and self.depth_article:
-                self.depth_article -= 1
-            elif tag in ("script", "style") and self.skip:
-                self.skip -= 1
-
-        def handle_data(self, data):
-            if self.skip:
-                return
-            if self.depth_article:
-                self.parts.append(data)
-            s = data.strip()
-            if ":" in s and len(s) < 200:
-                k, _, v = s.partition(":")
-                k = k.strip().lower()
-                if k and v.strip() and len(k) <= 40:
-                    self.labels[k] = v.strip()
-
-    for pdf in batches:
-        texts, labels = [], []
-        for h in pdf["html"]:
-            p = P()
-            if h is not None:
-                p.feed(h)
-                p.close()
-            texts.append(" ".join("".join(p.parts).split()))
-            labels.append(p.labels)
-        yield pd.DataFrame({"page_id": pdf["page_id"], "main_text": texts, "labels": labels})
-
-
-_PARSE_SCHEMA = "page_id long, main_text string, labels map<string,string>"
-
-
-def main_text(pages: DataFrame, method: str = "regex") -> DataFrame:
-    """HTM4: main text of each page plus its word count.
-
-    ``method='regex'`` (default) stays in the JVM (:func:`quarry.functions.html.main_text`);
-    ``method='parser'`` runs the standard-library HTML parser in
-    ``mapInPandas`` for markup that regexes cannot follow (full entity set,
-    nested articles).
-    """
-    if method == "regex":
-        out = pages.select("page_id", H.main_text("html").alias("main_text"))
-    else:
-        out = pages.select("page_id", "html").mapInPandas(_parse_pages, _PARSE_SCHEMA)
+def main_text(pages: DataFrame) -> DataFrame:
+    """HTM4: main text of each page (:func:`quarry.functions.html.main_text`) plus its word count."""
+    out = pages.select("page_id", H.main_text("html").alias("main_text"))
     return out.select("page_id", "main_text",
                       F.size(F.regexp_extract_all(F.lower("main_text"), F.lit(r"([\p{L}\p{N}_]+)"), 1)).cast("long").alias("n_words"))
 
 
-def label_values(pages: DataFrame) -> DataFrame:
-    """HTM5: label/value pairs of each page as a ``map<string,string>``."""
-    return pages.select("page_id", "html").mapInPandas(_parse_pages, _PARSE_SCHEMA).select("page_id", "labels")
+def label_values(pages: DataFrame, patterns: list[str]) -> DataFrame:
+    """HTM5: ``(page_id, label, value)`` for each label of a page.
+
+    Every pattern has a label group and a value group; labels are lower-cased,
+    entities unescaped, white space collapsed. Of several values of a label
+    the last counts, that of a later pattern before that of an earlier one.
+    """
+    html = H.strip_non_content("html")
+    tidy = lambda s: F.trim(F.regexp_replace(H.unescape_entities(s), r"\s+", " "))
+    found = [F.transform(F.arrays_zip(F.regexp_extract_all(html, F.lit(p), 1).alias("k"), F.regexp_extract_all(html, F.lit(p), 2).alias("v")),
+                         lambda x: F.struct(x["k"].alias("k"), x["v"].alias("v"))) for p in patterns]
+    ex = explode_nonempty(pages, ["page_id"], F.concat(*found), "pair", "pos")
+    pairs = ex.select("page_id", F.lower(tidy(F.col("pair.k"))).alias("label"), tidy(F.col("pair.v")).alias("value"), "pos").where("label <> ''")
+    return pairs.groupBy("page_id", "label").agg(F.max_by("value", "pos").alias("value"))

@@ -23,14 +23,18 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame
     return existing.unionByName(new_keys_only(new, existing, key))
 
 
-def upsert_by_key(base: DataFrame, updates: DataFrame, key: str, cols: list[str]) -> DataFrame:
+def upsert_by_key(base: DataFrame, updates: DataFrame, key: str, cols: list[str], order_col: str | None = None) -> DataFrame:
     """SNK8 / JON11: update ``cols`` of ``base`` from ``updates`` by key.
 
     Left join + ``coalesce(update, base)``: a NULL in the update keeps the
-    base value. Keys only in ``updates`` are not inserted. Write the result
-    to a new version folder; never overwrite the folder being read.
+    base value. Keys only in ``updates`` are not inserted. Of several updates
+    of one key the last by ``order_col`` counts (without it, the greatest row),
+    so base rows are never multiplied. Write the result to a new version
+    folder; never overwrite the folder being read.
     """
-    u = updates.select(key, *[F.col(c).alias(f"_u_{c}") for c in cols])
+    order = [F.col(order_col).alias("_order")] if order_col else []
+    last = F.max(F.struct(*order, *[F.col(c).alias(f"_u_{c}") for c in cols])).alias("_u")
+    u = updates.groupBy(key).agg(last).select(key, *[F.col(f"_u._u_{c}").alias(f"_u_{c}") for c in cols])
     j = base.join(u, key, "left")
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(f"_u_{c}"), F.col(c)))
@@ -95,20 +99,20 @@ def status_refresh(observations: DataFrame, key: str, ts: str, removed: F.Column
 
     Flags are sticky: once flagged, a record is not polled again, so later
     observations never change it. In one observation ``removed`` hides
-    ``let_agreed``. ``min_by`` is a partial aggregate: hot keys are fine.
+    ``let_agreed``. ``min`` is a partial aggregate: hot keys are fine.
     """
     obs = observations.select(key, ts, removed.alias("removed"), (~removed & let_agreed).alias("let_agreed"))
     flagged = obs.where(F.col("removed") | F.col("let_agreed"))
-    first = flagged.groupBy(key).agg(F.min_by(F.struct("removed", "let_agreed", ts), F.col(ts)).alias("_f"))
+    # the whole struct in order: of two observations at one time ``removed`` comes first, on every run
+    first = flagged.groupBy(key).agg(F.min(F.struct(F.col(ts), (~F.col("removed")).alias("_kept"), "removed", "let_agreed")).alias("_f"))
     return first.select(key, F.col("_f.removed").alias("removed"), F.col("_f.let_agreed").alias("let_agreed"),
                         F.col(f"_f.{ts}").alias("flagged_ts"))
 
 
 def enrich_missing(base: DataFrame, values: DataFrame, key: str, col: str) -> DataFrame:
-    """ING5: fill ``col`` only where it is NULL, from ``values(key, col)``."""
-    v = values.select(key, F.col(col).alias("_v"))
-    missing = base.where(F.col(col).isNull()).select(key).join(v, key)
-    out = base.join(missing, key, "left")
+    """ING5: fill ``col`` only where it is NULL, from ``values(key, col)`` (the greatest of several values of a key)."""
+    v = values.groupBy(key).agg(F.max(col).alias("_v"))
+    out = base.join(v, key, "left")
     return out.withColumn(col, F.coalesce(F.col(col), F.col("_v"))).drop("_v")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast, explode_nonempty, split_hot_join
+from quarry.operators.util import DEFAULT_BROADCAST_ROWS, bounded_broadcast, checkpoint, explode_nonempty, split_hot_join
 
 
 def join_lexicon(toks: DataFrame, lexicon: DataFrame, how: str = "left",
@@ -46,9 +46,11 @@ def with_ngrams(tokens_col: str, max_n: int) -> F.Column:
 
 
 def lexicon_sentiment(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id",
-                      tokens_col: str = "tokens", phrases: bool = False) -> DataFrame:
+                      tokens_col: str = "tokens", phrases: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """AGG15 + JON1: per document ``n_recognised``, ``score_sum``, ``score_mean``.
 
+    ``keep`` columns of the document go along through the aggregate.
+
     The mean divides by recognised words only; no recognised word gives a
     NULL mean and a 0 sum (q7). ``explode_outer`` + left join keeps every
     document in the single aggregation, so no join back is needed. The
@@ -63,9 +65,9 @@ def lexicon_sentiment(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id
         # their single words still count on their own
         max_n = lexicon.select(F.max(F.size(F.split("term", " ")))).first()[0] or 1
         terms = with_ngrams(tokens_col, int(max_n))
-    toks = docs.select(id_col, F.explode_outer(terms).alias("term"))
+    toks = docs.select(id_col, *keep, F.explode_outer(terms).alias("term"))
     scored = join_lexicon(toks, lex, "left")
-    return scored.groupBy(id_col).agg(
+    return scored.groupBy(id_col, *keep).agg(
         F.count("valence").alias("n_recognised"),
         F.coalesce(F.sum("valence"), F.lit(0)).cast("long").alias("score_sum"),
         F.try_divide(F.sum("valence"), F.count("valence")).alias("score_mean"),
@@ -113,24 +115,26 @@ INLINE_STOPWORDS = 50_000
 
 
 def stopword_remove(docs: DataFrame, stopwords: DataFrame, id_col: str = "doc_id",
-                    tokens_col: str = "tokens") -> DataFrame:
+                    tokens_col: str = "tokens", inline: int = INLINE_STOPWORDS) -> DataFrame:
     """JON3: drop stopword tokens, keeping token order; one output row per input row.
 
-    A list of at most ``INLINE_STOPWORDS`` words (checked with a bounded
+    A list of at most ``inline`` words (checked with a bounded
     ``limit``) is applied as ``filter(tokens, t -> NOT t IN (...))``, which
     Catalyst turns into a hash-set lookup: no shuffle at all. A larger list
-    falls back to explode + anti join + per-document regroup.
+    falls back to explode + anti join + regroup by row: rows are numbered in a
+    written copy, so rows of one id stay apart and the result is the same.
     """
-    words = [r[0] for r in stopwords.select("term").distinct().limit(INLINE_STOPWORDS + 1).collect()]
-    if len(words) <= INLINE_STOPWORDS:
+    words = [r[0] for r in stopwords.select("term").distinct().limit(inline + 1).collect()]
+    if len(words) <= inline:
         return docs.withColumn(tokens_col, stopword_filter_inline(tokens_col, words))
-    toks = explode_nonempty(docs, [id_col], tokens_col, "term", "pos")
+    rows = checkpoint(docs.withColumn("_row", F.monotonically_increasing_id()))
+    toks = explode_nonempty(rows, ["_row"], tokens_col, "term", "pos")
     kept = toks.join(stopwords.select("term").distinct(), "term", "left_anti")
-    regrouped = kept.groupBy(id_col).agg(
+    regrouped = kept.groupBy("_row").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda s: s["term"]).alias("_kept"))
-    out = docs.join(regrouped, id_col, "left")
+    out = rows.join(regrouped, "_row", "left")
     return out.withColumn(tokens_col, F.when(F.col(tokens_col).isNull(), F.lit(None))
-                          .otherwise(F.coalesce(F.col("_kept"), F.array().cast("array<string>")))).drop("_kept")
+                          .otherwise(F.coalesce(F.col("_kept"), F.array().cast("array<string>")))).drop("_kept", "_row")
 
 
 def stopword_filter_inline(tokens_col: str, words: list[str]) -> F.Column:

@@ -124,7 +124,7 @@ def segment_paragraphs(records: DataFrame, record_col: str = "record", sep_regex
     split on ``sep_regex``, trimmed, empties dropped. ``keep`` columns pass through."""
     rec = F.col(record_col)
     header = F.substring_index(rec, "\n", 1)
-    body = F.substring(rec, F.length(header) + 2, 1 << 30)
+    body = F.substr(rec, F.length(header) + 2)
     return records.select(
         *keep,
         F.regexp_extract(header, r"(\d{4})", 1).try_cast("int").alias("year"),

@@ -14,14 +14,13 @@ matrix B and the document-topic matrix T, so one iteration is:
    p ~ T[k] * B[v, k];
 3. checkpoint the new assignment (lineage cut, survives executor loss).
 
-Only K-sized scalars (norm checks) reach the driver.
+Only the two norms of each iteration reach the driver.
 """
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,17 +30,24 @@ from quarry.operators.util import checkpoint, with_global_index
 
 # ---------------------------------------------------------------- Spark ML LDA
 
-def count_vectors(docs: DataFrame, tokens_col: str = "tokens", vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """Fit a CountVectorizer; returns (model, docs with ``features``)."""
-    cv = CountVectorizer(inputCol=tokens_col, outputCol="features", vocabSize=vocab_size, minDF=min_df)
-    model = cv.fit(docs)
-    return model, model.transform(docs)
+def count_vectors(docs: DataFrame, tokens_col: str = "tokens", id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """``(vocabulary, vectors)``: every term with its ``term_index``, and ``(id, features)`` counts over all of them.
+
+    The vocabulary is a table (``with_global_index``), of any size; only its
+    row count is on the driver. Ids are unique; a document without tokens has
+    no vector.
+    """
+    from quarry.operators.matrix import doc_term_matrix, to_ml_vectors
+
+    dtm = checkpoint(doc_term_matrix(docs, id_col, tokens_col))
+    vocab = checkpoint(with_global_index(dtm.select("term").distinct(), ["term"], "term_index"))
+    return vocab, to_ml_vectors(dtm, vocab, vocab.count(), id_col)
 
 
 def lda_fit(train: DataFrame, k: int = 5, max_iter: int = 50, seed: int = 1, doc_concentration: float = 0.1,
             topic_concentration: float = 0.01, features_col: str = "features"):
-    """LDA1 / LDA3: online LDA with the priors of the reference's library."""
-    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol=features_col,
+    """LDA1 / LDA3: online LDA with the priors of the reference's library; each iteration sees all training rows."""
+    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol=features_col, subsamplingRate=1.0,
               docConcentration=[doc_concentration] * k, topicConcentration=topic_concentration)
     return lda.fit(train)
 
@@ -54,19 +60,17 @@ def lda_project(model, docs: DataFrame, id_col: str = "doc_id", prefix: str = "l
     return out.select(id_col, *[F.col("_td")[i].alias(f"{prefix}{i + 1}") for i in range(k)])
 
 
-def topic_top_words(model, vocabulary: list[str], n: int = 10) -> DataFrame:
+def topic_top_words(model, vocabulary: DataFrame, n: int = 10) -> DataFrame:
     """TOP2 / LDA4: the n heaviest terms per topic with their weights.
 
-    ``vocabulary`` is the CountVectorizer model's term list (model state,
-    bounded by its ``vocabSize``).
+    ``vocabulary`` is ``(term, term_index)``; the K x n chosen indices are
+    broadcast to it.
     """
-    spark = model.describeTopics(1).sparkSession
     topics = model.describeTopics(n)
     ex = topics.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw"))
-    vocab = spark.createDataFrame(list(enumerate(vocabulary)), "term_index int, term string")
-    return (ex.select("topic", (F.col("rank") + 1).alias("rank"), F.col("tw.termIndices").alias("term_index"),
-                      F.col("tw.termWeights").alias("weight"))
-            .join(vocab, "term_index").select("topic", "rank", "term", "weight"))
+    ex = ex.select("topic", (F.col("rank") + 1).alias("rank"), F.col("tw.termIndices").cast("long").alias("term_index"),
+                   F.col("tw.termWeights").alias("weight"))
+    return vocabulary.join(F.broadcast(ex), "term_index").select("topic", "rank", "term", "weight")
 
 
 def doc_top_topics(projections: DataFrame, id_col: str = "doc_id", prefix: str = "lda", k: int | None = None,
@@ -125,7 +129,8 @@ def _doc_step(k: int, alpha: float, seed: int, it: int):
         ends = np.r_[starts[1:], len(docs)]
         seg = np.repeat(np.arange(len(starts)), ends - starts)
         n = np.zeros((len(starts), k))
-        np.add.at(n, (seg, z), tf)
+        drawn = z >= 0  # before the first iteration no cell has a topic
+        np.add.at(n, (seg[drawn], z[drawn]), tf[drawn])
         t = np.empty_like(n)
         u = np.empty(len(docs))
         for i, (a, e) in enumerate(zip(starts, ends)):
@@ -167,11 +172,13 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
               max_iter: int = 20, cutoff: float = 0.01, seed: int = 0, id_col: str = "doc_id"):
     """LIN4: blocked Gibbs LDA on a long DTM ``(doc_id, term, tf)``.
 
-    Defaults eta = 200 / V, alpha = 50 / K. Stops when the Frobenius norms of
-    the changes of both B and T fall below ``cutoff`` (AGG22), or after
-    ``max_iter`` iterations. Returns ``(theta, beta, history)`` with
-    ``theta(doc_id, topic, p)``, ``beta(term, topic, p)`` and per-iteration
-    norms.
+    Defaults eta = 200 / V, alpha = 50 / K. The first B and T are drawn from
+    their priors (all counts 0). Stops when the Frobenius norms of both B and T
+    move by less than ``cutoff`` from one iteration to the next (AGG22), or
+    after ``max_iter`` iterations. Returns ``(theta, beta, history, counts)``:
+    ``theta(doc_id, topic, p)``, ``beta(term, topic, p)``, the norms of each
+    iteration, and ``counts(doc_id, topic, n)``, the tokens of each document by
+    their last topic.
     """
     spark = dtm.sparkSession
     vocab = with_global_index(dtm.select("term").distinct(), ["term"], "term_index")
@@ -183,14 +190,12 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
 
     cells = attach_by_term(checkpoint(dtm.select(F.col(id_col).alias("doc_id"), "term", "tf")), vocab).select(
         "doc_id", "term_index", F.col("tf").cast("long").alias("tf"))
-    z0 = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "term_index"), F.lit(k)).cast("int")
-    state = checkpoint(cells.withColumn("z", z0))
+    state = checkpoint(cells.withColumn("z", F.lit(-1)))
     # document frequency per term index: hot terms of the cells x B join
     term_counts = checkpoint(state.groupBy("term_index").agg(F.count(F.lit(1)).alias("n")))
     n_cells = state.count()
     chunks = vocab.select("term_index", (F.col("term_index") / CHUNK).cast("long").alias("chunk"))
-    b_prev = theta_prev = None
-    history = []
+    history: list[tuple[int, float, float]] = []
     b_schema = "term_index long, " + ", ".join(f"g{j} double" for j in range(k))
     d_schema = "doc_id long, term_index long, tf long, z int, " + ", ".join(f"t{j} double" for j in range(k))
     for it in range(1, max_iter + 1):
@@ -205,23 +210,13 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
         joined = joined.repartition("doc_id").sortWithinPartitions("doc_id", "term_index")
         new = checkpoint(joined.mapInPandas(_doc_step(k, alpha, seed, it), d_schema))
         theta = new.groupBy("doc_id").agg(*[F.first(f"t{j}").alias(f"t{j}") for j in range(k)])
-        if b_prev is not None:
-            pb = b_prev.select("term_index", *[F.col(f"b{j}").alias(f"p{j}") for j in range(k)])
-            nb = (b.join(pb, "term_index").select(sum((F.col(f"b{j}") - F.col(f"p{j}")) ** 2 for j in range(k)).alias("d"))
-                  .agg(F.sqrt(F.sum("d")).alias("db")))
-            pt = theta_prev.select("doc_id", *[F.col(f"t{j}").alias(f"p{j}") for j in range(k)])
-            nt = (theta.join(pt, "doc_id").select(sum((F.col(f"t{j}") - F.col(f"p{j}")) ** 2 for j in range(k)).alias("d"))
-                  .agg(F.sqrt(F.sum("d")).alias("dt")))
-            norms = nb.crossJoin(nt).first()  # both one-row aggregates in one job
-            db, dt = norms["db"], norms["dt"]
-            history.append((it, float(db), float(dt)))
-            if db < cutoff and dt < cutoff:
-                state, b_prev, theta_prev = new, b, theta
-                break
-        else:
-            history.append((it, None, None))
-        state, b_prev, theta_prev = new, b, theta
-    theta_long = theta_prev.select("doc_id", F.posexplode(F.array(*[F.col(f"t{j}") for j in range(k)])).alias("topic", "p"))
-    beta_long = b_prev.join(vocab, "term_index").select(
-        "term", F.posexplode(F.array(*[F.col(f"b{j}") for j in range(k)])).alias("topic", "p"))
-    return theta_long, beta_long, spark.createDataFrame(history, "iteration int, d_beta double, d_theta double")
+        norm = lambda m, c: m.agg(F.sqrt(F.sum(sum(F.col(f"{c}{j}") ** 2 for j in range(k)))).alias(f"n{c}"))
+        norms = norm(b, "b").crossJoin(F.broadcast(norm(theta, "t"))).first()  # two one-row aggregates in one job
+        state = new
+        history.append((it, float(norms["nb"]), float(norms["nt"])))
+        if it > 1 and all(abs(x - y) < cutoff for x, y in zip(history[-1][1:], history[-2][1:])):
+            break
+    theta_long = theta.select("doc_id", F.posexplode(F.array(*[F.col(f"t{j}") for j in range(k)])).alias("topic", "p"))
+    beta_long = b.join(vocab, "term_index").select("term", F.posexplode(F.array(*[F.col(f"b{j}") for j in range(k)])).alias("topic", "p"))
+    counts = state.groupBy("doc_id", F.col("z").alias("topic")).agg(F.sum("tf").alias("n"))
+    return theta_long, beta_long, spark.createDataFrame(history, "iteration int, norm_beta double, norm_theta double"), counts

@@ -47,5 +47,5 @@ CITIES = [
 ]
 
 # Marker phrases of listing pages.
-REMOVED_MARKERS = ["this property has been removed", "no longer available"]
+REMOVED_MARKERS = ["we are sorry but", "this property has been removed", "no longer available"]
 LET_AGREED_MARKER = "let agreed"

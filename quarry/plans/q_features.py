@@ -42,7 +42,7 @@ def _cust_geo(spark, sf):
 select id, monthly_price, availability_lag from {LISTINGS_SQL}
 where usable and availability_lag <= {LAG_DAYS} and not removed""")
 def usable_documents(spark, sf):
-    ls = listings(spark, sf)
+    ls = listings(spark, sf, customer=False)
     return ls.where(F.col("usable") & (F.col("availability_lag") <= LAG_DAYS) & ~F.col("removed")).select(
         "id", "monthly_price", "availability_lag")
 
@@ -50,7 +50,7 @@ def usable_documents(spark, sf):
 @register("pending_rows", "FLT2, SRC8", f"""
 select id from {LISTINGS_SQL} where usable and not removed and not let_agreed and availability_lag <= {LAG_DAYS}""")
 def pending_rows(spark, sf):
-    ls = listings(spark, sf)
+    ls = listings(spark, sf, customer=False)
     return ls.where(F.col("usable") & ~F.col("removed") & ~F.col("let_agreed")
                     & (F.col("availability_lag") <= LAG_DAYS)).select("id")
 
@@ -69,7 +69,7 @@ def subset_by_predicate(spark, sf, predicate=None):
 
 
 @register("train_test_split", "FLT5", """
-select doc_id, round(((doc_id * 7919) % 1000) / 1000.0, 6) as u, ((doc_id * 7919) % 1000) / 1000.0 < 0.8 as is_train from documents""")
+select doc_id, round((cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 8) as bigint) % 1000) / 1000.0, 6) as u, (cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 8) as bigint) % 1000) / 1000.0 < 0.8 as is_train from documents""")
 def train_test_split(spark, sf, cutoff: float = 0.8):
     d = Tables(spark, sf).documents
     u = N.train_fraction("doc_id")
@@ -86,7 +86,7 @@ def url_pattern_filter(spark, sf):
 @register("time_to_event", "DAT4", f"""
 select id, cast(case when let_agreed then datediff('day', date_advertised, latest_date) - 1 end as integer) as time_to_let from {LISTINGS_SQL}""")
 def time_to_event(spark, sf):
-    ls = listings(spark, sf)
+    ls = listings(spark, sf, customer=False)
     return ls.select("id", D.time_to_event("date_advertised", "latest_date", "let_agreed").alias("time_to_let"))
 
 
@@ -94,7 +94,7 @@ def time_to_event(spark, sf):
 with t as (select id, cast(case when let_agreed then datediff('day', date_advertised, latest_date) - 1 end as integer) as time_to_let from {LISTINGS_SQL})
 select id, cast(coalesce(time_to_let, (select max(time_to_let) + 1 from t)) as integer) as time_to_let from t""")
 def impute_max_plus_one(spark, sf):
-    ls = listings(spark, sf)
+    ls = listings(spark, sf, customer=False)
     t = ls.select("id", D.time_to_event("date_advertised", "latest_date", "let_agreed").alias("time_to_let"))
     return N.impute_max_plus_one(t, "time_to_let")
 
@@ -113,15 +113,11 @@ from {RADII_SQL} r left join {CUST_GEO_SQL} g
   on sqrt(power(g.latitude - r.lat, 2) + power(g.longitude - r.long, 2)) < r.radius_deg
 group by all""")
 def geo_radius(spark, sf):
-    radii = FE.city_radii(_cities(spark))
-    flagged = _cust_geo(spark, sf)
-    # per city count: one inline distance predicate per city (the table is 6 rows)
-    rows = radii.collect()
-    counts = flagged.agg(*[F.count_if(N.within("latitude", "longitude", r["lat"], r["long"], r["radius_deg"])).alias(r["name"])
-                           for r in rows])
-    long = counts.unpivot([], [r["name"] for r in rows], "name", "n_customers")
-    return radii.join(F.broadcast(long), "name").select(
-        "name", *[F.round(c, 6).alias(c) for c in ("radius_km", "radius_lat", "radius_long", "radius_deg")], "n_customers")
+    cities = _cities(spark)
+    counts = FE.points_in_cities(_cust_geo(spark, sf), cities).groupBy("name").agg(F.count(F.lit(1)).alias("n_customers"))
+    return FE.city_radii(cities).join(counts, "name", "left").select(
+        "name", *[F.round(c, 6).alias(c) for c in ("radius_km", "radius_lat", "radius_long", "radius_deg")],
+        F.coalesce("n_customers", F.lit(0)).alias("n_customers"))
 
 
 @register("geo_flags", "NUM2, JON9", f"""
@@ -149,9 +145,8 @@ _SCORES_SQL = f"""(select d.doc_id, d.source, d.lang, d.year, coalesce(s.score,
 
 
 def _scores(spark, sf):
-    d = C.doc_tokens(spark, sf)
-    s = L.lexicon_sentiment(d, C.valence(spark))
-    return d.select("doc_id", "source", "lang", "year").join(s.select("doc_id", F.col("score_sum").alias("score")), "doc_id")
+    s = L.lexicon_sentiment(C.doc_tokens(spark, sf), C.valence(spark), keep=("source", "lang", "year"))
+    return s.select("doc_id", "source", "lang", "year", F.col("score_sum").alias("score"))
 
 
 @register("pivot_difference", "JON10, MLR5 (arithmetic)", f"""

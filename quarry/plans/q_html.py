@@ -40,7 +40,7 @@ def pages_scan(spark, sf):
 @register("page_links", "HTM1", rf"""
 select page_id, substr(link, 2) as link_id, min(pos) as first_pos
 from (select page_id, unnest(l) as link, unnest(range(0, len(l))) as pos
-      from (select page_id, regexp_extract_all({_CLEAN_SQL}, 'href="([^"]*)"', 1) as l from pages))
+      from (select page_id, list_transform(regexp_extract_all({_CLEAN_SQL}, '(?i)href\s*=\s*("[^"]*"|''[^'']*'')', 1), lambda q: q[2:-2]) as l from pages))
 where regexp_full_match(link, '/[^/?#]+')
 group by page_id, link""")
 def page_links(spark, sf):
@@ -48,12 +48,13 @@ def page_links(spark, sf):
     return HT.page_links(p, r"^/[^/?#]+$").select("page_id", "link_id", "first_pos")
 
 
-def _parse_sql(raw: str) -> str:
+def _parse_sql(raw: str, bare: bool = False) -> str:
+    """The flexible date, its long form only before " (" unless ``bare``."""
     v = f"trim(regexp_replace({raw}, '(?i)^added on ', ''))"
     return f"""case when lower({v}) in ('today', 'now') then date '{AS_OF}'
       when lower({v}) = 'yesterday' then date '{AS_OF}' - 1
       else coalesce(cast(try_strptime(substr({v}, 1, 10), '%d/%m/%Y') as date),
-                    cast(try_strptime(split_part({v}, ' (', 1), '%d %B %Y') as date)) end"""
+                    {"" if bare else f"case when contains({v}, ' (') then "}cast(try_strptime(split_part({v}, ' (', 1), '%d %B %Y') as date){"" if bare else " end"}) end"""
 
 
 def _page_blocks_sql() -> str:
@@ -64,9 +65,9 @@ def _page_blocks_sql() -> str:
 select page_id, block_no, starts_with(block, '<b>') as is_premium, {t} as block_text,
        len(regexp_extract_all(lower({t}), '([\p{{L}}\p{{N}}_]+)', 1)) as n_words,
        {added} as added_text,
-       case when {added} <> '' then {_parse_sql(value)} end as add_date
+       case when {added} <> '' then {_parse_sql(value, bare=True)} end as add_date
 from (select page_id, unnest(b) as block, unnest(range(0, len(b))) as block_no
-      from (select page_id, regexp_extract_all({_CLEAN_SQL}, '(?s)<p>(.*?)</p>', 1) as b from pages))"""
+      from (select page_id, regexp_extract_all({_CLEAN_SQL}, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1) as b from pages))"""
 
 
 @register("page_blocks", "HTM2, DAT5", _page_blocks_sql())
@@ -81,29 +82,36 @@ def page_title(spark, sf):
     return p.select("page_id", H.title("html").alias("title"))
 
 
-_REMOVED = " or ".join(f"contains(lower(html), {S.q(m)})" for m in FX.REMOVED_MARKERS)
+# listing pages of which every fifth was taken down and every fifth let: the marker phrases are put in by page id
+_STATUS_HTML = """html || case page_id % 5 when 0 then '<p>We are sorry but this page has gone.</p>'
+  when 1 then '<p class="s">LET AGREED</p>' when 2 then '<p>No longer available, let agreed</p>' else '' end"""
+_REMOVED = " or ".join(f"contains(lower(h), {S.q(m)})" for m in FX.REMOVED_MARKERS)
 
 
 @register("page_status_flags", "HTM6", rf"""
 select page_id, ({_REMOVED}) as removed,
-       (not ({_REMOVED}) and contains(lower(html), {S.q(FX.LET_AGREED_MARKER)})) as let_agreed,
-       contains(html, 'class="ad"') as has_ad
-from pages""")
+       (not ({_REMOVED}) and contains(lower(h), {S.q(FX.LET_AGREED_MARKER)})) as let_agreed,
+       contains(h, 'class="ad"') as has_ad
+from (select page_id, {_STATUS_HTML} as h from pages)""")
 def page_status_flags(spark, sf):
     p = Tables(spark, sf).pages
+    k = F.col("page_id") % 5
+    marker = (F.when(k == 0, "<p>We are sorry but this page has gone.</p>").when(k == 1, '<p class="s">LET AGREED</p>')
+              .when(k == 2, "<p>No longer available, let agreed</p>").otherwise(""))
+    p = p.select("page_id", F.concat("html", marker).alias("html"))
     return HT.status_flags(p).select("page_id", "removed", "let_agreed", "has_ad")
 
 
 @register("counter_parse", "HTM7", rf"""
 select page_id, counter, try_cast(string_split(counter, ' ')[3] as integer) as total
-from (select page_id, '1 of ' || cast(len(regexp_extract_all({_CLEAN_SQL}, 'href="([^"]*)"', 1)) as varchar) as counter from pages)""")
+from (select page_id, '1 of ' || cast(len(list_transform(regexp_extract_all({_CLEAN_SQL}, '(?i)href\s*=\s*("[^"]*"|''[^'']*'')', 1), lambda q: q[2:-2])) as varchar) as counter from pages)""")
 def counter_parse(spark, sf):
     p = Tables(spark, sf).pages
     c = p.select("page_id", F.concat(F.lit("1 of "), F.size(H.links("html")).cast("string")).alias("counter"))
     return c.select("page_id", "counter", H.counter_total("counter").alias("total"))
 
 
-_ARTICLE_SQL = f"""regexp_replace(regexp_extract({_CLEAN_SQL}, '(?s)<article[^>]*>(.*?)</article>', 1),
+_ARTICLE_SQL = f"""regexp_replace(array_to_string(regexp_extract_all({_CLEAN_SQL}, '(?s)<article[^>]*>(.*?)</article>', 1), ' '),
                    '(?i)<(p|br|h[1-6]|li|div|tr|td)\\b[^>]*>', ' ', 'g')"""
 
 
@@ -115,16 +123,42 @@ def page_main_text(spark, sf):
     return HT.main_text(Tables(spark, sf).pages)
 
 
-@register("page_main_text_parsed", "HTM4 (HTML parser)")
+@register("page_main_text_parsed", "HTM4 (blocks)", f"""
+select page_id, {_text_sql(_ARTICLE_SQL)} as main_text,
+       len(regexp_extract_all(lower({_text_sql(_ARTICLE_SQL)}), '([\\p{{L}}\\p{{N}}_]+)', 1)) as n_words
+from pages""")
 def page_main_text_parsed(spark, sf):
-    return HT.main_text(Tables(spark, sf).pages, method="parser")
+    return HT.main_text(Tables(spark, sf).pages)
+
+
+_LABEL_RES = [r"""(?i)<html\s+(lang)="([^"]*)\"""", r"""(?i)<meta\s+(charset)="([^"]*)\"""",
+              r"""(?s)>\s*([^<>:]*[^<>:\s])\s*:\s*([^<>]*[^<>\s])\s*<"""]
+# a list of label/value runs as a listing page has it, one value as long as the page's url and one over 200 characters
+_LABEL_HTML = """html || '<ul><li>Letting type: ' || case page_id % 3 when 0 then 'Long term' when 1 then 'Short &amp; long' else '' end ||
+  '</li><li> Furnishing :' || url || '</li><li>letting  type: ' || repeat('x', cast(200 + page_id % 50 as integer)) || '</li></ul>'"""
+
 
+def _labels_sql(kind: int, pattern: str) -> str:
+    p = S.q(pattern)
+    return f"""select page_id, {kind} as kind, unnest(regexp_extract_all(h, {p}, 1)) as k, unnest(regexp_extract_all(h, {p}, 2)) as v,
+       unnest(range(0, len(regexp_extract_all(h, {p}, 1)))) as pos
+    from (select page_id, {_CLEAN_SQL} as h from (select page_id, {_LABEL_HTML} as html from pages))"""
 
-@register("page_label_values", "HTM5")
+
+@register("page_label_values", "HTM5", f"""
+select page_id, label, arg_max(value, (kind, pos)) as value
+from (select page_id, lower(trim(regexp_replace({_unescape_sql("k")}, '\\s+', ' ', 'g'))) as label,
+             trim(regexp_replace({_unescape_sql("v")}, '\\s+', ' ', 'g')) as value, kind, pos
+      from ({" union all ".join(_labels_sql(i, p) for i, p in enumerate(_LABEL_RES))}))
+where label <> '' group by page_id, label""")
 def page_label_values(spark, sf):
-    out = HT.label_values(Tables(spark, sf).pages)
-    return out.select("page_id", "labels", F.element_at("labels", "lang").alias("lang"),
-                      F.element_at("labels", "charset").alias("charset"))
+    """Label/value pairs of each page: language, character set, and runs of text "label: value" of any length."""
+    p = Tables(spark, sf).pages
+    k = F.col("page_id") % 3
+    letting = F.when(k == 0, "Long term").when(k == 1, "Short &amp; long").otherwise("")
+    html = F.concat("html", F.lit("<ul><li>Letting type: "), letting, F.lit("</li><li> Furnishing :"), "url", F.lit("</li><li>letting  type: "),
+                    F.repeat(F.lit("x"), (200 + F.col("page_id") % 50).cast("int")), F.lit("</li></ul>"))
+    return HT.label_values(p.select("page_id", html.alias("html")), _LABEL_RES)
 
 
 # ---- string parsing over values built from the order tables ----
@@ -180,6 +214,23 @@ def clean_string(spark, sf):
     return d.select("doc_id", T.clean_string("text").alias("cleaned"))
 
 
+@register("right_justify", "TXT19", """
+select p_partkey, repeat(' ', greatest(0, 15 - length(p_name))) || p_name as label from part""")
+def right_justify(spark, sf):
+    """Labels shorter and longer than the column: the longer ones are never cut."""
+    return Tables(spark, sf).part.select("p_partkey", T.right_justify("p_name", 15).alias("label"))
+
+
+@register("regex_single_match_lines", "TXT14", r"""
+select doc_id, case when len(m) = 1 then m[1] end as value
+from (select doc_id, regexp_extract_all('Price: ' || text || chr(10) || ' end', '(?s)Price: (.*) end', 1) as m from documents)""")
+def regex_single_match_lines(spark, sf):
+    """A value that runs over several lines."""
+    d = Tables(spark, sf).documents
+    txt = F.concat(F.lit("Price: "), F.col("text"), F.lit("\n end"))
+    return d.select("doc_id", T.regex_single_match(txt, "Price: (.*) end").alias("value"))
+
+
 @register("text_bar", "TXT19", f"""
 select year, lpad(cast(year as varchar), 15, ' ') as label, repeat('*', greatest(0, cast(trunc(score / 32) as integer))) as bar
 from (select year, sum(score) as score from (select d.doc_id, d.year, coalesce(s.score, 0) as score from {S.DOC_TOKENS} d left join
@@ -188,9 +239,8 @@ from (select year, sum(score) as score from (select d.doc_id, d.year, coalesce(s
 def text_bar(spark, sf):
     from quarry.operators import lexicon as L
 
-    d = C.doc_tokens(spark, sf)
-    s = L.lexicon_sentiment(d, C.valence(spark))
-    per_year = d.select("doc_id", "year").join(s, "doc_id").groupBy("year").agg(F.sum("score_sum").alias("score"))
+    s = L.lexicon_sentiment(C.doc_tokens(spark, sf), C.valence(spark), keep=("year",))
+    per_year = s.groupBy("year").agg(F.sum("score_sum").alias("score"))
     return per_year.select("year", T.right_justify("year", 15).alias("label"), T.text_bar("score", 32).alias("bar"))
 
 

@@ -74,7 +74,7 @@ select o_orderkey, raw, case when raw is null then 'missing' else 'unparseable'
 from {_DATE_TEXT_SQL}
 where raw is null or (lower(trim(regexp_replace(raw, '(?i)^added on ', ''))) not in ('today', 'now', 'yesterday')
   and coalesce(cast(try_strptime(substr(trim(regexp_replace(raw, '(?i)^added on ', '')), 1, 10), '%d/%m/%Y') as date),
-               cast(try_strptime(split_part(trim(regexp_replace(raw, '(?i)^added on ', '')), ' (', 1), '%d %B %Y') as date)) is null)""")
+               case when contains(raw, ' (') then cast(try_strptime(split_part(trim(regexp_replace(raw, '(?i)^added on ', '')), ' (', 1), '%d %B %Y') as date) end) is null)""")
 def quarantine_rows(spark, sf):
     from quarry.plans.q_html import _date_text
 
@@ -120,27 +120,31 @@ def ingest_batch(spark, sf):
     return good.select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
-@register("ingest_stream", "ING3 (stream)", "select event_id, ts, user_id, event_type, value, props from events")
+@register("ingest_stream", "ING3 (stream), SNK9", f"""
+select event_id, ts, user_id, event_type, value, props, case when value is null or value < 1 then 'no_value' when user_id % 10 = 0 then 'bad_user' end as reason
+from events where event_id % 7 <> 0""")
 def ingest_stream(spark, sf):
-    """Two file drops of ``events`` drained by an availableNow stream."""
+    """Two file drops of ``events`` drained by an availableNow stream: every seventh id is
+    stored already, rows without a value or of certain users are quarantined."""
     from quarry.streaming.ingest import ingest_stream as run
 
     ev = Tables(spark, sf).events
-    src = scratch_path(spark, "events_src")
-    sink = scratch_path(spark, "events_sink")
-    ckpt = scratch_path(spark, "events_ckpt")
+    src, sink, bad, ckpt = (scratch_path(spark, n) for n in ("events_src", "events_sink", "events_bad", "events_ckpt"))
+    known = ev.where(F.col("event_id") % 7 == 0).select("event_id")
+    checks = {"no_value": F.col("value").isNull() | (F.col("value") < 1), "bad_user": F.col("user_id") % 10 == 0}
     first = ev.where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
     first.write.parquet(f"{src}/drop=1")
-    run(spark, f"{src}/drop=1", ev.schema, sink, ckpt, "event_id", "ts")
+    run(spark, f"{src}/drop=1", ev.schema, sink, ckpt, "event_id", "ts", known, checks, bad)
     # second drop overlaps the first (re-sent clicks) and brings the rest
     second = ev.where(F.col("ts") >= F.lit(STORED_BEFORE).cast("timestamp_ntz")).unionByName(
         first.where(F.col("event_type") == "click"))
     second.write.parquet(f"{src}/drop=2")
-    return run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, "event_id", "ts")
+    good, errors = run(spark, f"{src}/drop=*", ev.schema, sink, ckpt, "event_id", "ts", known, checks, bad)
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(errors.drop("logged_at")).select(*ev.columns, "reason")
 
 
 @register("status_refresh", "ING4", """
-select user_id, arg_min(removed, ts) as removed, arg_min(let_agreed, ts) as let_agreed, min(ts) as flagged_ts
+select user_id, arg_min(removed, (ts, not removed)) as removed, arg_min(let_agreed, (ts, not removed)) as let_agreed, min(ts) as flagged_ts
 from (select user_id, ts, event_type = 'signup' as removed, event_type = 'purchase' as let_agreed from events
       where event_type in ('signup', 'purchase')) group by user_id""")
 def status_refresh(spark, sf):
@@ -149,7 +153,7 @@ def status_refresh(spark, sf):
 
 
 @register("status_refresh_stream", "ING4 (stream)", """
-select user_id, arg_min(removed, ts) as removed, arg_min(let_agreed, ts) as let_agreed, min(ts) as flagged_ts
+select user_id, arg_min(removed, (ts, not removed)) as removed, arg_min(let_agreed, (ts, not removed)) as let_agreed, min(ts) as flagged_ts
 from (select user_id, ts, event_type = 'signup' as removed, event_type = 'purchase' as let_agreed from events
       where event_type in ('signup', 'purchase')) group by user_id""")
 def status_refresh_stream(spark, sf):
@@ -170,7 +174,7 @@ def status_refresh_stream(spark, sf):
 select l.id, coalesce(l.num_photos, cast(v.n as integer)) as num_photos
 from {LISTINGS_SQL} l left join (select l_orderkey, count(*) as n from lineitem group by l_orderkey) v on l.id = v.l_orderkey""")
 def enrich_missing(spark, sf):
-    ls = listings(spark, sf).select("id", "num_photos")
+    ls = listings(spark, sf, customer=False).select("id", "num_photos")
     vals = Tables(spark, sf).lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(F.count(F.lit(1)).cast("int").alias("num_photos"))
     return I.enrich_missing(ls, vals, "id", "num_photos").select("id", "num_photos")
 
@@ -190,14 +194,14 @@ _CLEAN_SQL = r"""regexp_replace(regexp_replace(regexp_replace(html, '(?is)<scrip
 @register("first_seen_ids", "TOP7", rf"""
 select substr(link, 2) as link_id, arg_min(page_id, (page_id, pos)) as page_id, arg_min(pos, (page_id, pos)) as pos
 from (select page_id, unnest(l) as link, unnest(range(0, len(l))) as pos
-      from (select page_id, regexp_extract_all({_CLEAN_SQL}, 'href="([^"]*)"', 1) as l from pages))
+      from (select page_id, list_transform(regexp_extract_all({_CLEAN_SQL}, '(?i)href\s*=\s*("[^"]*"|''[^'']*'')', 1), lambda q: q[2:-2]) as l from pages))
 where regexp_full_match(link, '/[^/?#]+')
 group by link""")
 def first_seen_ids(spark, sf):
     p = Tables(spark, sf).pages
     ex = explode_nonempty(p, ["page_id"], H.links("html"), "link", "pos").where(F.col("link").rlike(r"^/[^/?#]+$"))
     out = I.first_seen(ex, "link", ["page_id", "pos"])
-    return out.select(F.substring("link", 2, 1 << 20).alias("link_id"), "page_id", F.col("pos").cast("long").alias("pos"))
+    return out.select(F.substr("link", F.lit(2)).alias("link_id"), "page_id", F.col("pos").cast("long").alias("pos"))
 
 
 @register("clean_text", "ING6, TXT7, TXT8, TXT10", f"""

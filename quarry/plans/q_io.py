@@ -27,11 +27,13 @@ def write_speeches_json(spark, sf):
 
 @register("read_json_speeches", "SRC1", f"select year, source as author, text from {S.DOCS}")
 def read_json_speeches(spark, sf):
-    """Positional JSON arrays ``[year, author, text]`` written, then read whole-file."""
-    d = C.documents(spark, sf).select("year", F.col("source").alias("author"), "text")
+    """Positional JSON arrays ``[year, author, text]``, one file a speech, read by the file reader."""
+    d = C.documents(spark, sf).select("year", F.col("source").alias("author"), "text", F.col("doc_id").alias("file"))
     path = scratch_path(spark, "speeches_arrays")
-    W.write_speeches_json(d, path, positional=True)
-    return spark.read.text(path).select(*R.parse_json_speech("value"))
+    # a partition folder per speech gives a file per speech
+    arr = F.to_json(F.array(F.col("year").cast("string"), F.col("author"), F.col("text"))).alias("value")
+    d.select(arr, "file").write.partitionBy("file").text(path)
+    return R.read_json_speeches(spark, f"{path}/file=*").select("year", "author", "text")
 
 
 @register("read_corpus_text", "SRC2", f"""
@@ -45,6 +47,29 @@ def read_corpus_text(spark, sf):
     return R.read_corpus_text(spark, path, G.DELIMITER)
 
 
+@register("read_stopwords", "SRC3", f"""
+select distinct w as term from (select unnest(string_split(p_name, ' ')) as w from part) where length(w) > 4
+union select term from {S.STOPWORDS} where length(term) > 4""")
+def read_stopwords(spark, sf):
+    """A stopword file (the list and the words of part names, one a line, repeated), words longer than 4."""
+    path = scratch_path(spark, "stopwords")
+    names = Tables(spark, sf).part.select(F.explode(F.split("p_name", " ")).alias("value"))
+    names.unionByName(C.stopwords(spark).select(F.col("term").alias("value"))).write.text(path)
+    return R.read_stopwords(spark, path, min_len_exclusive=4)
+
+
+@register("read_category_dictionary", "SRC5", r"""
+select distinct lower(regexp_replace(w || '#' || cast(p_size as varchar), '[#0-9]+$', '')) as term
+from (select p_size, unnest(string_split(p_name, ' ')) as w from part)""")
+def read_category_dictionary(spark, sf):
+    """A ``;`` dictionary file with a header, its words with sense numbers, read by the file reader."""
+    path = scratch_path(spark, "dictionary")
+    rows = Tables(spark, sf).part.select("p_size", "p_brand", F.explode(F.split("p_name", " ")).alias("w"))
+    entry = F.concat(F.upper("w"), F.lit("#"), F.col("p_size").cast("string")).alias("Entry")
+    rows.select(entry, F.col("p_brand").alias("Source")).write.option("sep", ";").option("header", "true").csv(path)
+    return R.read_category_dictionary(spark, path)
+
+
 @register("lexicon_load", "SRC4", f"""
 with w as (select term, count(*) as c from (select unnest(tokens) as term from {S.DOC_TOKENS}) group by term)
 select term, cast(c % 11 - 5 as integer) as valence from w

@@ -16,25 +16,16 @@ from quarry.operators import topics as TP
 from quarry.operators.cleaning import clean_tokens, speech_tokens
 from quarry.operators.util import checkpoint, with_global_index
 from quarry.plans import corpus as C
-from quarry.plans.listings import listings
+from quarry.plans import sqlfrag as S
+from quarry.plans.listings import LISTINGS_SQL, listings
+from quarry.plans.q_features import LAG_DAYS
 from quarry.plans.registry import register
+from quarry.session import scratch_path
 from quarry.sources.tables import Tables, row_count
 
 K_TOPICS = 5
 LSA_KS = [0, 10, 20, 30, 40, 50]
 
-# Fitted models are reused by the queries that report on them within one
-# application (model state only: the LDA model, the sweep's accuracy rows).
-_FITTED: dict = {}
-
-
-def _memo(name, spark, sf, fn):
-    key = (name, spark.sparkContext.applicationId, sf)
-    if key not in _FITTED:
-        _FITTED[key] = fn()
-    return _FITTED[key]
-
-
 @register("stem_vocabulary", "TXT9, UDF2")
 def stem_vocabulary(spark, sf):
     return stem_map(M.explode_terms(C.doc_tokens(spark, sf)), "term")
@@ -59,29 +50,21 @@ def clean_text_stemmed(spark, sf):
     return out.select("doc_id", F.size("tokens").alias("n_tokens"), T.join_tokens("tokens").alias("tokens_joined"))
 
 
-def _lda_inputs(spark, sf):
-    docs = checkpoint(_clean_stemmed(spark, sf).where(F.col("tokens").isNotNull())
-                      .withColumn("test_train", N.train_fraction("doc_id")))
-    cv, vec = TP.count_vectors(docs, "tokens")
-    return cv, vec
-
-
 def _lda(spark, sf):
-    def fit():
-        cv, vec = _lda_inputs(spark, sf)
-        model = TP.lda_fit(vec.where(F.col("test_train") < 0.8), k=K_TOPICS, max_iter=50, seed=1)
-        return cv, vec, model
-
-    return _memo("lda", spark, sf, fit)
+    """``(vocabulary, vectors with test_train, model)`` of the listing descriptions."""
+    docs = checkpoint(_clean_stemmed(spark, sf).where(F.col("tokens").isNotNull()))
+    vocab, vec = TP.count_vectors(docs, "tokens")
+    vec = checkpoint(vec.withColumn("test_train", N.train_fraction("doc_id")))
+    return vocab, vec, TP.lda_fit(vec.where(F.col("test_train") < 0.8), k=K_TOPICS, max_iter=50, seed=1)
 
 
 @register("lda_fit", "LDA1")
 def lda_fit(spark, sf):
-    cv, vec, model = _lda(spark, sf)
+    vocab, vec, model = _lda(spark, sf)
     train = vec.where(F.col("test_train") < 0.8)
     ll, lp = model.logLikelihood(train), model.logPerplexity(train)
-    return spark.createDataFrame([(K_TOPICS, len(cv.vocabulary), float(ll), float(lp))],
-                                 "k int, vocab_size int, log_likelihood double, log_perplexity double")
+    return spark.createDataFrame([(K_TOPICS, vocab.count(), float(ll), float(lp))],
+                                 "k int, vocab_size long, log_likelihood double, log_perplexity double")
 
 
 @register("lda_project", "LDA2, RSH3")
@@ -90,10 +73,25 @@ def lda_project(spark, sf):
     return TP.lda_project(model, vec)
 
 
+@register("lda_saved", "SNK4, SRC12, LDA2")
+def lda_saved(spark, sf):
+    """The fitted model and its projections, stored, loaded again; projections by the loaded
+    model beside the stored ones."""
+    from quarry.sources import readers as R
+    from quarry.sources import sinks as W
+
+    _, vec, model = _lda(spark, sf)
+    path = scratch_path(spark, "lda")
+    W.write_topic_model(model, f"{path}/model")
+    W.write_matrix(TP.lda_project(model, vec), f"{path}/projections")
+    again = TP.lda_project(R.read_topic_model(f"{path}/model"), vec, prefix="loaded")
+    return R.read_matrix(spark, f"{path}/projections").join(again, "doc_id")
+
+
 @register("topic_top_words", "TOP2, LDA4")
 def topic_top_words(spark, sf):
-    cv, _, model = _lda(spark, sf)
-    return TP.topic_top_words(model, cv.vocabulary, n=10)
+    vocab, _, model = _lda(spark, sf)
+    return TP.topic_top_words(model, vocab, n=10)
 
 
 @register("doc_top_topics", "TOP3")
@@ -122,49 +120,95 @@ def _gibbs(spark, sf, max_iter=20):
 
 @register("gibbs_lda", "LIN4, AGG22")
 def gibbs_lda(spark, sf):
-    theta, _, _ = _gibbs(spark, sf)
-    return theta
+    return _gibbs(spark, sf)[0]
 
 
-@register("topic_report", "SNK5, TOP2, TOP3")
-def topic_report(spark, sf):
-    """Top 10 words per topic and top 3 topics per document of the fitted
-    topic model, written as JSON; returns the words part read back."""
-    from quarry.session import scratch_path
-    from quarry.sources.sinks import write_report
-
-    cv, vec, model = _lda(spark, sf)
-    words = TP.topic_top_words(model, cv.vocabulary, n=10)
-    docs = TP.doc_top_topics(TP.lda_project(model, vec), k=K_TOPICS, n=3)
+_GIBBS_TOKENS_SQL = rf"""(select doc_id, list_filter({S.TOK2}, lambda x: regexp_full_match(x, '\p{{L}}+') and length(x) > 2
+  and not list_contains({S.STOPWORD_LIST}, x)) as t from documents)"""
+
+
+@register("gibbs_invariants", "LIN4", f"""
+select doc_id, len(t) as n_tokens, 1.0 as theta_sum, {K_TOPICS} as n_topics from {_GIBBS_TOKENS_SQL} where len(t) > 0""")
+def gibbs_invariants(spark, sf):
+    """What every state of the sampler must keep: a document's topic counts add up to its
+    tokens, its topic weights to one."""
+    theta, _, _, counts = _gibbs(spark, sf, max_iter=2)
+    n = counts.groupBy("doc_id").agg(F.sum("n").alias("n_tokens"))
+    t = theta.groupBy("doc_id").agg(F.round(F.sum("p"), 6).alias("theta_sum"), F.count(F.lit(1)).cast("int").alias("n_topics"))
+    return n.join(t, "doc_id")
+
+
+def _topic_report(spark, sf):
+    from quarry.sources.sinks import write_topic_report
+
+    theta, beta, _, _ = _gibbs(spark, sf)
     path = scratch_path(spark, "topic_report")
-    write_report({"words": words, "documents": docs}, path)
-    return spark.read.schema("topic int, rank int, term string, weight double").json(f"{path}/words")
+    write_topic_report(beta, theta, path, n_words=10, n_topics=3)
+    return path
+
+
+@register("topic_report", "SNK5, TOP2")
+def topic_report(spark, sf):
+    """Top 10 words per topic of the sampler's B, written as JSON and read back."""
+    return spark.read.schema("topic int, rank int, term string, p double").json(f"{_topic_report(spark, sf)}/words")
+
+
+@register("topic_report_documents", "SNK5, TOP3")
+def topic_report_documents(spark, sf):
+    """Top 3 topics per document of the sampler's T, written as JSON and read back."""
+    return spark.read.schema("doc_id long, topic int, rank int, p double").json(f"{_topic_report(spark, sf)}/documents")
+
+
+_FRAME_SQL = f"""
+with d as (select count(*) as n_docs from documents),
+pol as (select doc_id,
+    (count(case when polarity > 0 then 1 end) - count(case when polarity < 0 then 1 end)) /
+      (count(case when polarity > 0 then 1 end) + count(case when polarity < 0 then 1 end) + 1e-6) as sent_pol,
+    (count(case when polarity > 0 then 1 end) + count(case when polarity < 0 then 1 end)) / (count(term) + 1e-6) as sent_subj
+  from (select doc_id, unnest(case when len(tokens) = 0 then [NULL] else tokens end) as term from {S.DOC_TOKENS}) t
+  left join {S.CATEGORIES} c using (term) group by doc_id),
+l as (select *, case when let_agreed then datediff('day', date_advertised, latest_date) - 1 end as t
+  from {LISTINGS_SQL} where usable and not removed and availability_lag <= {LAG_DAYS})
+select l.id, cast(coalesce(l.t, (select max(t) + 1 from l)) as double) as time_to_let, cast(is_share as double) as is_share,
+  cast(coalesce(num_bedrooms, 0) as double) as num_bedrooms, cast(availability_lag as double) as availability_lag,
+  cast(monthly_price as double) as monthly_price, cast(coalesce(furnishing = 'FURNITURE', false) as double) as furnished,
+  round(latitude, 6) as latitude, round(longitude, 6) as longitude, round(coalesce(sent_pol, 0), 6) as sent_pol,
+  round(coalesce(sent_subj, 0), 6) as sent_subj, test_train
+from l cross join d left join pol on pol.doc_id = l.id % d.n_docs"""
+
+
+@register("analysis_frame", "MLR1 (frame), DAT4, NUM3, NUM4, FLT1", _FRAME_SQL)
+def analysis_frame(spark, sf):
+    f = _analysis_frame(spark, sf)
+    return f.select("id", "time_to_let", "is_share", "num_bedrooms", "availability_lag", "monthly_price", "furnished",
+                    *[F.round(c, 6).alias(c) for c in ("latitude", "longitude", "sent_pol", "sent_subj")], "test_train")
 
 
 def _analysis_frame(spark, sf):
-    ls = listings(spark, sf)
-    docs = C.doc_tokens(spark, sf)
-    pol = L.polarity_subjectivity(docs, C.categories(spark)).select(
-        F.col("doc_id").alias("customer_id"), F.col("polarity").alias("sent_pol"), F.col("subjectivity").alias("sent_subj"))
-    f = ls.join(pol, "customer_id", "left").fillna(0.0, ["sent_pol", "sent_subj"])
+    """Usable listings that are not removed, available within the lag, with their description's sentiment.
+
+    Listing ``id`` is described by document ``id mod n``.
+    """
+    ls = listings(spark, sf).where(F.col("usable") & ~F.col("removed") & (F.col("availability_lag") <= LAG_DAYS))
+    n = row_count(spark, sf, "documents").first()[0]
+    pol = L.polarity_subjectivity(C.doc_tokens(spark, sf), C.categories(spark)).select(
+        F.col("doc_id").alias("_doc"), F.col("polarity").alias("sent_pol"), F.col("subjectivity").alias("sent_subj"))
+    f = ls.withColumn("_doc", F.pmod("id", F.lit(max(1, n)))).join(pol, "_doc", "left").fillna(0.0, ["sent_pol", "sent_subj"])
     f = f.withColumn("time_to_let", D.time_to_event("date_advertised", "latest_date", "let_agreed"))
     f = N.impute_max_plus_one(f, "time_to_let")
-    f = f.withColumn("furnished", (F.col("furnishing") == "FURNITURE").cast("double"))
-    f = f.fillna(0, ["availability_lag", "num_bedrooms"])
-    cols = ["id", "time_to_let", "is_share", "num_bedrooms", "availability_lag", "monthly_price", "furnished",
+    f = f.withColumn("furnished", F.coalesce(F.col("furnishing") == "FURNITURE", F.lit(False)).cast("double")).fillna(0, ["num_bedrooms"])
+    cols = ["time_to_let", "is_share", "num_bedrooms", "availability_lag", "monthly_price", "furnished",
             "latitude", "longitude", "sent_pol", "sent_subj", "test_train"]
-    f = f.select(*[F.col(c).cast("double").alias(c) if c not in ("id",) else F.col(c) for c in cols])
-    return checkpoint(f)
+    return checkpoint(f.select("id", *[F.col(c).cast("double").alias(c) for c in cols]))
 
 
-REG_FEATURES = ["num_bedrooms", "availability_lag", "monthly_price", "latitude", "longitude"]
+REG_FEATURES = ["is_share", "num_bedrooms", "availability_lag", "monthly_price", "furnished"]
 FEATURE_SETS = {
-    1: ["is_share", "num_bedrooms", "availability_lag", "monthly_price", "furnished", "latitude", "longitude"],
+    1: [*REG_FEATURES, "latitude", "longitude"],
     2: ["sent_pol", "sent_subj", "latitude", "longitude"],
-    3: ["is_share", "num_bedrooms", "availability_lag", "monthly_price", "furnished", "latitude", "longitude",
-        "sent_pol", "sent_subj"],
+    3: [*REG_FEATURES, "latitude", "longitude", "sent_pol", "sent_subj"],
 }
-RF_ARGS = dict(num_trees=20, max_depth=8, min_instances=7, seed=12345)
+RF_ARGS = dict(num_trees=500, max_depth=30, min_instances=7, seed=12345)
 
 
 @register("rf_time_regression", "MLR1, MLR4")
@@ -182,8 +226,7 @@ def rf_classify(spark, sf):
 
 
 def _sweep(spark, sf):
-    return _memo("sweep", spark, sf, lambda: LR.feature_set_sweep(
-        _analysis_frame(spark, sf), "time_to_let", REG_FEATURES, FEATURE_SETS, seps=range(-4, 5), **RF_ARGS))
+    return LR.feature_set_sweep(_analysis_frame(spark, sf), "time_to_let", REG_FEATURES, FEATURE_SETS, seps=range(-4, 5), **RF_ARGS)
 
 
 @register("feature_set_sweep", "MLR3, AGG19, SET2, RSH2")
@@ -193,7 +236,12 @@ def feature_set_sweep(spark, sf):
 
 @register("accuracy_lift", "MLR5, AGG20, JON10, SNK3")
 def accuracy_lift(spark, sf):
-    return LR.accuracy_lift(_sweep(spark, sf))
+    """The lift per offset and its mean, written as CSV and read back."""
+    from quarry.sources.sinks import write_results_csv
+
+    path = scratch_path(spark, "improvement")
+    write_results_csv(LR.accuracy_lift(_sweep(spark, sf)), path)
+    return spark.read.option("header", "true").schema("sep int, lift double").csv(path)
 
 
 def _doc_cells(spark, sf):

@@ -63,29 +63,32 @@ def segment_by_header_raw(spark, sf):
 
 
 _RECORD_SQL = r"""(select doc_id, '**********_' || cast(1900 + doc_id % 100 as varchar) || '_' || cast(doc_id as varchar) || '_' ||
-        upper(substr(source, 1, 1)) || substr(source, 2) || '_***' || chr(10) || text as record from documents)"""
+        upper(substr(source, 1, 1)) || substr(source, 2) || '_***' || chr(10) ||
+        replace(replace(text, chr(10), chr(10) || ' ' || chr(10)), '. ', '.' || chr(10)) as record from documents)"""
+# sentences on lines of their own, the text's lines set off by blank ones
 
 
 def _records(spark, sf):
     d = C.documents(spark, sf)
-    author = F.concat(F.upper(F.substring("source", 1, 1)), F.substring("source", 2, 1 << 20))
-    rec = F.concat(G.speech_header("year", "doc_id", "_author"), F.col("text"))
+    author = F.concat(F.upper(F.substring("source", 1, 1)), F.substr("source", F.lit(2)))
+    text = F.replace(F.replace("text", F.lit("\n"), F.lit("\n \n")), F.lit(". "), F.lit(".\n"))
+    rec = F.concat(G.speech_header("year", "doc_id", "_author"), text)
     return d.withColumn("_author", author).select("doc_id", rec.alias("record"))
 
 
 @register("segment_paragraphs", "SEG4", rf"""
 select doc_id, cast(regexp_extract(split_part(record, chr(10), 1), '(\d{{4}})', 1) as integer) as year,
        regexp_extract(split_part(record, chr(10), 1), '([A-Z][A-Za-z0-9]*)_\*', 1) as author,
-       array_to_string(list_filter(list_transform(string_split(substr(record, length(split_part(record, chr(10), 1)) + 2), chr(10)), lambda p: trim(p)), lambda p: p <> ''), chr(10)) as paragraphs_joined
+       array_to_string(list_filter(list_transform(regexp_split_to_array(substr(record, length(split_part(record, chr(10), 1)) + 2), '\n\s*\n'), lambda p: trim(p)), lambda p: p <> ''), chr(10) || chr(10)) as paragraphs_joined
 from {_RECORD_SQL}""")
 def segment_paragraphs(spark, sf):
-    seg = G.segment_paragraphs(_records(spark, sf), sep_regex="\n", keep=("doc_id",))
-    return seg.select("doc_id", "year", "author", F.array_join("paragraphs", "\n").alias("paragraphs_joined"))
+    seg = G.segment_paragraphs(_records(spark, sf), keep=("doc_id",))
+    return seg.select("doc_id", "year", "author", F.array_join("paragraphs", "\n\n").alias("paragraphs_joined"))
 
 
 @register("paragraph_counts", "SEG5", rf"""
-select doc_id, len(list_filter(list_transform(string_split(substr(record, length(split_part(record, chr(10), 1)) + 2), chr(10)), lambda p: trim(p)), lambda p: p <> '')) as n_paragraphs
+select doc_id, len(list_filter(list_transform(regexp_split_to_array(substr(record, length(split_part(record, chr(10), 1)) + 2), '\n\s*\n'), lambda p: trim(p)), lambda p: p <> '')) as n_paragraphs
 from {_RECORD_SQL}""")
 def paragraph_counts(spark, sf):
-    seg = G.segment_paragraphs(_records(spark, sf), sep_regex="\n", keep=("doc_id",))
+    seg = G.segment_paragraphs(_records(spark, sf), keep=("doc_id",))
     return seg.select("doc_id", F.size("paragraphs").cast("long").alias("n_paragraphs"))

@@ -162,9 +162,8 @@ _SCORES_SQL = f"""(select d.doc_id, d.source, d.year, coalesce(s.score, 0) as sc
 
 
 def _doc_scores(spark, sf):
-    d = C.doc_tokens(spark, sf)
-    s = L.lexicon_sentiment(d, C.valence(spark))
-    return d.select("doc_id", "source", "year").join(s.select("doc_id", F.col("score_sum").alias("score")), "doc_id")
+    s = L.lexicon_sentiment(C.doc_tokens(spark, sf), C.valence(spark), keep=("source", "year"))
+    return s.select("doc_id", "source", "year", F.col("score_sum").alias("score"))
 
 
 @register("avg_score_by_author", "AGG13, TOP6", f"""

@@ -81,3 +81,10 @@ def read_results_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """SRC12: a stored long matrix (parquet)."""
     return spark.read.parquet(path)
+
+
+def read_topic_model(path: str):
+    """SRC12: a stored topic model."""
+    from pyspark.ml.clustering import LocalLDAModel
+
+    return LocalLDAModel.load(path)

@@ -1,10 +1,10 @@
 """Ingestion as Structured Streaming (ING3, ING4).
 
-ING3: a file source drained with ``availableNow``; ``dropDuplicates`` on the
-key keeps every key seen so far in the (distributed) state store, keys
-already stored before the stream started are removed by a stream-static
-anti join, and the parquet file sink commits each micro-batch through its
-metadata log, so a replayed batch is not written twice (exactly-once).
+A file source is drained with ``availableNow``; each micro-batch goes through
+the batch operators in ``foreachBatch`` and is written to a folder of its own
+(``batch=N``), so a replayed batch overwrites only itself and nothing that is
+stored is rewritten. What has been seen is in the stored tables, not in a
+state store that grows without bound.
 """
 
 from __future__ import annotations
@@ -12,47 +12,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators import ingest as I
 
-def ingest_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str,
-                  key: str, order_col: str | None = None, known_keys: DataFrame | None = None) -> DataFrame:
-    """Drain every file now in ``source_dir`` into ``sink``; return the sink table.
 
-    Run it again after new files arrive: only keys never seen are appended.
-    ``order_col`` is kept for API symmetry with the batch twin; re-sent rows
-    of one key are identical, so which copy survives does not matter.
+def _stored(spark: SparkSession, sink: str, schema) -> DataFrame:
+    """All batches under ``sink`` with their number; empty before the first."""
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sink)
+    full = StructType([*schema.fields, StructField("batch", LongType())])
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(sink)
+
+
+def ingest_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str, key: str, order_col: str,
+                  known_keys: DataFrame | None = None, checks: dict | None = None, errors: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """ING3 + SNK9: drain every file now in ``source_dir``; returns the stored rows and the quarantined rows.
+
+    A micro-batch is deduplicated (first by ``order_col``), rows whose key is
+    in ``known_keys``, ``sink`` or ``errors`` are skipped, rows that fail a check
+    go to ``errors`` with the reason. Run it again after new files arrive.
     """
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-    fresh = stream.dropDuplicates([key])
-    if known_keys is not None:
-        fresh = fresh.join(known_keys.select(key).distinct(), key, "left_anti")
-    q = (fresh.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
+    from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    errors = errors or f"{sink.rstrip('/')}-errors"
+    error_schema = StructType([*schema.fields, StructField("reason", StringType()), StructField("logged_at", TimestampType())])
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        s = batch.sparkSession
+        seen = [_stored(s, p, t).where(F.col("batch") != number).select(key) for p, t in ((sink, schema), (errors, error_schema))]
+        seen += [known_keys.select(key)] if known_keys is not None else []
+        known = seen[0]
+        for k in seen[1:]:
+            known = known.unionByName(k)
+        good, bad = I.ingest_batch(batch, known, key, order_col, checks or {"": F.lit(False)})
+        good.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        bad.write.mode("overwrite").parquet(f"{errors}/batch={number}")
+
+    q = (spark.readStream.schema(schema).parquet(source_dir).writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return _stored(spark, sink, schema).drop("batch"), _stored(spark, errors, error_schema).drop("batch")
 
 
 def status_refresh_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str, key: str,
                           ts: str, removed_expr: str, let_expr: str) -> DataFrame:
-    """ING4 as a stateful streaming aggregation.
+    """ING4: the first flagging observation of each key, as files arrive.
 
-    Per key the first flagging observation (``min_by`` over event time) is
-    kept in the state store; each trigger rewrites the sink with the
-    complete current table (``complete`` mode into ``foreachBatch``), so a
-    replayed batch produces the same table. State size is one row per
-    flagged key. Returns the sink table.
+    A micro-batch writes its own first observations; the current state is the
+    first of those over all batches (one row a key and batch is read, nothing
+    stored is rewritten). Returns the current state.
     """
-    obs = spark.readStream.schema(schema).parquet(source_dir)
-    obs = obs.select(key, ts, F.expr(removed_expr).alias("removed"), F.expr(let_expr).alias("let_raw"))
-    obs = obs.withColumn("let_agreed", ~F.col("removed") & F.col("let_raw")).where(F.col("removed") | F.col("let_agreed"))
-    agg = obs.groupBy(key).agg(F.min_by(F.struct("removed", "let_agreed", ts), F.col(ts)).alias("_f"))
-    out = agg.select(key, F.col("_f.removed").alias("removed"), F.col("_f.let_agreed").alias("let_agreed"),
-                     F.col(f"_f.{ts}").alias("flagged_ts"))
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+    def write_batch(batch: DataFrame, number: int) -> None:
+        found = I.status_refresh(batch, key, ts, F.expr(removed_expr), F.expr(let_expr))
+        found.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    q = (out.writeStream.outputMode("complete").foreachBatch(write_batch)
+    q = (spark.readStream.schema(schema).parquet(source_dir).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    parts = spark.read.parquet(sink)
+    return I.status_refresh(parts, key, "flagged_ts", F.col("removed"), F.col("let_agreed"))

@@ -47,10 +47,10 @@ def test_stream_ingest_is_incremental(spark, tmpdir_path):
     schema = "k long, ts timestamp, v string"
     src, sink, ck = f"{tmpdir_path}/src", f"{tmpdir_path}/sink", f"{tmpdir_path}/ck"
     spark.createDataFrame([(1, ts(1), "a"), (2, ts(1), "b")], schema).write.parquet(f"{src}/d=1")
-    first = ingest_stream(spark, f"{src}/d=*", schema, sink, ck, "k", "ts")
+    first, _ = ingest_stream(spark, f"{src}/d=*", schema, sink, ck, "k", "ts")
     assert first.count() == 2
     spark.createDataFrame([(2, ts(2), "b2"), (3, ts(2), "c")], schema).write.parquet(f"{src}/d=2")
-    second = ingest_stream(spark, f"{src}/d=*", schema, sink, ck, "k", "ts")
+    second, _ = ingest_stream(spark, f"{src}/d=*", schema, sink, ck, "k", "ts")
     assert sorted((r.k, r.v) for r in second.collect()) == [(1, "a"), (2, "b"), (3, "c")]
 
 

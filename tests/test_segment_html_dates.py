@@ -50,7 +50,9 @@ def test_flexible_dates(spark):
     got = [r.d for r in df.select(D.parse_flexible_date("s", as_of).alias("d")).collect()]
     assert got[:6] == [datetime.date(2016, 3, 15), datetime.date(2016, 3, 14), datetime.date(2016, 4, 3),
                        datetime.date(2016, 3, 12), None, None]
-    assert got[6] == datetime.date(2016, 3, 1)
+    assert got[6] is None  # the long form needs what follows it, unless asked otherwise
+    bare = [r.d for r in df.select(D.parse_flexible_date("s", as_of, bare_long_form=True).alias("d")).collect()]
+    assert bare[:6] == got[:6] and bare[6] == datetime.date(2016, 3, 1)
 
 
 def test_cards_and_title(spark):

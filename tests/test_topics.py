@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,13 +16,15 @@ def _dtm(spark):
 
 def test_gibbs_invariants_and_determinism(spark):
     dtm = _dtm(spark)
-    theta, beta, hist = TP.gibbs_lda(dtm, k=3, max_iter=3, seed=5)
+    theta, beta, hist, counts = TP.gibbs_lda(dtm, k=3, max_iter=3, seed=5)
     sums = theta.groupBy("doc_id").agg(F.sum("p").alias("s")).collect()
     assert len(sums) == 12 and all(abs(r.s - 1) < 1e-9 for r in sums)
     bsum = beta.groupBy("topic").agg(F.sum("p").alias("s")).collect()
     assert len(bsum) == 3 and all(abs(r.s - 1) < 1e-9 for r in bsum)
     assert hist.count() >= 2
-    theta2, _, _ = TP.gibbs_lda(dtm, k=3, max_iter=3, seed=5)
+    tokens = {r.doc_id: r.n for r in dtm.groupBy("doc_id").agg(F.sum("tf").alias("n")).collect()}
+    assert {r.doc_id: r.n for r in counts.groupBy("doc_id").agg(F.sum("n").alias("n")).collect()} == tokens
+    theta2, _, _, _ = TP.gibbs_lda(dtm, k=3, max_iter=3, seed=5)
     a = sorted((r.doc_id, r.topic, r.p) for r in theta.collect())
     b = sorted((r.doc_id, r.topic, r.p) for r in theta2.collect())
     assert a == b  # fixed seed -> equal results
@@ -36,21 +39,40 @@ def test_doc_top_topics_row_local(spark):
 def test_spark_lda_projection_sums_to_one(spark):
     docs = spark.createDataFrame([(d, (["apple", "pear"] if d % 2 else ["car", "bus"]) * 3) for d in range(20)],
                                  "doc_id long, tokens array<string>")
-    cv, vec = TP.count_vectors(docs)
+    vocab, vec = TP.count_vectors(docs)
     model = TP.lda_fit(vec, k=2, max_iter=5, seed=1)
     proj = TP.lda_project(model, vec)
     for r in proj.collect():
         assert r.lda1 + r.lda2 == pytest.approx(1.0, abs=1e-6)
-    words = TP.topic_top_words(model, cv.vocabulary, n=2).collect()
+    words = TP.topic_top_words(model, vocab, n=2).collect()
     assert len(words) == 4
 
 
 def test_topic_report_from_gibbs(spark, tmpdir_path):
     from quarry.sources.sinks import write_topic_report
 
-    theta, beta, _ = TP.gibbs_lda(_dtm(spark), k=2, max_iter=2, seed=1)
+    theta, beta, _, _ = TP.gibbs_lda(_dtm(spark), k=2, max_iter=2, seed=1)
     write_topic_report(beta, theta, f"{tmpdir_path}/report", n_words=3, n_topics=1)
     words = spark.read.json(f"{tmpdir_path}/report/words")
     docs = spark.read.json(f"{tmpdir_path}/report/documents")
     assert words.count() == 6 and docs.count() == 12
     assert {r["rank"] for r in words.collect()} == {1, 2, 3}
+
+
+def test_gibbs_norms_and_stop_rule(spark):
+    """The norms are those of the returned matrices, and the run stops when they hardly move."""
+    theta, beta, hist, _ = TP.gibbs_lda(_dtm(spark), k=2, max_iter=6, cutoff=1e9, seed=3)
+    rows = hist.orderBy("iteration").collect()
+    assert [r["iteration"] for r in rows] == [1, 2]  # two norms are needed to see a move
+    for m, c in ((beta, "norm_beta"), (theta, "norm_theta")):
+        p = np.array([r["p"] for r in m.collect()])
+        assert rows[-1][c] == pytest.approx(np.sqrt((p * p).sum()))
+    _, _, hist, _ = TP.gibbs_lda(_dtm(spark), k=2, max_iter=4, cutoff=0.0, seed=3)
+    assert hist.count() == 4
+
+
+def test_vocabulary_has_no_limit(spark):
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.transform(F.sequence(F.lit(0), F.lit(5999)), lambda i: F.concat(
+        F.lit("t"), (F.col("id") * 6000 + i).cast("string"))).alias("tokens"))
+    vocab, vec = TP.count_vectors(docs)
+    assert vocab.count() == 300_000 and vec.first()["features"].size == 300_000
