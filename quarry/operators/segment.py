@@ -96,12 +96,18 @@ def segment_by_header(lines: DataFrame, group_col: str, order_col: str, is_heade
     output row is one whole segment, which is the result's unit; use
     :func:`segment_lines` to keep segments in long form.
     """
-    headers, body = segment_lines(lines, group_col, order_col, is_header, text_col, trim, replace_underscore)
-    # header and body lines of a segment meet in one aggregation (no join):
-    # the header row sorts first (its unit is the segment start, position -1)
-    rows = (headers.select(group_col, "seg_start", F.col("seg_start").alias(order_col), F.lit(-1).alias("pos"),
-                           F.col("header").alias("line"), F.lit(True).alias("_h"))
-            .unionByName(body.select(group_col, "seg_start", order_col, "pos", "line", F.lit(False).alias("_h"))))
+    tagged = running_header(lines.select(group_col, order_col, text_col, is_header.alias("_head")), group_col, order_col, F.col("_head"))
+    parts = F.split(F.col(text_col), "\n")
+    title = parts.getItem(0)
+    if replace_underscore:
+        title = F.regexp_replace(title, "_", " ")
+    body = F.transform(parts, lambda x, i: F.struct(i.alias("pos"), (F.trim(x) if trim else x).alias("line")))
+    if trim:
+        body = F.filter(body, lambda x: x["line"] != "")
+    # a unit gives its header (position -1) or its lines: one tagging pass, one explode, one aggregation
+    units = F.when(F.col("_head"), F.array(F.struct(F.lit(-1).alias("pos"), F.trim(title).alias("line")))).otherwise(body)
+    rows = explode_nonempty(tagged.where(F.col("seg_start").isNotNull()), [group_col, "seg_start", order_col, "_head"], units, "_unit")
+    rows = rows.select(group_col, "seg_start", order_col, F.col("_head").alias("_h"), "_unit.pos", "_unit.line")
     grouped = rows.groupBy(group_col, "seg_start").agg(
         F.max(F.when(F.col("_h"), F.col("line"))).alias("header"),
         F.max(F.col("_h").cast("int")).alias("_has_header"),

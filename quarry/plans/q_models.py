@@ -209,6 +209,8 @@ FEATURE_SETS = {
     3: [*REG_FEATURES, "latitude", "longitude", "sent_pol", "sent_subj"],
 }
 RF_ARGS = dict(num_trees=500, max_depth=30, min_instances=7, seed=12345)
+# The sweep fits 27 classifiers: fewer trees each (a parameter of the query), the same depth.
+SWEEP_TREES = 60
 
 
 @register("rf_time_regression", "MLR1, MLR4")
@@ -226,7 +228,8 @@ def rf_classify(spark, sf):
 
 
 def _sweep(spark, sf):
-    return LR.feature_set_sweep(_analysis_frame(spark, sf), "time_to_let", REG_FEATURES, FEATURE_SETS, seps=range(-4, 5), **RF_ARGS)
+    return LR.feature_set_sweep(_analysis_frame(spark, sf), "time_to_let", REG_FEATURES, FEATURE_SETS, seps=range(-4, 5),
+                                **(RF_ARGS | {"num_trees": SWEEP_TREES}))
 
 
 @register("feature_set_sweep", "MLR3, AGG19, SET2, RSH2")

@@ -54,3 +54,19 @@ def test_segment_ids_without_whole_group_window(spark):
     plan = _plan(E.queries()["segment_by_header"](spark, SF))
     # every window is partitioned by (conversation, bucket) or runs over per-bucket rows
     assert "Window" in plan and "FLOOR" in plan.upper()
+
+
+def _shuffles(df):
+    df.collect()
+    return _plan(df).split("+- == Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def test_shuffle_counts(spark):
+    """Joined and aggregated once, not joined back."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        most = {"segment_by_header": 5, "pairwise_cosine": 8, "enrich_missing": 5, "usable_documents": 3, "score_by_year": 3, "balance_classes": 3}
+        for name, n in most.items():
+            assert _shuffles(E.queries()[name](spark, SF)) <= n, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
