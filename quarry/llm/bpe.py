@@ -13,8 +13,9 @@ the prefix passes that test.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from quarry.llm.frames import without
-from quarry.llm.pieces import Cutter, bounded, byte_alphabet, cutter
+from quarry.llm.pieces import Cutter, bounded, byte_alphabet, held
 
-#: Distinct units, and distinct pre-tokens, whose encodings a Python worker keeps.
-KEEP = 700_000
+#: Distinct units, distinct pre-tokens and pairs of tokens that a Python worker keeps.
+KEEP, KEEP_PIECES, KEEP_PAIRS = 200_000, 150_000, 120_000
 END = "</w>"
 
 
@@ -47,7 +48,7 @@ class Merges:
         # the tokens that stand at a token's right / left edge while it is built, with the rank that makes each
         self._right: dict[str, list[tuple[str, int]]] = {}
         self._left: dict[str, list[tuple[str, int]]] = {}
-        self._apart = bounded(1_000_000)()
+        self.known = bounded(KEEP_PAIRS)()  # pairs that have been looked at
         self.tokens: dict[str, int] = {}
         for t, i in self.vocab.items():
             if t not in made:
@@ -58,10 +59,43 @@ class Merges:
                 self._right[t] = [*self._right[b], (t, i)]
                 self._left[t] = [*self._left[a], (t, i)]
                 self.tokens[t] = self.vocab[t]
-        # every tail of a token, with and without the word end: a walk back from a prefix's end stops where no token goes on
-        self.tails = {"": {t[i:] for t in self.tokens if not t.endswith(END) for i in range(len(t))},
-                      END: {t[i:] for t in self.tokens if t.endswith(END) for i in range(len(t) - len(END))}}
-        self.longest = max((len(t.removesuffix(END)) for t in self.tokens), default=0)
+        self._automaton()
+
+    def _automaton(self) -> None:
+        """Every token's text in one automaton: a state is the longest end of what was read that begins some token.
+
+        ``suffixes[0]`` and ``suffixes[1]`` hold, by state, the tokens that end there, the longest first, with their
+        lengths: those for inside a word, and those that end a word (listed by their text without the end mark).
+        """
+        self.next: list[dict[str, int]] = [{}]
+        own: list[dict[int, tuple[tuple[str, int], ...]]] = [{}, {}]
+        for t in self.tokens:
+            body = t.removesuffix(END)
+            state = 0
+            for c in body:
+                found = self.next[state].get(c)
+                if found is None:
+                    found = self.next[state][c] = len(self.next)
+                    self.next.append({})
+                state = found
+            own[t.endswith(END)][state] = ((t, len(body)),)
+        self.back = [0] * len(self.next)
+        self.suffixes: list[list[tuple[tuple[str, int], ...]]] = [[own[k].get(s, ()) for s in range(len(self.next))] for k in (0, 1)]
+        queue = list(self.next[0].values())
+        for state in queue:  # by depth
+            for k in (0, 1):
+                self.suffixes[k][state] += self.suffixes[k][self.back[state]]
+            for c, to in self.next[state].items():
+                self.back[to] = self.step(self.back[state], c)
+                queue.append(to)
+
+    def step(self, state: int, c: str) -> int:
+        """The state after one more character."""
+        while c not in self.next[state]:
+            if not state:
+                return 0
+            state = self.back[state]
+        return self.next[state][c]
 
     def _first_across(self, a: str, b: str) -> int | None:
         """Rank of the first merge across the border of ``a`` and ``b`` when BPE runs on both; None if there is none.
@@ -86,10 +120,8 @@ class Merges:
         return best
 
     def apart(self, a: str, b: str) -> bool:
-        """Whether BPE leaves ``a`` and ``b`` as they are, side by side."""
-        key = (a, b)
-        found = self._apart.get(key)
-        return self._apart.put(key, self._first_across(a, b) is None) if found is None else found
+        """Whether BPE leaves ``a`` and ``b`` as they are, side by side; the answer goes into ``known``."""
+        return self.known.put((a, b), self._first_across(a, b) is None)
 
 
 def build_trie(words: Iterable[str]) -> dict:
@@ -113,62 +145,66 @@ def encode_words(words: Iterable[str], merges: Merges) -> Iterator[tuple[str, li
     path holds the state of each prefix: its last token and that token's
     length; a word reads its ids back along the path.
     """
-    tokens, longest = merges.tokens, merges.longest
+    tokens, step, (inside, ending) = merges.tokens, merges.step, merges.suffixes
     last: list[str] = [""]
     size: list[int] = [0]
-    stack = [(child, 1, c) for c, child in build_trie(words).items()]
+    stack = [(child, 1, 0, c) for c, child in build_trie(words).items()]
     while stack:
-        node, depth, tail = stack.pop()
+        node, depth, state, c = stack.pop()
+        state = step(state, c)
         del last[depth:], size[depth:]
         word = node.pop("", None)
         if word is not None:
-            t, n = _state(tail, depth, last, END, merges)
+            t, n = _last_token(ending[state], depth, last, merges)
             ids, at = [tokens[t]], depth - n
             while at:
                 ids.append(tokens[last[at]])
                 at -= size[at]
             yield word, ids[::-1]
         if node:
-            t, n = _state(tail, depth, last, "", merges)
+            t, n = _last_token(inside[state], depth, last, merges)
             last.append(t)
             size.append(n)
-            stack += [(child, depth + 1, (tail + c)[-longest:]) for c, child in node.items()]
+            depth += 1
+            for c, child in node.items():
+                stack.append((child, depth, state, c))
 
 
-def _state(tail: str, depth: int, last: list[str], end: str, merges: Merges) -> tuple[str, int]:
-    """The last token of the prefix that ends in ``tail``, and how many characters it covers."""
-    tails, tokens, fits = merges.tails[end], merges.tokens, []
-    for n in range(1, len(tail) + 1):
-        t = tail[-n:] + end
-        if t not in tails:
-            break
-        if t in tokens:
-            fits.append((t, n))
-    return next((t, n) for t, n in reversed(fits) if n == depth or merges.apart(last[depth - n], t))
+def _last_token(fits: tuple[tuple[str, int], ...], depth: int, last: list[str], merges: Merges) -> tuple[str, int]:
+    """Of the tokens that end at this prefix, the one its encoding ends with, and its length."""
+    known = merges.known
+    for fit in fits:
+        t, n = fit
+        if n == depth:
+            return fit
+        before = last[depth - n]
+        ok = known.get((before, t))
+        if ok or ok is None and merges.apart(before, t):
+            return fit
+    raise AssertionError("every byte has a token")
 
 
-class UnitEncoder:
-    """Ids of whole texts from those of their distinct units, which are kept between batches."""
+class Encoder:
+    """Encodes whole texts by their distinct units, whose encodings are kept between batches; decodes by the table of tokens."""
 
     def __init__(self, path: str):
-        self.cut: Cutter = cutter(path)
+        self.cut = Cutter(path, model=False)
+        with open(path, encoding="utf-8") as f:
+            self.merges = Merges(json.load(f))
+        self.words = {i: t for t, i in self.merges.vocab.items()} | {i: t for t, i in self.cut.special.items()}
         self._units = bounded(KEEP)()
-        self._pieces = bounded(KEEP)()
-
-    def encode_pieces(self, pieces: set[str]) -> Iterator[tuple[str, list[int]]]:
-        """Each distinct pre-token with its ids."""
-        raise NotImplementedError
+        self._pieces = bounded(KEEP_PIECES)()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, end to end."""
         units = [self.cut.units(t) for t in texts]
         kept = self._units
-        lacking = {u for us in units for u in us if u not in kept}
+        lacking = set().union(*units).difference(kept)
         cuts = {u: self.cut.pieces(u) for u in lacking if u not in self.cut.special}
         wanted = {p for ps in cuts.values() for p in ps}
         known = {p: self._pieces[p] for p in wanted if p in self._pieces}
-        for word, ids in self.encode_pieces(wanted.difference(known)):
-            known[word] = self._pieces.put(word, np.array(ids, "<u4").tobytes())
+        for word, ids in encode_words(wanted.difference(known), self.merges):
+            known[word] = self._pieces.put(word, pack(f"<{len(ids)}I", *ids))
         fresh = {u: b"".join([known[p] for p in ps]) for u, ps in cuts.items()}
         fresh |= {u: np.array([self.cut.special[u]], "<u4").tobytes() for u in lacking - cuts.keys()}
         if len(kept) + len(fresh) <= KEEP:
@@ -180,31 +216,18 @@ class UnitEncoder:
             kept.update(list(of.items())[:KEEP])
         return [b"".join(map(of.__getitem__, us)) for us in units]
 
-
-class Encoder(UnitEncoder):
-    """Encodes by the trie, decodes by the table of tokens."""
-
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.merges = Merges(self.cut.spec)
-        self.words = {i: t for t, i in self.merges.vocab.items()} | {i: t for t, i in self.cut.special.items()}
-
-    def encode_pieces(self, pieces: set[str]) -> Iterator[tuple[str, list[int]]]:
-        return encode_words(pieces, self.merges)
-
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens' strings joined by spaces, as the library does for a file without a decoder; ids it has not are left out."""
-        return " ".join([self.words[i] for i in ids if i in self.words])
+        return " ".join(filter(None, map(self.words.get, ids)))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and file."""
-    return Encoder(path)
+    """The Python worker's encoder for this file."""
+    return held(("trie", path), lambda: Encoder(path))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch cut so that a slice holds about ``most`` bytes of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch cut so that a slice holds about ``most`` bytes of text, and one row at least."""
     sizes = np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     at = 0
     ends = np.cumsum(sizes)
@@ -223,7 +246,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", decode: bool =
     null or empty text has no ids and decodes to the empty text. Every row
     comes back with all its columns; input columns named ``ids`` or
     ``decoded`` are replaced. Row-local: no shuffle; a worker keeps the
-    encodings of at most ``KEEP`` distinct units and pre-tokens.
+    encodings of at most ``KEEP`` distinct units and ``KEEP_PIECES`` pre-tokens.
     """
     docs = without(docs, *({"ids", "decoded"} - {text}))
     fields = [StructField("ids", ArrayType(IntegerType()))] + [StructField("decoded", StringType())] * decode

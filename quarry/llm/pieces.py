@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import regex
 
@@ -22,6 +21,21 @@ EXTRA_CUTS = re.compile("[\x1c-\x1f]")
 PLAIN = "ɏ"
 
 
+_HELD: dict = {}
+
+
+def held(name, make):
+    """What a Python worker keeps between tasks, one thing at a time: the next operator's lets the last one's go.
+
+    Workers are used again by later stages, so without this the caches of all
+    operators of a job would add up.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def bounded(limit: int):
     """A dict class that starts afresh when it holds ``limit`` entries."""
 
@@ -50,22 +64,22 @@ class Cutter:
     taken: for others what a unit becomes may depend on its surroundings.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, model: bool = True):
+        """Without ``model`` the library's part has no vocabulary: it cuts, and takes little memory."""
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            self.spec = json.load(f)
-        steps = [x["type"] for x in (self.spec["normalizer"] or {}).get("normalizers", [])]
-        cuts = [x["type"] for x in (self.spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        split = self.spec["pre_tokenizer"]["pretokenizers"][0] if cuts else {}
-        if (steps, cuts, split.get("invert"), self.spec["model"]["type"]) != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], True, "BPE"):
+            spec = json.load(f)
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        cuts = [x["type"] for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        split = spec["pre_tokenizer"]["pretokenizers"][0] if cuts else {}
+        if (steps, cuts, split.get("invert"), spec["model"]["type"]) != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], True, "BPE"):
             raise ValueError(f"{path}: its pre-tokens may span white space")
-        if any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in self.spec["added_tokens"]):
+        if any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in spec["added_tokens"]):
             raise ValueError(f"{path}: its added tokens look at their surroundings")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = {x["content"]: x["id"] for x in self.spec["added_tokens"]}
+        bare = spec | {"added_tokens": [], "model": spec["model"] | {"vocab": {}, "merges": []}, "truncation": None, "padding": None}
+        self.tokenizer = Tokenizer.from_file(path) if model else Tokenizer.from_str(json.dumps(bare))
+        self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self._unit = re.compile(f"[^{SPACE}]+")
         self._piece = regex.compile(split["pattern"]["Regex"])
@@ -84,15 +98,16 @@ class Cutter:
 
     def pieces(self, unit: str) -> list[str]:
         """The pre-tokens of a unit that is no special string."""
-        if max(unit) > PLAIN:
+        if unit.isascii():
+            if unit.isalpha():
+                return [unit.lower()]
+            if unit[-1] in ".," and unit[:-1].isalpha():
+                return [unit[:-1].lower(), unit[-1]]
+        elif max(unit) > PLAIN:
             parts = self.tokenizer
             return [p for p, _ in parts.pre_tokenizer.pre_tokenize_str(parts.normalizer.normalize_str(unit))]
+        elif unit.lower().isalpha():  # the lower case of U+0130 holds a mark, which is no letter
+            return [unit.lower().encode().decode("latin-1").translate(self._bytes)]
         # code points this low are in NFC already and have no context-dependent lower case
         found = self._piece.findall(unit.lower())
         return found if unit.isascii() and unit.isprintable() else [p.encode().decode("latin-1").translate(self._bytes) for p in found]
-
-
-@lru_cache(maxsize=4)
-def cutter(path: str) -> Cutter:
-    """One cutter per Python worker and file."""
-    return Cutter(path)

@@ -11,14 +11,13 @@ are never made for any document.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.frames import col
-from quarry.llm.pieces import SPACE, Cutter, cutter
+from quarry.llm.pieces import SPACE, Cutter, held
 from quarry.operators.util import checkpoint
 
 #: Bound of the table that is broadcast: rows, and characters of a unit.
@@ -35,17 +34,16 @@ class PieceCounter:
     """Pieces of a unit, by the library's model on each of its pre-tokens."""
 
     def __init__(self, path: str):
-        self.cut: Cutter = cutter(path)
+        self.cut = Cutter(path)
 
     def __call__(self, unit: str) -> int:
         cut, model = self.cut, self.cut.tokenizer.model
         return sum(1 if u in cut.special else sum(len(model.tokenize(p)) for p in cut.pieces(u)) for u in cut.units(unit))
 
 
-@lru_cache(maxsize=2)
 def piece_counter(path: str) -> PieceCounter:
-    """One counter per Python worker and file."""
-    return PieceCounter(path)
+    """The Python worker's counter for this file."""
+    return held(("count", path), lambda: PieceCounter(path))
 
 
 def piece_counts(words: DataFrame, path: str) -> DataFrame:

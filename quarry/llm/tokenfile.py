@@ -24,7 +24,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import UnitEncoder, slices
+from quarry.llm.bpe import slices
 from quarry.llm.frames import col
+from quarry.llm.pieces import Cutter, bounded, held
 from quarry.operators.util import bounded_broadcast
 
 # fixed values: ids per word and bits per id, by selector
@@ -42,6 +42,7 @@ BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 BLOCK = 256
 MAGIC = b"S8B1"
 LIMIT = 1 << 32
+SEGMENT_BYTES = 4 << 20
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -53,21 +54,24 @@ def pack(ids: np.ndarray) -> bytes:
     width = blocks * BLOCK
     padded = np.zeros(width + max(COUNTS), np.uint64)
     padded[:n] = ids
-    # large[s][i]: ids before i that selector s would escape
-    large = np.zeros((len(COUNTS), len(padded) + 1), np.int32)
-    for s, b in enumerate(BITS):
-        np.cumsum(padded >= np.uint64((1 << b) - 1), out=large[s, 1:])
+    # best[i]: the selector of the fewest bytes an id for a word that begins at i
+    best, least = np.zeros(width, np.int8), np.full(width, np.inf, np.float32)
+    for s, (c, b) in enumerate(zip(COUNTS, BITS)):
+        before = np.zeros(len(padded) + 1, np.int32)
+        np.cumsum(padded >= np.uint64((1 << b) - 1), out=before[1:])
+        cost = (before[c: c + width] - before[:width]) * np.float32(4 / c) + np.float32(8 / c)
+        better = cost < least
+        best[better] = s
+        least[better] = cost[better]
     at = np.arange(blocks, dtype=np.int64) * BLOCK
     end = np.minimum(at + BLOCK, n)
     live = np.arange(blocks)
     steps: list[tuple[np.ndarray, ...]] = []
     counts = np.array(COUNTS, np.int64)
     while len(live):
-        here, left = at[live], (end - at)[live]
-        taken = np.minimum(counts[:, None], left)
-        escaped = np.take_along_axis(large, here[None, :] + taken, 1) - large[:, here]
-        pick = np.argmin((8 + 4 * escaped) / taken, 0)
-        took = taken[pick, np.arange(len(live))]
+        here = at[live]
+        pick = best[here]
+        took = np.minimum(counts[pick], end[live] - here)
         steps.append((live, here, pick, took))
         at[live] += took
         live = live[at[live] < end[live]]
@@ -127,19 +131,37 @@ def unpack(payload: bytes) -> np.ndarray:
     return out[:n]
 
 
-class LibraryEncoder(UnitEncoder):
-    """Ids of distinct pre-tokens by the library's own model."""
+#: Distinct units, and distinct pre-tokens, whose ids a Python worker keeps.
+KEEP = 300_000
+
+
+class LibraryIds(bounded(KEEP)):
+    """Unit -> its ids as little-endian 32-bit, by the library's own model on each distinct pre-token; kept between batches."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.cut = Cutter(path)
+        self._pieces = bounded(KEEP)()
+        self._raw = [i.to_bytes(4, "little") for i in range(self.cut.tokenizer.get_vocab_size(with_added_tokens=True))]
+
+    def __missing__(self, unit: str) -> bytes:
+        if unit in self.cut.special:
+            return self.put(unit, self._raw[self.cut.special[unit]])
+        return self.put(unit, b"".join([self._pieces.get(p) or self._piece(p) for p in self.cut.pieces(unit)]))
+
+    def _piece(self, piece: str) -> bytes:
+        raw = self._raw
+        return self._pieces.put(piece, b"".join([raw[t.id] for t in self.cut.tokenizer.model.tokenize(piece)]))
 
-    def encode_pieces(self, pieces: set[str]) -> Iterator[tuple[str, list[int]]]:
-        model = self.cut.tokenizer.model
-        for p in pieces:
-            yield p, [t.id for t in model.tokenize(p)]
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each whole text, end to end."""
+        units, of = self.cut.units, self.__getitem__
+        return [b"".join(map(of, units(t))) for t in texts]
 
 
-@lru_cache(maxsize=2)
-def library_encoder(path: str) -> LibraryEncoder:
-    """One encoder per Python worker and file."""
-    return LibraryEncoder(path)
+def library_encoder(path: str) -> LibraryIds:
+    """The Python worker's encoder for this file."""
+    return held(("library", path), lambda: LibraryIds(path))
 
 
 SEGMENT = "shard int, segment int, n_ids long, doc_ids array<long>, n_tokens array<int>, payload binary"
@@ -152,7 +174,7 @@ def write_tokens(docs: DataFrame, to: str, path: str, end_id: int, text: str = "
     Null ids come first; rows of equal id follow each other, and repeated rows
     stay. The texts are range-partitioned by id (one shuffle) and encoded
     where they land, so a shard is a range of ids; a segment holds about
-    8 MB of text, a longer text one of its own. The write is Spark's, whole or
+    4 MB of text, a longer text one of its own. The write is Spark's, whole or
     not at all.
     """
     ordered = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
@@ -163,7 +185,7 @@ def write_tokens(docs: DataFrame, to: str, path: str, end_id: int, text: str = "
         schema = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                             ("n_tokens", pa.list_(pa.int32())), ("payload", pa.binary())])
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SEGMENT_BYTES):
                 raw = [r + last for r in enc.encode(batch.column("text").to_pylist())]
                 ids = np.frombuffer(b"".join(raw), "<u4")
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(ids)]),
