@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quarry.llm.bpe import slices
 from quarry.llm.frames import col, without
-from quarry.llm.pieces import bounded
+from quarry.llm.pieces import bounded, held
 
 BITS = 18
 SCALE = 20.0
@@ -49,7 +49,7 @@ class Kinds(dict):
 KINDS = Kinds()
 
 
-class WordHashes(bounded(500_000)):
+class WordHashes(bounded(300_000)):
     """Word -> its two 64-bit hashes as 16 bytes; kept between batches."""
 
     def __missing__(self, word: str) -> bytes:
@@ -57,15 +57,13 @@ class WordHashes(bounded(500_000)):
         return self.put(word, np.array([xxhash.xxh3_64_intdigest(word.lower()), xxhash.xxh3_64_intdigest("\0" + form)], "<u8").tobytes())
 
 
-HASHES = WordHashes()
-
-
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Feature indices of all texts, as a matrix with a row for each of the four kinds and a column for each word,
     -1 where a text has no such feature; and the number of words of each text."""
     words = [t.split() if t else [] for t in texts]
     n = np.array([len(w) for w in words], np.int64)
-    h = np.frombuffer(b"".join([b"".join(map(HASHES.__getitem__, w)) for w in words]), "<u8").reshape(-1, 2)
+    of = held("word and form", WordHashes).__getitem__
+    h = np.frombuffer(b"".join([b"".join(map(of, w)) for w in words]), "<u8").reshape(-1, 2)
     total = len(h)
     starts = (np.cumsum(n) - n)[n > 0]
     plain, form = h[:, 0], h[:, 1].copy()

@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of an Arrow batch at most: a row here is a whole text.
+BATCH_ROWS = 2_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Sets the session up for operators that hand whole texts to Python in batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, str(min(BATCH_ROWS, int(spark.conf.get(name)))))
+
+
 def col(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.bpe import slices
 from quarry.llm.frames import col
-from quarry.llm.pieces import bounded
+from quarry.llm.pieces import bounded, held
 from quarry.operators.util import bounded_broadcast, checkpoint
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -53,16 +53,13 @@ MULTIPLY = _draw.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) +
 ADD = _draw.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-class WordHashes(bounded(700_000)):
+class WordHashes(bounded(400_000)):
     """Word -> its 64-bit hash as 8 bytes; kept between batches."""
 
     def __missing__(self, word: str) -> bytes:
         return self.put(word, xxhash.xxh3_64_intdigest(word).to_bytes(8, "little"))
 
 
-WORDS = WordHashes()
-
-
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' word 5-grams end to end, and how many each text has.
 
@@ -72,7 +69,8 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     words = [t.split() if t else [] for t in texts]
     n = np.array([len(w) for w in words], np.int64)
     pad = bytes(8 * (SHINGLE - 1))
-    h = np.frombuffer(b"".join([b"".join(map(WORDS.__getitem__, w)) + pad for w in words]), "<u8")
+    of = held("words", WordHashes).__getitem__
+    h = np.frombuffer(b"".join([b"".join(map(of, w)) + pad for w in words]), "<u8")
     count = np.where(n >= SHINGLE, n - SHINGLE + 1, np.minimum(n, 1))
     with np.errstate(over="ignore"):
         mixed = np.zeros(max(0, len(h) - SHINGLE + 1), np.uint64)
