@@ -9,9 +9,10 @@ returns a row for each row of the mix with its ids' and decoded text's digests.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm import bpe, classifier, jaccard, mixing
-from quarry.llm.frames import read
+from quarry.llm.frames import col, prepare, read
 from quarry.llm.q_tokens import tokenizer_path
 from quarry.operators.util import checkpoint
 from quarry.session import ensure_checkpoint_dir, ship_package
@@ -29,8 +30,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the targets of their sources ask for: none, one or two rows each."""
-    sized = docs.withColumn("_mix_size", mixing.word_count("text"))
-    return mixing.emit(mixing.mix(sized, "_mix_size")).select(*docs.columns)
+    # the row travels whole, so that no column of it can clash with one of the mix's
+    rows = docs.select("doc_id", "source", mixing.word_count("text").alias("size"), F.struct(*[col(c) for c in docs.columns]).alias("row"))
+    return mixing.emit(mixing.mix(rows)).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +45,7 @@ def _ready(fn):
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
         ship_package(spark)
+        prepare(spark)
         return fn(spark, docs, sf_dir)
 
     return run
