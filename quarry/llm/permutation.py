@@ -35,13 +35,10 @@ RERANK = 8.0
 
 
 def usable(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """``(vec_id, v)`` of the rows that take part: vectors of the commonest length, without null or non-finite
-    components, and not zero; rows without an id are left out."""
+    """``(vec_id, v)`` of vectors without null or non-finite components that are not zero; rows without an id are left out."""
     v = col(embedding)
     clean = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = rows.select(col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.coalesce(clean, F.lit(False)))
-    length = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (length["d"] if length else 0))
+    return rows.select(col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.coalesce(clean, F.lit(False)))
 
 
 def classes(rows: DataFrame, least: int) -> DataFrame:
@@ -124,15 +121,18 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
     its. Fewer than ``k`` candidates give fewer rows; a query that takes no
     part (see ``usable``) gives none; an empty table gives none. Repeated rows
     of one id and vector count once. The driver holds the pivots and two
-    counts; the query set meets every block of the index, so work grows with
+    counts; only vectors of the commonest length among ``rows`` take part. The query set meets every block of the index, so work grows with
     queries times rows, at a few nanoseconds a pivot.
     """
-    every = usable(rows, vec_id, embedding).distinct()
+    every = usable(rows, vec_id, embedding)
+    common = every.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    length = common["d"] if common else 1
+    every = every.where(F.size("v") == length).distinct()
     table = checkpoint(classes(every, k + 1))
     total = table.count()
-    asked = usable(queries, vec_id, embedding).distinct()
+    asked = usable(queries, vec_id, embedding).where(F.size("v") == length).distinct()
     sample = table.orderBy(F.xxhash64("vec"), "vec").limit(pivots).select("v").collect()
-    centre = np.array([r["v"] for r in sample], np.float64).reshape(len(sample), -1)
+    centre = np.array([r["v"] for r in sample], np.float64).reshape(len(sample), length)
     centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-300)
     posted = min(posted or pivots, max(1, len(sample)))
     blocks = max(1, -(-total // BLOCK))
