@@ -302,12 +302,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``(doc_id, key, class_id, n_links, n_texts)`` for every row of ``docs``.
+    """``(doc_id, key, root, class_id, n_links, n_texts)`` for every row of ``docs``.
 
     Two documents are linked if the Jaccard similarity of their shingle sets
     is ``THRESHOLD`` or more; two without any shingle are linked too. Classes
-    are the connected groups; ``class_id`` is the smallest id in it (null only
-    where all its ids are). ``n_links`` counts the other documents linked to
+    are the connected groups, named by ``root``; ``class_id`` is the smallest id
+    in it (null only where all its ids are; an id that repeats with unlike
+    texts may be that of two classes). ``n_links`` counts the other documents linked to
     the row's text, copies included; ``n_texts`` the linked texts. Null texts
     are empty texts. Repeated rows are copies of each other. Other columns are
     left behind.
@@ -329,8 +330,8 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     placed = texts.select("key", "first_id", "copies").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     names = placed.groupBy("root").agg(F.min("first_id").alias("class_id"))
     classes = placed.join(names, "root").join(counts, "key", "left").select(
-        "key", "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("n_texts", F.lit(0)).alias("n_texts"))
-    return signed.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "class_id", "n_links", "n_texts")
+        "key", "root", "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("n_texts", F.lit(0)).alias("n_texts"))
+    return signed.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "root", "class_id", "n_links", "n_texts")
 
 
 def links_of(rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -372,8 +373,7 @@ def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     """
     found = similar_classes(docs, text, doc_id)
     # one row a class: its smallest id (null where it has none) and text
-    chosen = found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("key")).alias("_nameless")).agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("key"))).alias("_class_text")).select(F.col("class_id").alias("_class_id"), "_class_text")
+    chosen = found.groupBy("root").agg(F.first("class_id").alias("_class_id"), F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("key"))).alias("_class_text"))
     here = docs.withColumn("_class_key", text_key(col(text)))
-    kept = here.join(chosen, col(doc_id).cast("long").eqNullSafe(F.col("_class_id")) & (F.col("_class_key") == F.col("_class_text")))
+    kept = here.join(chosen.drop("root"), col(doc_id).cast("long").eqNullSafe(F.col("_class_id")) & (F.col("_class_key") == F.col("_class_text")))
     return kept.dropDuplicates(["_class_id", "_class_text"]).select(*[col(c) for c in docs.columns])

@@ -75,6 +75,11 @@ def test_one_row_of_each_class_stays(awkward, table, corpus):
     assert sorted(r["doc_id"] for r in rows) == sorted({c for _, c, _, _ in brute(corpus)})
 
 
+def test_one_id_with_unlike_texts(table):
+    rows = table([(5, "a b c d e f g h"), (5, "q r s t u v w x"), (6, "q r s t u v w x")], "doc_id long, text string")
+    assert sorted(r["text"][0] for r in jaccard.keep_first(rows).collect()) == ["a", "q"]
+
+
 def test_pruning_bound():
     least = jaccard.least_matches()
     assert list(least) == list(range(16, 97, 16))
