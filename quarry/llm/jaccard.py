@@ -85,8 +85,13 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return mixed[first + np.arange(len(first))], count
 
 
+def distinct(h: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    """The set of each text's shingles, sorted, from ``shingles``."""
+    return [np.unique(x) for x in np.split(h, np.cumsum(count)[:-1])] if len(count) else []
+
+
 def signatures(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """MinHash values, a row for each text (all ones for a text without shingles), and the numbers of shingles."""
+    """MinHash values, a row for each text (all ones for a text without shingles), and the sizes of the shingle sets."""
     h, count = shingles(texts)
     out = np.full((len(texts), HASHES), 0xFFFFFFFF, np.uint32)
     some = np.flatnonzero(count)
@@ -95,7 +100,7 @@ def signatures(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         with np.errstate(over="ignore"):
             for k in range(HASHES):
                 out[some, k] = np.minimum.reduceat((h * MULTIPLY[k] + ADD[k] >> np.uint64(32)).astype(np.uint32), starts)
-    return out, count
+    return out, np.array([len(x) for x in distinct(h, count)], np.int64)
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> dict[int, int]:
@@ -190,7 +195,7 @@ def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for a, b in pairs_of(begin, end):
             ok = (i[a] == j[a]) | (block[a] != block[b])  # a pair within a block counts where the block meets itself
-            ok &= np.minimum(n[a], n[b]) >= THRESHOLD * np.maximum(n[a], n[b])
+            ok &= np.minimum(n[a], n[b]) >= THRESHOLD * np.maximum(n[a], n[b]) - 1e-9  # sizes of sets: a passage said twice counts once
             a, b = a[ok], b[ok]
             for k in range(BANDS):  # only in the first band that the two share
                 if not len(a):
@@ -335,7 +340,7 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 
 def links_of(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links of ``texts`` (key, first_id, copies, n, sig), as ``verify`` gives them; ``rows`` (doc_id, text, key) are where the texts are."""
+    """Verified links of ``texts`` (key, first_id, copies, n: distinct shingles, sig), as ``verify`` gives them; ``rows`` (doc_id, text, key) are where the texts are."""
     width = 4 * ROWS
     bands = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", b * width + 1, width)) for b in range(BANDS)])
     listed = texts.select("key", "n", F.posexplode(bands).alias("band", "bucket"))
@@ -355,7 +360,7 @@ def links_of(rows: DataFrame, texts: DataFrame) -> DataFrame:
         for whole in batches:
             for b in slices(whole, "text", SLICE):
                 h, n = shingles(b.column("text").to_pylist())
-                out = [np.unique(x).astype("<u8").tobytes() for x in np.split(h, np.cumsum(n)[:-1])]
+                out = [x.astype("<u8").tobytes() for x in distinct(h, n)]
                 yield pa.RecordBatch.from_arrays([b.column("key"), b.column("copies"), pa.array(out, pa.binary())], names=["key", "copies", "shingles"])
 
     one = bounded_broadcast(wanted.withColumnRenamed("first_id", "doc_id"))

@@ -60,6 +60,28 @@ def test_blocks_of_any_size_give_the_same(table, corpus, monkeypatch):
     assert found(table(corpus, "doc_id long, text string")) == sorted(brute(corpus), key=str)
 
 
+def test_passages_repeated_inside_a_text(table):
+    """Similarity is one of sets: how often a text says a passage does not count."""
+    rnd = random.Random(11)
+    words = [f"w{i}" for i in range(300)]
+    docs = []
+    for size in (200, 120, 45, 9):
+        w = [rnd.choice(words) for _ in range(size)]
+        docs += [" ".join(w * times) for times in (1, 2, 3, 7)] + [" ".join(w * 2 + [rnd.choice(words) for _ in range(6)])]
+    docs += [" ".join(["buy now"] * times) for times in (3, 4, 9, 40, 500)]
+    rnd.shuffle(docs)
+    docs = list(enumerate(docs))
+    want = sorted(brute(docs), key=str)
+    assert sum(links for _, _, links, _ in want) > 50
+    assert found(table(docs, "doc_id long, text string")) == want
+
+
+def test_set_sizes():
+    passage = " ".join(f"w{i}" for i in range(200))
+    _, n = jaccard.signatures([passage, f"{passage} {passage}", "buy now " * 50, None, "a b"])
+    assert n.tolist() == [196, 200, 2, 0, 1]
+
+
 def test_awkward_rows(awkward, no_documents):
     docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
     assert found(awkward) == sorted(brute(docs), key=str)
