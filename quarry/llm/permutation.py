@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from quarry.llm.frames import col
 from quarry.operators.util import checkpoint
 
-#: Pivots: a bounded sample, the vectors with the smallest hash of their id. All of them are posted.
-PIVOTS = 128
+#: Pivots, all of them posted; taken farthest-first from a bounded sample, the vectors with the smallest hash of their id.
+PIVOTS, SAMPLE = 128, 4096
 #: Vectors in a block of the index, queries in a block of queries.
 BLOCK, QUERY_BLOCK = 2048, 2048
 #: Candidates that a query reranks: this many times the square root of the number of vectors.
@@ -55,6 +55,24 @@ def matrix(vectors: pd.Series) -> np.ndarray:
     return np.array(vectors.tolist(), np.float64)
 
 
+def farthest_first(x: np.ndarray, most: int) -> np.ndarray:
+    """``most`` rows of ``x``, scaled to length 1: the first, then always the one whose nearest taken one is farthest by cosine.
+
+    A group of near copies gives one pivot until all else is as near to one;
+    rows in the direction of a taken one are left out.
+    """
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    taken = [0] if len(x) else []
+    nearest = np.full(len(x), -np.inf)
+    while taken and len(taken) < min(most, len(x)):
+        nearest = np.maximum(nearest, x @ x[taken[-1]])
+        k = int(np.argmin(nearest))
+        if nearest[k] > 1 - 1e-12:
+            break
+        taken.append(k)
+    return x[taken]
+
+
 def permutations(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Rank of each pivot for each vector, the nearest (by cosine) first; ties to the earlier pivot."""
     near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ pivots.T
@@ -120,8 +138,8 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
     Nearest first, ties to the smaller id; a query's own id is no candidate of
     its. Fewer than ``k`` candidates give fewer rows; a query that takes no
     part (see ``usable``) gives none; an empty table gives none. Repeated rows
-    of one id and vector count once. The driver holds the pivots and two
-    counts; only vectors of the commonest length among ``rows`` take part. The query set meets every block of the index, so work grows with
+    of one id and vector count once. The driver holds the pivots' sample and
+    two counts; only vectors of the commonest length among ``rows`` take part. The query set meets every block of the index, so work grows with
     queries times rows, at a few nanoseconds a pivot.
     """
     every = usable(rows, vec_id, embedding)
@@ -131,10 +149,9 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
     table = checkpoint(classes(every, k + 1))
     total = table.count()
     asked = usable(queries, vec_id, embedding).where(F.size("v") == length).distinct()
-    sample = table.orderBy(F.xxhash64("vec"), "vec").limit(pivots).select("v").collect()
-    centre = np.array([r["v"] for r in sample], np.float64).reshape(len(sample), length)
-    centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-300)
-    posted = min(posted or pivots, max(1, len(sample)))
+    sample = table.orderBy(F.xxhash64("vec"), "vec").limit(max(pivots, SAMPLE)).select("v").collect()
+    centre = farthest_first(np.array([r["v"] for r in sample], np.float64).reshape(len(sample), length), pivots)
+    posted = min(posted or pivots, max(1, len(centre)))
     blocks = max(1, -(-total // BLOCK))
     share = min(1.0, rerank / math.sqrt(max(1, total)))
     index = checkpoint(build_index(table, centre, blocks, posted))

@@ -148,6 +148,34 @@ def test_recall(spark):
     assert hits >= 0.9 * 5 * len(want)
 
 
+def test_recall_with_a_third_of_near_copies(table):
+    """Near copies are unlike vectors, so each is an entry; they must not fill the pivots."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 64))
+    x[:1000] = x[0] + 0.05 * rng.normal(size=(1000, 64))
+    x = x[rng.permutation(3000)].astype(np.float32).astype(float)
+    df = table([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = answer(pm.neighbours(df, df.where("vec_id % 20 = 0")))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 3000, 20):
+        near = u @ u[q]
+        near[q] = -2
+        hits += len(set(np.argsort(-near)[:5].tolist()) & {i for i, _ in got[q]})
+    assert hits >= 0.93 * 5 * 150
+
+
+def test_pivots_are_far_from_each_other():
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(300, 16))
+    x[:100] = x[0] + 0.01 * rng.normal(size=(100, 16))
+    pivots = pm.farthest_first(x, 40)
+    assert pivots.shape == (40, 16) and np.linalg.norm(pivots, axis=1) == pytest.approx(1)
+    assert (pivots @ (x[0] / np.linalg.norm(x[0])) > 0.99).sum() == 1
+    assert len(pm.farthest_first(np.outer([1.0, 2.0, 3.0], [1.0, 1.0]), 3)) == 1
+    assert pm.farthest_first(np.empty((0, 1)), 5).shape == (0, 1)
+
+
 def test_permutations():
     rng = np.random.default_rng(8)
     x, pivots = rng.normal(size=(5, 4)), rng.normal(size=(7, 4))
