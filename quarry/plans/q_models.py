@@ -24,7 +24,16 @@ from quarry.session import scratch_path
 from quarry.sources.tables import Tables, row_count
 
 K_TOPICS = 5
-LSA_KS = [0, 10, 20, 30, 40, 50]
+# Two authors (the second in late years only), two overlapping sets of authors and years, two languages.
+LSA_GROUPS = {
+    "author_a": "source = 'src0'",
+    "author_b": "source = 'src1' and year > 1949",
+    "early": "year < 1950 or source = 'src0'",
+    "late": "year >= 1950 or source = 'src1'",
+    "de": "lang = 'de'",
+    "fr": "lang = 'fr'",
+}
+LSA_ANALYSES = {1: ("author_a", "author_b"), 2: ("early", "late"), 3: ("de", "fr")}
 
 @register("stem_vocabulary", "TXT9, UDF2")
 def stem_vocabulary(spark, sf):
@@ -261,9 +270,11 @@ def lsa_embed(spark, sf):
 
 @register("lsa_group_sweep", "LIN3, SNK2")
 def lsa_group_sweep(spark, sf):
-    cells = _doc_cells(spark, sf)
-    us, _ = SIM.lsa_embed(cells, max(LSA_KS))
-    us = checkpoint(us)
-    groups = Tables(spark, sf).documents.select("doc_id", F.col("lang").alias("grp"))
-    out = SIM.lsa_group_sweep(us, SIM.unit_rows(cells), groups, "de", "fr", LSA_KS)
-    return out.select(F.lit(3).alias("analysis_num"), "*")
+    """Three analyses over k = 0, 10, .., 10 * floor(N / 10) of one whole SVD."""
+    cells = checkpoint(_doc_cells(spark, sf))
+    us = checkpoint(SIM.lsa_embed_whole(cells))
+    docs = Tables(spark, sf).documents.withColumn("year", C.year_of("doc_id"))
+    named = F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in LSA_GROUPS.items()])
+    groups = docs.select("doc_id", F.explode(F.array_compact(named)).alias("grp"))
+    n = row_count(spark, sf, "documents").first()[0]
+    return SIM.lsa_analyses(us, SIM.unit_rows(cells), groups, LSA_ANALYSES, list(range(0, n + 1, 10)))

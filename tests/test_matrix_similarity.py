@@ -119,6 +119,34 @@ def test_lsa_sweep_k0_is_full_space(spark):
     assert set(sweep) == {0, 2, 4}
 
 
+def test_lsa_analyses_over_all_ranks_equal_numpy(spark):
+    """All k up to the number of documents, two analyses, overlapping groups, against the SVD's reconstructions."""
+    rng = np.random.default_rng(15)
+    x = rng.random((30, 40)) * (rng.random((30, 40)) > 0.5)
+    df = spark.createDataFrame([(d, f"t{j}", float(x[d, j])) for d in range(30) for j in range(40)], "doc_id long, term string, tfidf double")
+    of = {"A": range(12), "B": range(8, 25), "C": range(20, 30), "D": []}
+    groups = spark.createDataFrame([(d, g) for g, ids in of.items() for d in ids], "doc_id long, grp string")
+    analyses = {1: ("A", "B"), 2: ("C", "A"), 3: ("D", "B")}
+    rows = SIM.lsa_analyses(SIM.lsa_embed_whole(df), SIM.unit_rows(df), groups, analyses, [0, 10, 20, 30]).collect()
+    assert [(r.analysis_num, r.max_singular_values) for r in rows] == [(a, k) for a in (1, 2, 3) for k in (0, 10, 20, 30)]
+    u, sv, vt = np.linalg.svd(x, full_matrices=False)
+    for r in rows:
+        k = r.max_singular_values
+        xk = (u[:, :k] * sv[:k]) @ vt[:k] if k else x
+        unit = xk / np.linalg.norm(xk, axis=1, keepdims=True)
+        a, b = (of[g] for g in analyses[r.analysis_num])
+        for got, p, q in ((r.AA, a, a), (r.AB, a, b), (r.BB, b, b)):
+            cos = [unit[i] @ unit[j] for i in p for j in q if i != j]
+            assert got == pytest.approx(np.mean(cos) if cos else 0.0, abs=1e-8)
+
+
+def test_lsa_sweep_goes_up_to_the_number_of_documents(spark):
+    from quarry.plans.q_models import lsa_group_sweep
+
+    rows = lsa_group_sweep(spark, "/root/testdata/sf0.001").collect()
+    assert [(r.analysis_num, r.max_singular_values) for r in rows] == [(a, k) for a in (1, 2, 3) for k in range(0, 201, 10)]
+
+
 def test_group_cosine_join_path_equals_pivot_path(spark, monkeypatch):
     rng = np.random.default_rng(9)
     cells = [(d, f"t{j}", float(v)) for d in range(12) for j, v in enumerate(rng.random(5)) if v > 0.4]
