@@ -17,9 +17,9 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH p AS (
-  SELECT page_id, url, strpos(coalesce(url, ''), '://') AS at FROM pages
+  SELECT page_id, url, strpos(coalesce(url, ''), '://') AS mark FROM pages
 ), r AS (
-  SELECT page_id, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM p
+  SELECT page_id, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM p
 ), s AS (
   SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM r
 ), t AS (
