@@ -1,0 +1,114 @@
+"""Operator 13 against trees built whole in one place."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import merkle, q_merkle
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def plain_tree(leaves):
+    """Levels of a tree, leaves first."""
+    levels = [list(leaves)]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([H(*below[i:i + 8]) for i in range(0, len(below), 8)])
+    return levels
+
+
+def plain_siblings(levels, i):
+    out = []
+    for level in levels[:-1]:
+        start = i // 8 * 8
+        out += [d for j, d in enumerate(level[start:start + 8], start) if j != i]
+        i //= 8
+    return out
+
+
+def plain_manifest(rows):
+    """``{(lang, doc_id, leaf): (subroot, root, proof digest)}`` of (lang, doc_id, leaf) rows."""
+    trees = {}
+    for lang, doc, leaf in rows:
+        trees.setdefault(lang, []).append((doc is not None, doc or 0, leaf, doc))
+    names = sorted(trees, key=lambda n: (n is not None, (n or "").encode()))
+    levels = {n: plain_tree([r[2] for r in sorted(trees[n])]) for n in names}
+    top = plain_tree([levels[n][-1][0] for n in names])
+    out = []
+    for k, n in enumerate(names):
+        for i, (_, _, leaf, doc) in enumerate(sorted(trees[n])):
+            proof = plain_siblings(levels[n], i) + plain_siblings(top, k)
+            out.append((n, doc, leaf, levels[n][-1][0], top[-1][0], H(*proof)))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 63, 64, 65, 512, 513, 700])
+def test_frontier_equals_whole_tree(n):
+    leaves = [H(str(i)) for i in range(n)]
+    f = merkle.Frontier()
+    for d in leaves:
+        f.append(d)
+    levels = plain_tree(leaves)
+    assert f.close() == levels[-1][0]
+    for i in range(n):
+        steps = f.witness(i)
+        node = leaves[i]
+        for before, after in steps:
+            node = H(before, node, after)
+        assert node == levels[-1][0]
+        assert "".join(b + a for b, a in steps) == "".join(plain_siblings(levels, i))
+
+
+def test_open_subtrees_hold_steps_as_they_close():
+    f = merkle.Frontier()
+    for i in range(17):
+        f.append(H(str(i)))
+    assert len(f.steps[0]) == 16 and f.total[1] == 2 and len(f.open[0]) == 1 and len(f.open[1]) == 2
+
+
+def rows_of(df):
+    got = df.select("lang", "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("witness")).alias("p"), merkle.fold(F.col("leaf"), F.col("witness")).alias("f")).collect()
+    assert all(r["f"] == r["root"] for r in got)
+    return sorted([(r["lang"], r["doc_id"], r["leaf"], r["subroot"], r["root"], r["p"]) for r in got], key=repr)
+
+
+@pytest.mark.parametrize("n,height", [(10_000, merkle.HEIGHT), (700, 1)])
+def test_manifest(table, n, height):
+    """Blocks of 4,096 leaves; and of 8, so that the large tree has four levels of blocks and the upper tree two."""
+    rng = random.Random(5)
+    rows = [("en" if rng.random() < 0.9 else rng.choice([None, "", "a", "é", "日", *"bcdefg"]), i, H(str(i))) for i in range(n)]
+    rows += [("one", 5, H("x")), (None, None, H("y")), ("en", None, H("z")), ("en", 7, H("again")), ("en", 7, H("again"))]
+    got = rows_of(merkle.manifest(table(rows, "lang string, doc_id long, leaf string"), height=height))
+    assert got == sorted(plain_manifest(rows), key=repr)
+
+
+def test_single_leaf_and_nothing(spark, table):
+    one = merkle.manifest(table([("en", 1, H("a"))], "lang string, doc_id long, leaf string")).first()
+    assert one["leaf"] == one["subroot"] == one["root"] == H("a") and one["witness"] == []
+    assert merkle.manifest(spark.createDataFrame([], "lang string, doc_id long, leaf string")).collect() == []
+
+
+def test_leaf_bytes(spark):
+    df = spark.createDataFrame([(5, None, "é", "日本")], "a long, b string, c string, d string")
+    assert df.select(merkle.leaf(*[F.col(c) for c in "abcd"]).alias("h")).first()["h"] == H("1:5", "-", "2:é", "6:日本")
+
+
+def test_query_finds_tampering(spark, awkward, tmp_path):
+    """Awkward rows (nulls, repeats, long texts, columns named like outputs): only rows whose text has capitals fail."""
+    import zlib
+
+    extra = spark.createDataFrame([(i, f"Text {i} Ä", "en", "s") for i in range(100, 140)], "doc_id long, text string, lang string, source string")
+    docs = awkward.select("doc_id", "text", "lang", "source", "key", "rank").unionByName(extra, allowMissingColumns=True)
+    docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumn("root", F.lit("x")).withColumn("tree", F.lit(1))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = q_merkle.op13_merkle_manifest(spark, str(tmp_path)).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        hit = r["doc_id"] is not None and r["doc_id"] >= 100 and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 0
+        assert r["verified"] == (not hit) and (r["folded_root"] == r["root"]) == r["verified"]
+    assert any(not r["verified"] for r in got)
