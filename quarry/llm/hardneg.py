@@ -54,7 +54,7 @@ _INDEX = "grp long, bucket long, d int, n int, kind string, vectors binary, leng
 
 
 def _matrix(vectors: pa.ChunkedArray, d: int) -> np.ndarray:
-    return np.concatenate([np.asarray(c.flatten(), np.int64) for c in vectors.chunks]).reshape(-1, d) if len(vectors) else np.zeros((0, d), np.int64)
+    return np.concatenate([np.asarray(c.flatten(), np.int64) for c in vectors.chunks]).reshape(len(vectors), d)
 
 
 def _pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:

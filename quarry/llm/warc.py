@@ -199,8 +199,8 @@ def _write(to: str, roll: int, date: str, mime: str):
     return run
 
 
-def _copies(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``copy``: 1, or 1, 2, .. for rows of equal key and payload, by url; later copies carry no payload.
+def _copies(rows: DataFrame, revisit_bytes: int) -> DataFrame:
+    """``rows`` with ``copy``: 1, or 1, 2, .. for rows of equal key and payload, by url; later copies that will be revisits carry no payload.
 
     Only rows whose key and digest repeat are grouped. A group is first
     counted (equal rows fold in the map tasks) and then dealt out again, so
@@ -219,7 +219,7 @@ def _copies(rows: DataFrame) -> DataFrame:
     starts = counted.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     dealt = starts.select("key", "digest", "size", "url", "payload", "_before", F.explode(F.sequence(F.lit(1), "n")).alias("_i"))
     dealt = dealt.withColumn("copy", (F.col("_before") + F.col("_i")).cast("long"))
-    dealt = dealt.withColumn("payload", F.when(F.col("copy") == 1, F.col("payload")))
+    dealt = dealt.withColumn("payload", F.when((F.col("copy") == 1) | (F.col("size") < revisit_bytes), F.col("payload")))
     return single.unionByName(dealt.select(*single.columns))
 
 
@@ -258,7 +258,7 @@ def write_warc(records: DataFrame, to: str, key: str = "page_id", url: str = "ur
     body = F.coalesce(col(payload).cast("binary"), F.lit(b""))
     rows = records.select(col(key).cast("long").alias("key"), col(url).cast("string").alias("url"), body.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
-    rows = _copies(rows)
+    rows = _copies(rows, revisit_bytes)
     light = checkpoint(rows.select("key", "digest", "copy", "size"))
     ranked = F.struct(F.col("key").isNotNull().alias("has"), F.col("key").alias("key"), F.col("copy").alias("copy"))
     firsts = light.where(F.col("size") >= revisit_bytes).groupBy("digest").agg(F.min(ranked).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
