@@ -6,15 +6,14 @@ draws of (document, term) cells are independent given the topic-word
 matrix B and the document-topic matrix T, so one iteration is:
 
 1. m = topic-term counts (``groupBy``), B ~ Dir(m + eta) drawn per term
-   chunk (``applyInPandas``, one RNG per (seed, iteration, chunk)) and
-   normalised by per-topic sums (K numbers);
-2. cells join B by term, are hash-partitioned by document and sorted; a
-   ``mapInPandas`` pass draws, vectorised over whole documents per Arrow
-   batch, T ~ Dir(n + alpha) per document and a topic per cell with
-   p ~ T[k] * B[v, k];
-3. checkpoint the new assignment (lineage cut, survives executor loss).
-
-Only the two norms of each iteration reach the driver.
+   chunk (``applyInPandas``, one RNG per (seed, iteration, chunk)) as
+   logarithms of Gamma draws, normalised by per-topic log sums (K numbers);
+2. each part of the documents (``doc_parts``) gets its own terms' rows of B
+   and draws T ~ Dir(n + alpha) per document and a topic per cell with
+   p ~ T[k] * B[v, k], again in logarithms;
+3. parts and counts are written (lineage cut, survives executor loss).
+
+Only the two norms and the K sums of each iteration reach the driver.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import doc_parts as DP
 from quarry.operators.util import checkpoint, with_global_index
 
 
@@ -91,79 +91,53 @@ def doc_top_topics(projections: DataFrame, id_col: str = "doc_id", prefix: str =
 CHUNK = 4096
 
 
-def _draw_b(k: int, eta: float, seed: int, it: int):
-    def fn(pdf):
-        chunk = int(pdf["chunk"].iloc[0])
-        rng = np.random.default_rng([seed, it, chunk, 1])
-        pdf = pdf.sort_values("term_index")
-        m = pdf[[f"m{j}" for j in range(k)]].to_numpy(dtype=float)
-        g = rng.gamma(m + eta)
-        out = {"term_index": pdf["term_index"].to_numpy()}
-        for j in range(k):
-            out[f"g{j}"] = g[:, j]
-        import pandas as pd
+def log_gamma_draws(shape: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Logarithms of Gamma(shape, 1) draws, for shapes however small.
 
-        return pd.DataFrame(out)
+    Gamma(a) has the law of Gamma(a + 1) * U ** (1 / a): its logarithm stays
+    finite where the draw itself would be 0 in double precision.
+    """
+    return np.log(rng.standard_gamma(shape + 1.0)) + np.log1p(-rng.random(shape.shape)) / shape
 
-    return fn
 
+def _normalised(log_p: np.ndarray) -> np.ndarray:
+    """Rows of log weights as probabilities."""
+    p = np.exp(log_p - log_p.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
 
-def _doc_step(k: int, alpha: float, seed: int, it: int):
-    """Per-partition document step over rows sorted by (doc_id, term_index).
 
-    Whole documents are processed per Arrow batch, vectorised across
-    documents; the rows of the last document of a batch are carried into the
-    next batch, so a document split by the batch size is still handled as a
-    whole. RNG per (seed, iteration, document): the result does not depend
-    on partitioning or batching.
-    """
+def _draw_b(k: int, eta: float, seed: int, it: int):
+    """Log Gamma draws of a chunk of terms; the seed is the chunk's, so partitions do not matter."""
 
-    def step(pdf):
+    def fn(pdf):
         import pandas as pd
 
-        docs = pdf["doc_id"].to_numpy()
-        tf = pdf["tf"].to_numpy(dtype=float)
-        z = pdf["z"].to_numpy().astype(np.int64)
-        b = pdf[[f"b{j}" for j in range(k)]].to_numpy(dtype=float)
-        starts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-        ends = np.r_[starts[1:], len(docs)]
-        seg = np.repeat(np.arange(len(starts)), ends - starts)
-        n = np.zeros((len(starts), k))
-        drawn = z >= 0  # before the first iteration no cell has a topic
-        np.add.at(n, (seg[drawn], z[drawn]), tf[drawn])
-        t = np.empty_like(n)
-        u = np.empty(len(docs))
-        for i, (a, e) in enumerate(zip(starts, ends)):
-            rng = np.random.default_rng([seed, it, int(docs[a]), 2])
-            t[i] = rng.gamma(n[i] + alpha)
-            u[a:e] = rng.random(e - a)
-        t = t / t.sum(axis=1, keepdims=True)
-        p = b * t[seg]
-        p = p / p.sum(axis=1, keepdims=True)
-        znew = np.minimum((p.cumsum(axis=1) < u[:, None]).sum(axis=1), k - 1)
-        out = pd.DataFrame({"doc_id": docs, "term_index": pdf["term_index"].to_numpy(),
-                            "tf": pdf["tf"].to_numpy(), "z": znew.astype("int32")})
-        for j in range(k):
-            out[f"t{j}"] = t[seg, j]
-        return out
-
-    def fn(batches):
-        import pandas as pd
+        pdf = pdf.sort_values("term_index")
+        rng = np.random.default_rng([seed, it, int(pdf["chunk"].iloc[0]), 1])
+        g = log_gamma_draws(pdf[[f"s{j}" for j in range(k)]].to_numpy(float) + eta, rng)
+        return pd.DataFrame({"term_index": pdf["term_index"].to_numpy(), **{f"g{j}": g[:, j] for j in range(k)}})
+
+    return fn
 
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if len(pdf) == 0:
-                continue
-            last = pdf["doc_id"].iloc[-1]
-            tail = (pdf["doc_id"] == last).to_numpy()
-            carry = pdf[tail]
-            head = pdf[~tail]
-            if len(head):
-                yield step(head.reset_index(drop=True))
-        if carry is not None and len(carry):
-            yield step(carry.reset_index(drop=True))
+
+def _doc_step(k: int, alpha: float, seed: int, it: int, log_sums: list[float]):
+    """A part's documents: T ~ Dir(n + alpha) per document, then a topic per cell with p ~ T[k] * B[v, k]."""
+
+    def fn(part: DP.Part, terms: np.ndarray, g: np.ndarray):
+        rng = np.random.default_rng([seed, it, part.part, 2])
+        drawn = part.z >= 0  # before the first iteration no cell has a topic
+        n = np.zeros((len(part.docs), k))
+        np.add.at(n, (part.of[drawn], part.z[drawn].astype(int)), part.tf[drawn])
+        log_t = log_gamma_draws(n + alpha, rng)
+        own = np.searchsorted(terms, part.terms)
+        p = _normalised((g - log_sums)[own] + log_t[part.of])
+        if not np.isfinite(p).all():
+            raise ValueError("topic weights that are no numbers")
+        z = np.minimum((p.cumsum(axis=1) < rng.random(len(p))[:, None]).sum(axis=1), k - 1)
+        m = np.zeros((len(terms), k))
+        np.add.at(m, (own, z), part.tf)
+        theta = _normalised(log_t)
+        return part.rows(terms, m, z, theta, float((theta**2).sum()))
 
     return fn
 
@@ -180,43 +154,33 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
     iteration, and ``counts(doc_id, topic, n)``, the tokens of each document by
     their last topic.
     """
+    from quarry.operators.matrix import attach_by_term
+
     spark = dtm.sparkSession
-    vocab = with_global_index(dtm.select("term").distinct(), ["term"], "term_index")
+    vocab = checkpoint(with_global_index(dtm.select("term").distinct(), ["term"], "term_index"))
     v_size = vocab.count()
     eta = 200.0 / v_size if eta is None else eta
     alpha = 50.0 / k if alpha is None else alpha
-    from quarry.operators.matrix import attach_by_term
-    from quarry.operators.util import split_hot_join
-
     cells = attach_by_term(checkpoint(dtm.select(F.col(id_col).alias("doc_id"), "term", "tf")), vocab).select(
-        "doc_id", "term_index", F.col("tf").cast("long").alias("tf"))
-    state = checkpoint(cells.withColumn("z", F.lit(-1)))
-    # document frequency per term index: hot terms of the cells x B join
-    term_counts = checkpoint(state.groupBy("term_index").agg(F.count(F.lit(1)).alias("n")))
-    n_cells = state.count()
-    chunks = vocab.select("term_index", (F.col("term_index") / CHUNK).cast("long").alias("chunk"))
+        F.col("doc_id").cast("long").alias("doc_id"), "term_index", "tf")
+    table, needed = DP.pack(checkpoint(cells), k)
     history: list[tuple[int, float, float]] = []
-    b_schema = "term_index long, " + ", ".join(f"g{j} double" for j in range(k))
-    d_schema = "doc_id long, term_index long, tf long, z int, " + ", ".join(f"t{j} double" for j in range(k))
+    topics = range(k)
     for it in range(1, max_iter + 1):
-        m = state.groupBy("term_index").pivot("z", list(range(k))).agg(F.sum("tf"))
-        m = chunks.join(m, "term_index", "left").fillna(0)
-        m = m.select("term_index", "chunk", *[F.col(str(j)).cast("double").alias(f"m{j}") for j in range(k)])
-        g = m.groupBy("chunk").applyInPandas(_draw_b(k, eta, seed, it), b_schema)
-        g = checkpoint(g)
-        sums = g.agg(*[F.sum(f"g{j}").alias(f"s{j}") for j in range(k)])  # one row
-        b = g.crossJoin(F.broadcast(sums)).select("term_index", *[(F.col(f"g{j}") / F.col(f"s{j}")).alias(f"b{j}") for j in range(k)])
-        joined = split_hot_join(state.select("doc_id", "term_index", "tf", "z"), b, "term_index", term_counts, n_cells)
-        joined = joined.repartition("doc_id").sortWithinPartitions("doc_id", "term_index")
-        new = checkpoint(joined.mapInPandas(_doc_step(k, alpha, seed, it), d_schema))
-        theta = new.groupBy("doc_id").agg(*[F.first(f"t{j}").alias(f"t{j}") for j in range(k)])
-        norm = lambda m, c: m.agg(F.sqrt(F.sum(sum(F.col(f"{c}{j}") ** 2 for j in range(k)))).alias(f"n{c}"))
-        norms = norm(b, "b").crossJoin(F.broadcast(norm(theta, "t"))).first()  # two one-row aggregates in one job
-        state = new
-        history.append((it, float(norms["nb"]), float(norms["nt"])))
+        m = DP.added_up(table, k).withColumn("chunk", F.expr(f"term_index div {CHUNK}"))
+        g = checkpoint(m.groupBy("chunk").applyInPandas(_draw_b(k, eta, seed, it), "term_index long, " + ", ".join(f"g{j} double" for j in topics)))
+        # B in logarithms: g less the logarithm of its topic's sum
+        most = g.agg(*[F.max(f"g{j}") for j in topics]).first()
+        sums = g.agg(*[F.sum(F.exp(F.col(f"g{j}") - most[j])) for j in topics]).first()
+        log_sums = [float(most[j] + np.log(sums[j])) for j in topics]
+        b = g.select("term_index", *[F.exp(F.col(f"g{j}") - log_sums[j]).alias(f"b{j}") for j in topics])
+        table = DP.step(table, needed, g, _doc_step(k, alpha, seed, it, log_sums))
+        norm_b = b.agg(F.sqrt(F.sum(sum(F.col(f"b{j}") ** 2 for j in topics)))).first()[0]
+        norm_t = DP.parts(table).agg(F.sqrt(F.sum("total"))).first()[0]
+        history.append((it, float(norm_b), float(norm_t)))
         if it > 1 and all(abs(x - y) < cutoff for x, y in zip(history[-1][1:], history[-2][1:])):
             break
-    theta_long = theta.select("doc_id", F.posexplode(F.array(*[F.col(f"t{j}") for j in range(k)])).alias("topic", "p"))
-    beta_long = b.join(vocab, "term_index").select("term", F.posexplode(F.array(*[F.col(f"b{j}") for j in range(k)])).alias("topic", "p"))
-    counts = state.groupBy("doc_id", F.col("z").alias("topic")).agg(F.sum("tf").alias("n"))
-    return theta_long, beta_long, spark.createDataFrame(history, "iteration int, norm_beta double, norm_theta double"), counts
+    long = lambda df, key, c: df.select(key, F.posexplode(F.array(*[F.col(f"{c}{j}") for j in topics])).alias("topic", "p"))
+    theta = long(DP.unpack(table, [f"t{j}" for j in topics]), "doc_id", "t")
+    beta = long(b.join(vocab, "term_index"), "term", "b")
+    return theta, beta, spark.createDataFrame(history, "iteration int, norm_beta double, norm_theta double"), DP.doc_topic_counts(table)

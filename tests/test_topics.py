@@ -71,6 +71,49 @@ def test_gibbs_norms_and_stop_rule(spark):
     assert hist.count() == 4
 
 
+def test_tiny_priors_leave_topics_even(spark):
+    """A corpus that favours no topic, with the prior of a vocabulary of 200 million terms: no topic swallows the cells."""
+    rows = spark.range(12_000).select((F.col("id") % 600).alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("term"), F.lit(1).alias("tf"))
+    theta, beta, _, counts = TP.gibbs_lda(rows, k=5, eta=1e-6, max_iter=4, cutoff=0.0, seed=3)
+    per_topic = [r["n"] for r in counts.groupBy("topic").agg(F.sum("n").alias("n")).collect()]
+    assert len(per_topic) == 5 and sum(per_topic) == 12_000
+    assert max(per_topic) < 1.25 * min(per_topic)
+    assert theta.where(F.isnan("p")).count() == 0 and beta.where(F.isnan("p")).count() == 0
+
+
+def test_log_gamma_draws_follow_the_law():
+    rng = np.random.default_rng(1)
+    for a in (0.3, 2.5, 40.0):
+        x = np.exp(TP.log_gamma_draws(np.full(200_000, a), rng))
+        assert x.mean() == pytest.approx(a, rel=0.02) and x.var() == pytest.approx(a, rel=0.05)
+    tiny = TP.log_gamma_draws(np.full(1000, 1e-7), rng)
+    assert np.isfinite(tiny).all() and np.mean(tiny) == pytest.approx(-1e7, rel=0.15)
+
+
+def test_parts_do_not_change_sums(spark):
+    """The same cells in one part and in many: equal counts of tokens by document and term."""
+    from quarry.operators import doc_parts as DP
+
+    cells = spark.range(5000).select((F.col("id") % 97).alias("doc_id"), (F.col("id") * 7 % 331).alias("term_index"), (F.col("id") % 4 + 1).alias("tf"))
+    cells = cells.groupBy("doc_id", "term_index").agg(F.sum("tf").alias("tf"))
+    ones = spark.range(331).select(F.col("id").alias("term_index"), F.lit(0.5).alias("w"))
+
+    def fn(part, terms, w):
+        own = np.searchsorted(terms, part.terms)
+        sums = np.zeros((len(terms), 1))
+        np.add.at(sums[:, 0], own, part.tf * w[own, 0])
+        return part.rows(terms, sums, np.zeros(len(part.tf)), part.by_doc(part.tf[:, None]), 1.0)
+
+    for size, n in ((10_000, 1), (300, 17)):
+        table, needed = DP.pack(cells, 1, part_cells=size)
+        assert DP.parts(table).count() == n and (needed.count() == 331 if n == 1 else needed.count() > 331)
+        out = DP.step(table, needed, ones, fn)
+        by_term = {r["term_index"]: 2 * r["s0"] for r in DP.added_up(out, 1).collect()}
+        assert by_term == {r["term_index"]: r["n"] for r in cells.groupBy("term_index").agg(F.sum("tf").alias("n")).collect()}
+        by_doc = {r["doc_id"]: r["n"] for r in DP.unpack(out, ["n"]).collect()}
+        assert by_doc == {r["doc_id"]: r["n"] for r in cells.groupBy("doc_id").agg(F.sum("tf").alias("n")).collect()}
+
+
 def test_vocabulary_has_no_limit(spark):
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.transform(F.sequence(F.lit(0), F.lit(5999)), lambda i: F.concat(
         F.lit("t"), (F.col("id") * 6000 + i).cast("string"))).alias("tokens"))
