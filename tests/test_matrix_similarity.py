@@ -161,3 +161,28 @@ def test_group_cosine_join_path_equals_pivot_path(spark, monkeypatch):
     for k in pivot:
         assert pivot[k][:3] == joined[k][:3]
         assert pivot[k][3] == pytest.approx(joined[k][3], abs=1e-12)
+
+
+@pytest.mark.parametrize("k,block", [(10, None), (60, 25), (None, 64)])
+def test_range_finder_equals_numpy(spark, k, block):
+    """Singular values and rows of U S of 200 documents, few and all of them, with blocks that end early."""
+    from quarry.operators.svd import truncated_svd
+
+    rng = np.random.default_rng(0)
+    x = np.where(rng.random((200, 900)) < 0.05, rng.gamma(2.0, size=(200, 900)), 0)
+    x[7], x[9] = 0, x[8]
+    df = spark.createDataFrame([(int(i), f"t{j}", float(x[i, j])) for i, j in zip(*np.nonzero(x))], "doc_id long, term string, tfidf double")
+    us, s = truncated_svd(df, k, block=block)
+    u, sv, _ = np.linalg.svd(x, full_matrices=False)
+    assert len(s) == (k or np.linalg.matrix_rank(x)) and np.allclose(s, sv[: len(s)], rtol=0, atol=1e-9)
+    rows = np.zeros((200, len(s)))
+    for r in us.collect():
+        rows[r["doc_id"]] = r["us"]
+    assert np.allclose(rows @ rows.T, (u[:, : len(s)] * sv[: len(s)] ** 2) @ u[:, : len(s)].T, atol=1e-7)
+
+
+def test_range_finder_of_nothing(spark):
+    from quarry.operators.svd import truncated_svd
+
+    us, s = truncated_svd(spark.createDataFrame([(1, "a", 0.0)], "doc_id long, term string, tfidf double"), 3)
+    assert us.collect() == [] and s == []
