@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators import doc_parts as DP
-from quarry.operators.util import checkpoint, with_global_index
+from quarry.operators.util import checkpoint, discard, with_global_index
 
 
 # ---------------------------------------------------------------- Spark ML LDA
@@ -137,7 +137,7 @@ def _doc_step(k: int, alpha: float, seed: int, it: int, log_sums: list[float]):
         m = np.zeros((len(terms), k))
         np.add.at(m, (own, z), part.tf)
         theta = _normalised(log_t)
-        return part.rows(terms, m, z, theta, float((theta**2).sum()))
+        return part.state(terms, m, z, theta, float((theta**2).sum()))
 
     return fn
 
@@ -163,24 +163,25 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
     alpha = 50.0 / k if alpha is None else alpha
     cells = attach_by_term(checkpoint(dtm.select(F.col(id_col).alias("doc_id"), "term", "tf")), vocab).select(
         F.col("doc_id").cast("long").alias("doc_id"), "term_index", "tf")
-    table, needed = DP.pack(checkpoint(cells), k)
+    docs, table = DP.DocParts(checkpoint(cells)), None
     history: list[tuple[int, float, float]] = []
     topics = range(k)
     for it in range(1, max_iter + 1):
-        m = DP.added_up(table, k).withColumn("chunk", F.expr(f"term_index div {CHUNK}"))
+        m = (DP.added_up(table, k) if table is not None else docs.zeros(k)).withColumn("chunk", F.expr(f"term_index div {CHUNK}"))
         g = checkpoint(m.groupBy("chunk").applyInPandas(_draw_b(k, eta, seed, it), "term_index long, " + ", ".join(f"g{j} double" for j in topics)))
         # B in logarithms: g less the logarithm of its topic's sum
         most = g.agg(*[F.max(f"g{j}") for j in topics]).first()
         sums = g.agg(*[F.sum(F.exp(F.col(f"g{j}") - most[j])) for j in topics]).first()
         log_sums = [float(most[j] + np.log(sums[j])) for j in topics]
         b = g.select("term_index", *[F.exp(F.col(f"g{j}") - log_sums[j]).alias(f"b{j}") for j in topics])
-        table = DP.step(table, needed, g, _doc_step(k, alpha, seed, it, log_sums))
+        before, table = table, docs.step(table, g, _doc_step(k, alpha, seed, it, log_sums))
+        discard(before)
         norm_b = b.agg(F.sqrt(F.sum(sum(F.col(f"b{j}") ** 2 for j in topics)))).first()[0]
         norm_t = DP.parts(table).agg(F.sqrt(F.sum("total"))).first()[0]
         history.append((it, float(norm_b), float(norm_t)))
         if it > 1 and all(abs(x - y) < cutoff for x, y in zip(history[-1][1:], history[-2][1:])):
             break
     long = lambda df, key, c: df.select(key, F.posexplode(F.array(*[F.col(f"{c}{j}") for j in topics])).alias("topic", "p"))
-    theta = long(DP.unpack(table, [f"t{j}" for j in topics]), "doc_id", "t")
+    theta = long(docs.unpack(table, [f"t{j}" for j in topics]), "doc_id", "t")
     beta = long(b.join(vocab, "term_index"), "term", "b")
-    return theta, beta, spark.createDataFrame(history, "iteration int, norm_beta double, norm_theta double"), DP.doc_topic_counts(table)
+    return theta, beta, spark.createDataFrame(history, "iteration int, norm_beta double, norm_theta double"), docs.topic_counts(table)

@@ -42,7 +42,18 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
         return df.checkpoint(eager=False)
     path = scratch_path(spark, "ckpt")
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._checkpoint_path = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Remove the table that :func:`checkpoint` wrote for ``df``, once nothing reads it any more (an iteration's last state)."""
+    path = getattr(df, "_checkpoint_path", None)
+    if path:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def with_global_index(df: DataFrame, order_cols: list[str], index_col: str = "idx") -> DataFrame:

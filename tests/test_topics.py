@@ -102,15 +102,15 @@ def test_parts_do_not_change_sums(spark):
         own = np.searchsorted(terms, part.terms)
         sums = np.zeros((len(terms), 1))
         np.add.at(sums[:, 0], own, part.tf * w[own, 0])
-        return part.rows(terms, sums, np.zeros(len(part.tf)), part.by_doc(part.tf[:, None]), 1.0)
+        return part.state(terms, sums, per_doc=part.by_doc(part.tf[:, None]), total=1.0)
 
     for size, n in ((10_000, 1), (300, 17)):
-        table, needed = DP.pack(cells, 1, part_cells=size)
-        assert DP.parts(table).count() == n and (needed.count() == 331 if n == 1 else needed.count() > 331)
-        out = DP.step(table, needed, ones, fn)
+        docs = DP.DocParts(cells, part_cells=size)
+        assert docs.cells.count() <= n and (docs.needed.count() == 331 if n == 1 else docs.needed.count() > 331)
+        out = docs.step(None, ones, fn)
         by_term = {r["term_index"]: 2 * r["s0"] for r in DP.added_up(out, 1).collect()}
         assert by_term == {r["term_index"]: r["n"] for r in cells.groupBy("term_index").agg(F.sum("tf").alias("n")).collect()}
-        by_doc = {r["doc_id"]: r["n"] for r in DP.unpack(out, ["n"]).collect()}
+        by_doc = {r["doc_id"]: r["n"] for r in docs.unpack(out, ["n"]).collect()}
         assert by_doc == {r["doc_id"]: r["n"] for r in cells.groupBy("doc_id").agg(F.sum("tf").alias("n")).collect()}
 
 
