@@ -8,13 +8,14 @@ from quarry.functions import dates as D
 from quarry.functions import numeric as N
 from quarry.functions import text as T
 from quarry.functions.stemmer import stem_map
+from quarry.operators import lda as LDA
 from quarry.operators import learn as LR
 from quarry.operators import lexicon as L
 from quarry.operators import matrix as M
 from quarry.operators import similarity as SIM
 from quarry.operators import topics as TP
 from quarry.operators.cleaning import clean_tokens, speech_tokens
-from quarry.operators.util import checkpoint, with_global_index
+from quarry.operators.util import checkpoint
 from quarry.plans import corpus as C
 from quarry.plans import sqlfrag as S
 from quarry.plans.listings import LISTINGS_SQL, listings
@@ -59,66 +60,62 @@ def clean_text_stemmed(spark, sf):
     return out.select("doc_id", F.size("tokens").alias("n_tokens"), T.join_tokens("tokens").alias("tokens_joined"))
 
 
-def _lda(spark, sf):
-    """``(vocabulary, vectors with test_train, model)`` of the listing descriptions."""
-    docs = checkpoint(_clean_stemmed(spark, sf).where(F.col("tokens").isNotNull()))
-    vocab, vec = TP.count_vectors(docs, "tokens")
-    vec = checkpoint(vec.withColumn("test_train", N.train_fraction("doc_id")))
-    return vocab, vec, TP.lda_fit(vec.where(F.col("test_train") < 0.8), k=K_TOPICS, max_iter=50, seed=1)
+#: Where a session keeps the fit of each folder and weighting: six queries read one fit.
+_FITS: dict[tuple[str, str, str], str] = {}
+
+
+def _lda(spark, sf, weighting="counts"):
+    """``(model, cells, projections)`` of the listing descriptions, fitted once a session and kept on disk."""
+    key = (spark.sparkContext.applicationId, sf, weighting)
+    if key not in _FITS:
+        docs = checkpoint(_clean_stemmed(spark, sf).where(F.col("tokens").isNotNull()))
+        cells, value = M.doc_term_matrix(docs), "tf"
+        if weighting == "tfidf":
+            cells, value = M.tfidf_int100(M.tf_idf(cells, docs.agg(F.count(F.lit(1)).alias("n_docs")))), "w100"
+        vocab, cells = LDA.index_terms(cells, value)
+        train = checkpoint(cells.where(N.train_fraction("doc_id") < 0.8))
+        model = LDA.fit(train, vocab, k=K_TOPICS, max_iter=50, seed=1)
+        path = scratch_path(spark, "lda")
+        cells.write.parquet(f"{path}/cells")
+        LDA.project(model, cells).write.parquet(f"{path}/projections")
+        model.save(f"{path}/model")
+        _FITS[key] = path
+    path = _FITS[key]
+    return LDA.TopicTable.load(spark, f"{path}/model"), spark.read.parquet(f"{path}/cells"), spark.read.parquet(f"{path}/projections")
 
 
 @register("lda_fit", "LDA1")
 def lda_fit(spark, sf):
-    vocab, vec, model = _lda(spark, sf)
-    train = vec.where(F.col("test_train") < 0.8)
-    ll, lp = model.logLikelihood(train), model.logPerplexity(train)
-    return spark.createDataFrame([(K_TOPICS, vocab.count(), float(ll), float(lp))],
-                                 "k int, vocab_size long, log_likelihood double, log_perplexity double")
+    model, cells, _ = _lda(spark, sf)
+    ll, lp = LDA.bound(model, cells.where(N.train_fraction("doc_id") < 0.8))
+    return spark.createDataFrame([(K_TOPICS, model.vocabulary.count(), ll, lp)], "k int, vocab_size long, log_likelihood double, log_perplexity double")
 
 
 @register("lda_project", "LDA2, RSH3")
 def lda_project(spark, sf):
-    _, vec, model = _lda(spark, sf)
-    return TP.lda_project(model, vec)
+    return _lda(spark, sf)[2]
 
 
 @register("lda_saved", "SNK4, SRC12, LDA2")
 def lda_saved(spark, sf):
-    """The fitted model and its projections, stored, loaded again; projections by the loaded
-    model beside the stored ones."""
-    from quarry.sources import readers as R
-    from quarry.sources import sinks as W
-
-    _, vec, model = _lda(spark, sf)
-    path = scratch_path(spark, "lda")
-    W.write_topic_model(model, f"{path}/model")
-    W.write_matrix(TP.lda_project(model, vec), f"{path}/projections")
-    again = TP.lda_project(R.read_topic_model(f"{path}/model"), vec, prefix="loaded")
-    return R.read_matrix(spark, f"{path}/projections").join(again, "doc_id")
+    """The projections that are stored beside those by the loaded model."""
+    model, cells, stored = _lda(spark, sf)
+    return stored.join(LDA.project(model, cells, prefix="loaded"), "doc_id")
 
 
 @register("topic_top_words", "TOP2, LDA4")
 def topic_top_words(spark, sf):
-    vocab, _, model = _lda(spark, sf)
-    return TP.topic_top_words(model, vocab, n=10)
+    return LDA.top_words(_lda(spark, sf)[0], n=10)
 
 
 @register("doc_top_topics", "TOP3")
 def doc_top_topics(spark, sf):
-    _, vec, model = _lda(spark, sf)
-    return TP.doc_top_topics(TP.lda_project(model, vec), k=K_TOPICS, n=3)
+    return TP.doc_top_topics(_lda(spark, sf)[2], k=K_TOPICS, n=3)
 
 
 @register("lda_fit_tfidf", "LDA3, AGG12")
 def lda_fit_tfidf(spark, sf):
-    docs = _clean_stemmed(spark, sf).where(F.col("tokens").isNotNull())
-    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    w = M.tfidf_int100(M.tf_idf(M.doc_term_matrix(docs), n))
-    vocab = with_global_index(w.select("term").distinct(), ["term"], "term_index")
-    vec = M.to_ml_vectors(w, vocab, vocab.count(), value_col="w100").withColumn("test_train", N.train_fraction("doc_id"))
-    vec = checkpoint(vec)
-    model = TP.lda_fit(vec.where(F.col("test_train") < 0.8), k=K_TOPICS, max_iter=50, seed=1)
-    return TP.lda_project(model, vec)
+    return _lda(spark, sf, "tfidf")[2]
 
 
 def _gibbs(spark, sf, max_iter=20):
