@@ -102,6 +102,41 @@ def pending_partitions(spark, sf):
     return I.pending_partitions(keys, ledger, "outcode_id")
 
 
+@register("ledger_process", "ING1, ING2", f"""
+select n_nationkey as outcode_id, coalesce(ok, true) as completed, case when coalesce(ok, true) then 'finish' else 'failed' end as last_event, 'second' as last_run
+from nation left join (select outcode_id, bool_and(coalesce(availability_lag, 0) >= {LAG_FAIL}) as ok from {LISTINGS_SQL} group by outcode_id) l on l.outcode_id = n_nationkey""")
+def ledger_process(spark, sf):
+    """A run that starts a third of the outcodes and is lost, then one that takes up those and the others."""
+    from quarry.operators.commits import Ledger
+
+    ledger = Ledger(spark, scratch_path(spark, "ledger"), "outcode_id")
+    keys = Tables(spark, sf).nation.select(F.col("n_nationkey").cast("long").alias("outcode_id"))
+    ledger.record(keys.where(F.col("outcode_id") % 3 == 0), "start", "first")
+    ok = F.coalesce(F.col("availability_lag"), F.lit(0)) >= LAG_FAIL
+    records = listings(spark, sf).select(F.col("outcode_id").cast("long").alias("outcode_id"), ok.alias("ok"))
+    ledger.process(keys, lambda todo: records.join(F.broadcast(todo), "outcode_id"), "second")  # a row an outcode
+    return ledger.state().select("outcode_id", "completed", "last_event", "last_run")
+
+
+@register("upsert_merge_on_read", "SNK8, JON11 (storage)", """
+select o.o_orderkey, case when o.o_custkey % 20 = 0 then 'C' else coalesce(u.st, o.o_orderstatus) end as o_orderstatus,
+       round(coalesce(u.price, o.o_totalprice), 2) as o_totalprice
+from orders o left join (select l_orderkey, 'R' as st, sum(l_extendedprice) as price from lineitem
+                         where l_returnflag = 'R' group by l_orderkey) u on o.o_orderkey = u.l_orderkey""")
+def upsert_merge_on_read(spark, sf):
+    """Orders stored by key; an update of two columns, a compaction, then one of one column, merged where they are read."""
+    from quarry.operators.commits import KeyedTable
+
+    t = Tables(spark, sf)
+    stored = KeyedTable(spark, scratch_path(spark, "orders"), "o_orderkey", "o_orderkey long, o_orderstatus string, o_totalprice double")
+    stored.create(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"))
+    stored.update(t.lineitem.where(F.col("l_returnflag") == "R").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+                  .agg(F.lit("R").alias("o_orderstatus"), F.sum("l_extendedprice").alias("o_totalprice")))
+    stored.compact()
+    stored.update(t.orders.where(F.col("o_custkey") % 20 == 0).select("o_orderkey", F.lit("C").alias("o_orderstatus")))
+    return stored.read().withColumn("o_totalprice", F.round("o_totalprice", 2))
+
+
 _BATCH_SQL = "(select * from events union all select * from events where event_type = 'click')"
 
 

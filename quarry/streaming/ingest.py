@@ -3,8 +3,8 @@
 A file source is drained with ``availableNow``; each micro-batch goes through
 the batch operators in ``foreachBatch`` and is written to a folder of its own
 (``batch=N``), so a replayed batch overwrites only itself and nothing that is
-stored is rewritten. What has been seen is in the stored tables, not in a
-state store that grows without bound.
+stored is rewritten. What has been seen is in files of keys by bucket, not in
+a state store that grows without bound.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import ingest as I
+from quarry.operators.commits import SeenKeys
+from quarry.operators.util import checkpoint as checkpoint_table
 
 
 def _stored(spark: SparkSession, sink: str, schema) -> DataFrame:
@@ -33,7 +35,10 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema, sink: str, check
 
     A micro-batch is deduplicated (first by ``order_col``), rows whose key is
     in ``known_keys``, ``sink`` or ``errors`` are skipped, rows that fail a check
-    go to ``errors`` with the reason. Run it again after new files arrive.
+    go to ``errors`` with the reason. What ``sink`` and ``errors`` hold is known
+    from files of their keys by bucket (``SeenKeys``, beside ``sink``), of which
+    a batch reads only its own keys' buckets. Run it again after new files
+    arrive.
     """
     from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
@@ -42,15 +47,16 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema, sink: str, check
     error_schema = StructType([*schema.fields, StructField("reason", StringType()), StructField("logged_at", TimestampType())])
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        s = batch.sparkSession
-        seen = [_stored(s, p, t).where(F.col("batch") != number).select(key) for p, t in ((sink, schema), (errors, error_schema))]
-        seen += [known_keys.select(key)] if known_keys is not None else []
-        known = seen[0]
-        for k in seen[1:]:
-            known = known.unionByName(k)
+        batch = checkpoint_table(batch)
+        keys = SeenKeys(batch.sparkSession, f"{sink.rstrip('/')}-seen", key, schema[key].dataType.simpleString())
+        known = keys.among(batch, number)
+        if known_keys is not None:
+            known = known.unionByName(known_keys.select(key))
         good, bad = I.ingest_batch(batch, known, key, order_col, checks or {"": F.lit(False)})
         good.write.mode("overwrite").parquet(f"{sink}/batch={number}")
         bad.write.mode("overwrite").parquet(f"{errors}/batch={number}")
+        stored = [batch.sparkSession.read.schema(schema).parquet(f"{p}/batch={number}").select(key) for p in (sink, errors)]
+        keys.add(stored[0].unionByName(stored[1]), number)
 
     q = (spark.readStream.schema(schema).parquet(source_dir).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
