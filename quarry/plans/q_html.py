@@ -131,6 +131,30 @@ def page_main_text_parsed(spark, sf):
     return HT.main_text(Tables(spark, sf).pages)
 
 
+# a listing as its page has it: the description is bare text after a heading, with elements between and an odd end tag
+_DESCRIPTION_HTML = """html || '<div class="agent"><h3>Key <b>features</b></h3>none<div><p>lead<h3>Full  <i>description</i></h3> Flat ' || page_id || ' &#x2014; at &#233;t&eacute; ' || url ||
+  ' <b>not this</b><br>two rooms<ul><li>nor this</ul></span> &amp;#65; end</div>after</div><h3>Full description</h3>later'"""
+
+
+@register("page_description", "HTM4 (siblings of a heading)", """
+select page_id, trim(regexp_replace('Flat ' || page_id || ' — at ét&eacute; ' || url || ' two rooms &#65; end', '\\s+', ' ', 'g')) as description from pages""")
+def page_description(spark, sf):
+    """The text siblings of the description's heading on each page."""
+    html = F.concat("html", F.lit('<div class="agent"><h3>Key <b>features</b></h3>none<div><p>lead<h3>Full  <i>description</i></h3> Flat '), F.col("page_id").cast("string"),
+                    F.lit(" &#x2014; at &#233;t&eacute; "), "url",
+                    F.lit(" <b>not this</b><br>two rooms<ul><li>nor this</ul></span> &amp;#65; end</div>after</div><h3>Full description</h3>later"))
+    return Tables(spark, sf).pages.select("page_id", H.text_after_heading(html, "full  description").alias("description"))
+
+
+@register("page_article_nested", "HTM4 (nested elements)", f"""
+select page_id, trim({_text_sql(_ARTICLE_SQL)} || ' inner ' || page_id || ' é tail') as main_text from pages where contains(html, '</article>')""")
+def page_article_nested(spark, sf):
+    """The whole text of each page's article, with one more article inside it."""
+    nested = F.concat(F.lit(" <article>inner "), F.col("page_id").cast("string"), F.lit(" &#233;</article><div>tail</div></article>"))
+    p = Tables(spark, sf).pages.where(F.col("html").contains("</article>"))
+    return p.select("page_id", H.element_text(F.replace("html", F.lit("</article>"), nested), "article").alias("main_text"))
+
+
 _LABEL_RES = [r"""(?i)<html\s+(lang)="([^"]*)\"""", r"""(?i)<meta\s+(charset)="([^"]*)\"""",
               r"""(?s)>\s*([^<>:]*[^<>:\s])\s*:\s*([^<>]*[^<>\s])\s*<"""]
 # a list of label/value runs as a listing page has it, one value as long as the page's url and one over 200 characters
