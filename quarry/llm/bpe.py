@@ -5,6 +5,8 @@ that token is the encoding of the shorter prefix. So a prefix needs only its
 *last-token state*, and all words that share a prefix share it. The distinct
 words go into a trie; a depth-first walk gives every node its state from the
 states of its ancestors, and words read their encoding back along the path.
+The trie is the words in order: its nodes are the prefixes where one word
+leaves the one before it, so no node is ever built.
 
 A token can follow the last token of the shorter prefix only if BPE, run on
 the two together, leaves them apart (``Merges.apart``); exactly one suffix of
@@ -14,8 +16,8 @@ the prefix passes that test.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterable, Iterator
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -25,79 +27,79 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from quarry.llm.frames import without
-from quarry.llm.pieces import Cutter, bounded, byte_alphabet, held
+from quarry.llm.pieces import Cutter, UnitCache, bounded, byte_alphabet, held
 
-#: Distinct units, distinct pre-tokens and pairs of tokens that a Python worker keeps.
-KEEP, KEEP_PIECES, KEEP_PAIRS = 200_000, 150_000, 120_000
+#: Distinct units and pre-tokens of a generation, and pairs of tokens, that a Python worker keeps.
+KEEP, KEEP_PIECES, KEEP_PAIRS = 110_000, 80_000, 120_000
 END = "</w>"
 
 
 class Merges:
-    """A tokenizer's tokens and merges, and which pairs of tokens stay apart."""
+    """A tokenizer's tokens and merges, and which pairs of tokens stay apart. Tokens are their ids."""
 
     def __init__(self, spec: dict):
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
+        vocab: dict[str, int] = model["vocab"]
+        self.vocab = vocab
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.rank = {p: i for i, p in enumerate(pairs)}
-        if any(c + e not in self.vocab for c in byte_alphabet().values() for e in ("", END)):
+        if any(c + e not in vocab for c in byte_alphabet().values() for e in ("", END)):
             raise ValueError("a byte without a token of its own")
+        self.wide = max(vocab.values()).bit_length()
+        self.rank = {vocab[a] << self.wide | vocab[b]: i for i, (a, b) in enumerate(pairs) if a in vocab and b in vocab}
         made: dict[str, tuple[int, str, str]] = {}
         for i, (a, b) in enumerate(pairs):
             made.setdefault(a + b, (i, a, b))
         # the tokens that stand at a token's right / left edge while it is built, with the rank that makes each
-        self._right: dict[str, list[tuple[str, int]]] = {}
-        self._left: dict[str, list[tuple[str, int]]] = {}
-        self.known = bounded(KEEP_PAIRS)()  # pairs that have been looked at
-        self.tokens: dict[str, int] = {}
-        for t, i in self.vocab.items():
+        self._right: dict[int, tuple[tuple[int, int], ...]] = {}
+        self._left: dict[int, tuple[tuple[int, int], ...]] = {}
+        self.known: dict[int, bool] = bounded(KEEP_PAIRS)()  # pairs that have been looked at
+        tokens: list[str] = []
+        for t, i in vocab.items():
             if t not in made:
-                self._right[t] = self._left[t] = [(t, -1)]
-                self.tokens[t] = i
-        for t, (i, a, b) in made.items():  # in the order of the ranks: parts come before the whole
-            if a in self.tokens and b in self.tokens and self._first_across(a, b) == i:
-                self._right[t] = [*self._right[b], (t, i)]
-                self._left[t] = [*self._left[a], (t, i)]
-                self.tokens[t] = self.vocab[t]
-        self._automaton()
-
-    def _automaton(self) -> None:
-        """Every token's text in one automaton: a state is the longest end of what was read that begins some token.
-
-        ``suffixes[0]`` and ``suffixes[1]`` hold, by state, the tokens that end there, the longest first, with their
-        lengths: those for inside a word, and those that end a word (listed by their text without the end mark).
+                self._right[i] = self._left[i] = ((i, -1),)
+                tokens.append(t)
+        for t, (rank, a, b) in made.items():  # in the order of the ranks: parts come before the whole
+            i, a, b = vocab[t], vocab.get(a), vocab.get(b)
+            if a in self._right and b in self._right and self._first_across(a, b) == rank:
+                self._right[i] = (*self._right[b], (i, rank))
+                self._left[i] = (*self._left[a], (i, rank))
+                tokens.append(t)
+        self._automaton(tokens)
+
+    def _automaton(self, tokens: list[str]) -> None:
+        """Every token's text in one automaton: a node is the longest end of what was read that begins some token.
+
+        A node is ``[next nodes by character, inside, ending, back]``: the tokens that end there, the longest first, with
+        their lengths, those for inside a word and those that end a word (listed by their text without the end mark),
+        and the node of the next shorter end.
         """
-        self.next: list[dict[str, int]] = [{}]
-        own: list[dict[int, tuple[tuple[str, int], ...]]] = [{}, {}]
-        for t in self.tokens:
+        leaf: dict[str, list] = {}  # shared by the nodes that lead nowhere, most of them
+        self.root: list = [{}, (), (), None]
+        for t in tokens:
             body = t.removesuffix(END)
-            state = 0
+            node = self.root
             for c in body:
-                found = self.next[state].get(c)
+                found = node[0].get(c)
                 if found is None:
-                    found = self.next[state][c] = len(self.next)
-                    self.next.append({})
-                state = found
-            own[t.endswith(END)][state] = ((t, len(body)),)
-        self.back = [0] * len(self.next)
-        self.suffixes: list[list[tuple[tuple[str, int], ...]]] = [[own[k].get(s, ()) for s in range(len(self.next))] for k in (0, 1)]
-        queue = list(self.next[0].values())
-        for state in queue:  # by depth
-            for k in (0, 1):
-                self.suffixes[k][state] += self.suffixes[k][self.back[state]]
-            for c, to in self.next[state].items():
-                self.back[to] = self.step(self.back[state], c)
+                    if node[0] is leaf:
+                        node[0] = {}
+                    found = node[0][c] = [leaf, (), (), None]
+                node = found
+            node[1 + t.endswith(END)] = ((self.vocab[t], len(body)),)
+        queue = list(self.root[0].values())
+        for node in queue:
+            node[3] = self.root
+        for node in queue:  # by depth
+            for k in (1, 2):
+                node[k] = node[k] + node[3][k] if node[k] else node[3][k]
+            for c, to in node[0].items():
+                back = node[3]
+                while back is not None and c not in back[0]:
+                    back = back[3]
+                to[3] = self.root if back is None else back[0][c]
                 queue.append(to)
 
-    def step(self, state: int, c: str) -> int:
-        """The state after one more character."""
-        while c not in self.next[state]:
-            if not state:
-                return 0
-            state = self.back[state]
-        return self.next[state][c]
-
-    def _first_across(self, a: str, b: str) -> int | None:
+    def _first_across(self, a: int, b: int) -> int | None:
         """Rank of the first merge across the border of ``a`` and ``b`` when BPE runs on both; None if there is none.
 
         A token at an edge lives from the rank that makes it to the rank that
@@ -105,12 +107,13 @@ class Merges:
         alive at its rank; of equal ranks the leftmost pair goes first, so the
         next step on the left side beats it and it beats the right side's.
         """
-        right, left = self._right[a], self._left[b]
+        right, left, get, wide = self._right[a], self._left[b], self.rank.get, self.wide
         best = None
         for i, (x, born_x) in enumerate(right):
             ends_x = right[i + 1][1] if i + 1 < len(right) else None
+            x <<= wide
             for j, (y, born_y) in enumerate(left):
-                r = self.rank.get((x, y))
+                r = get(x | y)
                 if r is None or r < born_x or r < born_y or ends_x is not None and r >= ends_x:
                     continue
                 if j + 1 < len(left) and r > left[j + 1][1]:
@@ -119,69 +122,64 @@ class Merges:
                     best = r
         return best
 
-    def apart(self, a: str, b: str) -> bool:
+    def apart(self, a: int, b: int) -> bool:
         """Whether BPE leaves ``a`` and ``b`` as they are, side by side; the answer goes into ``known``."""
-        return self.known.put((a, b), self._first_across(a, b) is None)
-
-
-def build_trie(words: Iterable[str]) -> dict:
-    """A trie: nodes are dicts by character; the key "" says that a word ends there."""
-    root: dict = {}
-    for word in words:
-        node = root
-        for c in word:
-            child = node.get(c)
-            if child is None:
-                child = node[c] = {}
-            node = child
-        node[""] = word
-    return root
+        return self.known.put(a << self.wide | b, self._first_across(a, b) is None)
 
 
 def encode_words(words: Iterable[str], merges: Merges) -> Iterator[tuple[str, list[int]]]:
     """Each distinct non-empty word with its ids, the states of shared prefixes worked out once.
 
-    Depth first with a stack of its own, so a word of any length will do. The
-    path holds the state of each prefix: its last token and that token's
-    length; a word reads its ids back along the path.
+    The sorted words are their trie in depth-first order: from one word to the
+    next the walk goes back to the prefix they share and down the new branch.
+    The path holds, for each prefix, the automaton's state, the prefix's last
+    token and that token's length; a word reads its ids back along the path.
     """
-    tokens, step, (inside, ending) = merges.tokens, merges.step, merges.suffixes
-    last: list[str] = [""]
-    size: list[int] = [0]
-    stack = [(child, 1, 0, c) for c, child in build_trie(words).items()]
-    while stack:
-        node, depth, state, c = stack.pop()
-        state = step(state, c)
-        del last[depth:], size[depth:]
-        word = node.pop("", None)
-        if word is not None:
-            t, n = _last_token(ending[state], depth, last, merges)
-            ids, at = [tokens[t]], depth - n
-            while at:
-                ids.append(tokens[last[at]])
-                at -= size[at]
-            yield word, ids[::-1]
-        if node:
-            t, n = _last_token(inside[state], depth, last, merges)
-            last.append(t)
-            size.append(n)
+    root, known, apart, wide = merges.root, merges.known, merges.apart, merges.wide
+    # the path: nodes[d], last[d], size[d] of the prefix of d characters
+    nodes, last, size = [root], [0], [0]
+    before = ""
+    for word in sorted(words):
+        shared, ends = 0, len(word)
+        most = min(len(before), ends - 1, len(last) - 1)
+        while shared < most and before[shared] == word[shared]:
+            shared += 1
+        before = word
+        del nodes[shared + 1:], last[shared + 1:], size[shared + 1:]
+        node, depth = nodes[shared], shared
+        for c in word[shared:]:
             depth += 1
-            for c, child in node.items():
-                stack.append((child, depth, state, c))
-
-
-def _last_token(fits: tuple[tuple[str, int], ...], depth: int, last: list[str], merges: Merges) -> tuple[str, int]:
-    """Of the tokens that end at this prefix, the one its encoding ends with, and its length."""
-    known = merges.known
-    for fit in fits:
-        t, n = fit
-        if n == depth:
-            return fit
-        before = last[depth - n]
-        ok = known.get((before, t))
-        if ok or ok is None and merges.apart(before, t):
-            return fit
-    raise AssertionError("every byte has a token")
+            to = node[0].get(c)
+            while to is None:
+                node = node[3]
+                if node is None:
+                    to = root
+                    break
+                to = node[0].get(c)
+            node = to
+            if depth < ends:
+                for t, n in node[1]:
+                    if n == depth:
+                        break
+                    pair = last[depth - n] << wide | t
+                    ok = known.get(pair)
+                    if ok or ok is None and apart(pair >> wide, t):
+                        break
+                nodes.append(node)
+                last.append(t)
+                size.append(n)
+        for t, n in node[2]:
+            if n == depth:
+                break
+            pair = last[depth - n] << wide | t
+            ok = known.get(pair)
+            if ok or ok is None and apart(pair >> wide, t):
+                break
+        ids, at = [t], depth - n
+        while at:
+            ids.append(last[at])
+            at -= size[at]
+        yield word, ids[::-1]
 
 
 class Encoder:
@@ -192,35 +190,23 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             self.merges = Merges(json.load(f))
         self.words = {i: t for t, i in self.merges.vocab.items()} | {i: t for t, i in self.cut.special.items()}
-        self._units = bounded(KEEP)()
-        self._pieces = bounded(KEEP_PIECES)()
+        self._strings = pa.array([self.words.get(i) for i in range(max(self.words) + 1)], pa.string())
+        self._units = UnitCache(self.cut, KEEP, KEEP_PIECES)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, end to end."""
-        units = [self.cut.units(t) for t in texts]
-        kept = self._units
-        lacking = set().union(*units).difference(kept)
-        cuts = {u: self.cut.pieces(u) for u in lacking if u not in self.cut.special}
-        wanted = {p for ps in cuts.values() for p in ps}
-        known = {p: self._pieces[p] for p in wanted if p in self._pieces}
-        for word, ids in encode_words(wanted.difference(known), self.merges):
-            known[word] = self._pieces.put(word, pack(f"<{len(ids)}I", *ids))
-        fresh = {u: b"".join([known[p] for p in ps]) for u, ps in cuts.items()}
-        fresh |= {u: np.array([self.cut.special[u]], "<u4").tobytes() for u in lacking - cuts.keys()}
-        if len(kept) + len(fresh) <= KEEP:
-            kept.update(fresh)
-            of = kept
-        else:  # this batch's units alone, then start afresh from them
-            of = {u: kept[u] if u in kept else fresh[u] for us in units for u in us}
-            kept.clear()
-            kept.update(list(of.items())[:KEEP])
-        return [b"".join(map(of.__getitem__, us)) for us in units]
+        return self._units.encode(texts, lambda words: ((w, array("I", ids).tobytes()) for w, ids in encode_words(words, self.merges)))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens' strings joined by spaces, as the library does for a file without a decoder; ids it has not are left out."""
         return " ".join(filter(None, map(self.words.get, ids)))
 
 
+    def decode_all(self, ends: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """``decode`` of texts whose ids lie end to end, in Arrow: they are ids of the table, as ``encode`` gives them."""
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), self._strings.take(pa.array(ids))), " ")
+
+
 def encoder(path: str) -> Encoder:
     """The Python worker's encoder for this file."""
     return held(("trie", path), lambda: Encoder(path))
@@ -246,7 +232,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", decode: bool =
     null or empty text has no ids and decodes to the empty text. Every row
     comes back with all its columns; input columns named ``ids`` or
     ``decoded`` are replaced. Row-local: no shuffle; a worker keeps the
-    encodings of at most ``KEEP`` distinct units and ``KEEP_PIECES`` pre-tokens.
+    encodings of two generations of about ``KEEP`` distinct units and ``KEEP_PIECES`` pre-tokens.
     """
     docs = without(docs, *({"ids", "decoded"} - {text}))
     fields = [StructField("ids", ArrayType(IntegerType()))] + [StructField("decoded", StringType())] * decode
@@ -261,7 +247,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", decode: bool =
                 ends = np.cumsum([0, *(len(r) // 4 for r in raw)], dtype=np.int32)
                 new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
                 if decode:
-                    new.append(pa.array([enc.decode(np.frombuffer(r, "<i4").tolist()) for r in raw], pa.string()))
+                    new.append(enc.decode_all(ends, flat))
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *("ids", "decoded")[: len(new)]])
 
     return docs.mapInArrow(run, schema)

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable, Iterable
+from itertools import islice
 
 import regex
 
@@ -111,3 +113,56 @@ class Cutter:
         # code points this low are in NFC already and have no context-dependent lower case
         found = self._piece.findall(unit.lower())
         return found if unit.isascii() and unit.isprintable() else [p.encode().decode("latin-1").translate(self._bytes) for p in found]
+
+
+def bare_model(path: str):
+    """The library's tokenizer of a file with the model alone: what it is given is pre-tokens already."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    none = dict.fromkeys(("normalizer", "pre_tokenizer", "post_processor", "decoder", "truncation", "padding"))
+    return Tokenizer.from_str(json.dumps(spec | none | {"added_tokens": []}))
+
+
+class UnitCache:
+    """Encodes texts slice by slice, each distinct unit and pre-token of a slice once, and keeps encodings between slices.
+
+    Encodings are kept in two generations of about ``units`` and ``pieces``
+    entries: a full one becomes the old one, what is used again comes back from
+    there, and the rest goes when the next one is full.
+    """
+
+    def __init__(self, cut: Cutter, units: int, pieces: int):
+        self.cut, self._most, self._most_pieces = cut, units, pieces
+        self._units: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
+        self._old_units: dict[str, bytes] = {}
+        self._old_pieces: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str | None], encode: Callable[[set[str]], Iterable[tuple[str, bytes]]]) -> list[bytes]:
+        """Little-endian 32-bit ids of each whole text, end to end; ``encode`` gives those of distinct pre-tokens."""
+        special, kept, pieces = self.cut.special, self._units, self._pieces
+        units = [self.cut.units(t) for t in texts]
+        lacking = set().union(*units).difference(kept)
+        again = lacking.intersection(self._old_units)
+        kept.update(zip(again, map(self._old_units.__getitem__, again)))
+        lacking -= again
+        plain = [u for u in lacking if u.isascii() and u.isalpha()]  # most units are one pre-token
+        lower = [u.lower() for u in plain]
+        mixed = [(u, self.cut.pieces(u)) for u in lacking.difference(plain, special)]
+        wanted = set(lower).union(*[ps for _, ps in mixed]).difference(pieces)
+        again = wanted.intersection(self._old_pieces)
+        pieces.update(zip(again, map(self._old_pieces.__getitem__, again)))
+        pieces.update(encode(wanted - again))
+        get = pieces.__getitem__
+        kept.update(zip(plain, map(get, lower)))
+        kept.update((u, b"".join(map(get, ps))) for u, ps in mixed)
+        kept.update((u, special[u].to_bytes(4, "little")) for u in lacking.intersection(special))
+        get = kept.__getitem__
+        out = [b"".join(map(get, us)) for us in units]
+        if len(kept) > self._most:
+            self._units, self._old_units = {}, kept
+        if len(pieces) > self._most_pieces:
+            self._pieces, self._old_pieces = {}, pieces
+        return out
