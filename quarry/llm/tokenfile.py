@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.bpe import slices
 from quarry.llm.frames import col
-from quarry.llm.pieces import Cutter, bounded, held
+from quarry.llm.pieces import Cutter, UnitCache, bare_model, held
 from quarry.operators.util import bounded_broadcast
 
 # fixed values: ids per word and bits per id, by selector
@@ -56,13 +56,19 @@ def pack(ids: np.ndarray) -> bytes:
     padded[:n] = ids
     # best[i]: the selector of the fewest bytes an id for a word that begins at i
     best, least = np.zeros(width, np.int8), np.full(width, np.inf, np.float32)
+    widest = int(ids.max()) + 1 if n else 0
+    small = padded.astype(np.uint32)
+    before = np.zeros(len(padded) + 1, np.int32)
     for s, (c, b) in enumerate(zip(COUNTS, BITS)):
-        before = np.zeros(len(padded) + 1, np.int32)
-        np.cumsum(padded >= np.uint64((1 << b) - 1), out=before[1:])
-        cost = (before[c: c + width] - before[:width]) * np.float32(4 / c) + np.float32(8 / c)
+        np.cumsum(small >= np.uint32(min((1 << b) - 1, LIMIT - 1)), out=before[1:])
+        cost = (before[c: c + width] - before[:width]).astype(np.float32)
+        cost *= np.float32(4 / c)
+        cost += np.float32(8 / c)
         better = cost < least
         best[better] = s
-        least[better] = cost[better]
+        np.minimum(least, cost, out=least)
+        if widest < 1 << b:  # nothing escapes: words of fewer ids only cost more
+            break
     at = np.arange(blocks, dtype=np.int64) * BLOCK
     end = np.minimum(at + BLOCK, n)
     live = np.arange(blocks)
@@ -131,32 +137,29 @@ def unpack(payload: bytes) -> np.ndarray:
     return out[:n]
 
 
-#: Distinct units, and distinct pre-tokens, whose ids a Python worker keeps.
-KEEP = 300_000
+#: Distinct units, and distinct pre-tokens, of a generation whose ids a Python worker keeps.
+KEEP = 250_000
 
 
-class LibraryIds(bounded(KEEP)):
-    """Unit -> its ids as little-endian 32-bit, by the library's own model on each distinct pre-token; kept between batches."""
+class LibraryIds:
+    """Texts to ids, by the library's own model on distinct pre-tokens, many at a time."""
 
     def __init__(self, path: str):
-        super().__init__()
-        self.cut = Cutter(path)
-        self._pieces = bounded(KEEP)()
-        self._raw = [i.to_bytes(4, "little") for i in range(self.cut.tokenizer.get_vocab_size(with_added_tokens=True))]
-
-    def __missing__(self, unit: str) -> bytes:
-        if unit in self.cut.special:
-            return self.put(unit, self._raw[self.cut.special[unit]])
-        return self.put(unit, b"".join([self._pieces.get(p) or self._piece(p) for p in self.cut.pieces(unit)]))
-
-    def _piece(self, piece: str) -> bytes:
-        raw = self._raw
-        return self._pieces.put(piece, b"".join([raw[t.id] for t in self.cut.tokenizer.model.tokenize(piece)]))
+        self.cut = Cutter(path, model=False)
+        self._model = bare_model(path)
+        self._units = UnitCache(self.cut, KEEP, KEEP)
+
+    def _ids(self, pieces: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Each pre-token with its ids: all of them are one sequence of words to the library."""
+        words = list(pieces)
+        found = self._model.encode(words, is_pretokenized=True, add_special_tokens=False)
+        raw = np.array(found.ids, "<u4").tobytes()
+        ends = (4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words)), side="right")).tolist()
+        return zip(words, map(raw.__getitem__, map(slice, [0, *ends], ends)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text, end to end."""
-        units, of = self.cut.units, self.__getitem__
-        return [b"".join(map(of, units(t))) for t in texts]
+        return self._units.encode(texts, self._ids)
 
 
 def library_encoder(path: str) -> LibraryIds:
@@ -171,13 +174,16 @@ def write_tokens(docs: DataFrame, to: str, path: str, end_id: int, text: str = "
     """Encode every whole text and write the token file ``to``, in ascending order of ``doc_id``.
 
     Each document ends with ``end_id``; a null or empty text has only that.
-    Null ids come first; rows of equal id follow each other, and repeated rows
-    stay. The texts are range-partitioned by id (one shuffle) and encoded
+    Null ids come first; rows of equal id follow each other in the order of
+    their texts' hashes, and repeated rows stay. The texts are range-partitioned by id (one shuffle) and encoded
     where they land, so a shard is a range of ids; a segment holds about
     4 MB of text, a longer text one of its own. The write is Spark's, whole or
     not at all.
     """
-    ordered = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text"))
+    # rows of one id are ranged and sorted by their texts too; equal rows part at their place in the input
+    order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
