@@ -135,7 +135,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     known = labels.where(col(label).isNotNull() & ~held_out(col(doc_id))).groupBy(col(doc_id).alias("_id")).agg(F.max(col(label)).cast("double").alias("_y"))
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS).cache()
     passes = max(1, min(PASSES, UPDATES // max(1, sample.count())))
+    # an id that repeats gives one text, that of the smallest hash: as many rows as ids
     rows = (docs.select(col(doc_id).alias("_id"), col(text).alias("text")).join(F.broadcast(sample), "_id")
+            .groupBy("_id", "_y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
             .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.lit(passes)))))
     ordered = rows.repartition(1).sortWithinPartitions("_pass", F.xxhash64("_id"), "_id", F.xxhash64("text"))
 

@@ -85,15 +85,15 @@ def permutations(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 INDEX = "block int, pivot int, members binary, posted binary"
 
 
-def build_index(table: DataFrame, pivots: np.ndarray, blocks: int, posted: int) -> DataFrame:
+def build_index(table: DataFrame, pivots: np.ndarray, blocks: int, posted: int, kind: str = "<f4") -> DataFrame:
     """The inverted file of ``(vec, v)``: a row for each block and pivot, its members and their ranks for it in the
-    order of rank; under pivot -1 the block's ids and vectors."""
+    order of rank; under pivot -1 the block's ids and vectors, as numbers of ``kind``."""
 
     def build(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("vec")
         x = matrix(batch["v"])
         ranks = permutations(x, pivots)
-        rows = [(-1, batch["vec"].to_numpy("<i8").tobytes(), x.astype("<f4").tobytes())]
+        rows = [(-1, batch["vec"].to_numpy("<i8").tobytes(), x.astype(kind).tobytes())]
         for p in range(len(pivots)):
             of = np.flatnonzero(ranks[:, p] < posted)
             of = of[np.argsort(ranks[of, p], kind="stable")]
@@ -106,11 +106,11 @@ def build_index(table: DataFrame, pivots: np.ndarray, blocks: int, posted: int)
     return placed.groupBy("block").applyInPandas(build, INDEX)
 
 
-def search_block(index: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, posted: int, share: float, keep: int) -> pd.DataFrame:
+def search_block(index: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, posted: int, share: float, keep: int, kind: str = "<f4") -> pd.DataFrame:
     """The ``keep`` best of one index block for each query of one query block: ``(query, vec, score)``."""
     lists = index.set_index("pivot")
     ids = np.frombuffer(lists.at[-1, "members"], "<i8")
-    x = np.frombuffer(lists.at[-1, "posted"], "<f4").reshape(len(ids), -1).astype(np.float64)
+    x = np.frombuffer(lists.at[-1, "posted"], kind).reshape(len(ids), -1).astype(np.float64)
     norms = np.sqrt((x * x).sum(1))
     ranks = np.full((len(ids), len(pivots)), posted, np.int16)
     for p in range(len(pivots)):
@@ -138,23 +138,34 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
     Nearest first, ties to the smaller id; a query's own id is no candidate of
     its. Fewer than ``k`` candidates give fewer rows; a query that takes no
     part (see ``usable``) gives none; an empty table gives none. Repeated rows
-    of one id and vector count once. The driver holds the pivots' sample and
-    two counts; only vectors of the commonest length among ``rows`` take part. The query set meets every block of the index, so work grows with
-    queries times rows, at a few nanoseconds a pivot.
+    of one id and vector count once. Vectors meet only those of as many
+    components: each number of components has an index of its own. They keep
+    their precision, so a score is the cosine of the vectors as they are. The
+    driver holds the pivots' sample and two counts. The query set meets every
+    block of the index, so work grows with queries times rows, at a few
+    nanoseconds a pivot.
     """
-    every = usable(rows, vec_id, embedding)
-    common = every.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    length = common["d"] if common else 1
-    every = every.where(F.size("v") == length).distinct()
+    every, asked = (usable(r, vec_id, embedding).withColumn("_d", F.size("v")) for r in (rows, queries))
+    lengths = [r[0] for r in every.select("_d").distinct().orderBy("_d").collect()]
+    kind = "<f4" if rows.schema[embedding].dataType.simpleString() == "array<float>" else "<f8"
+    parts = [_of_length(every.where(F.col("_d") == d).drop("_d"), asked.where(F.col("_d") == d).drop("_d"), d, k, pivots, posted, rerank, kind) for d in lengths or [1]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _of_length(every: DataFrame, asked: DataFrame, length: int, k: int, pivots: int, posted: int | None, rerank: float, kind: str) -> DataFrame:
+    """``neighbours`` among usable vectors of one number of components."""
+    every, asked = every.distinct(), asked.distinct()
     table = checkpoint(classes(every, k + 1))
     total = table.count()
-    asked = usable(queries, vec_id, embedding).where(F.size("v") == length).distinct()
     sample = table.orderBy(F.xxhash64("vec"), "vec").limit(max(pivots, SAMPLE)).select("v").collect()
     centre = farthest_first(np.array([r["v"] for r in sample], np.float64).reshape(len(sample), length), pivots)
     posted = min(posted or pivots, max(1, len(centre)))
     blocks = max(1, -(-total // BLOCK))
     share = min(1.0, rerank / math.sqrt(max(1, total)))
-    index = checkpoint(build_index(table, centre, blocks, posted))
+    index = checkpoint(build_index(table, centre, blocks, posted, kind))
     wanted = checkpoint(asked.groupBy("v").agg(F.min("vec_id").alias("vec")))  # each distinct query vector once
     query_blocks = max(1, -(-wanted.count() // QUERY_BLOCK))
     dealt = wanted.withColumn("part", F.pmod(F.xxhash64("vec"), F.lit(query_blocks)).cast("int"))
@@ -164,7 +175,7 @@ def neighbours(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
     def search(lists: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(lists) or not len(own):
             return pd.DataFrame({"query": [], "vec": [], "score": []})
-        return search_block(lists, own, centre, posted, share, k + 1)
+        return search_block(lists, own, centre, posted, share, k + 1, kind)
 
     found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(search, "query long, vec long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec")
