@@ -183,3 +183,34 @@ def test_permutations():
     ranks = pm.permutations(x, pivots)
     for v, r in zip(x, ranks):
         assert list(np.argsort(r)) == sorted(range(7), key=lambda p: -float(v @ pivots[p]))
+
+
+def test_doubles_keep_their_precision(table):
+    rng = np.random.default_rng(21)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(300)]
+    df = table(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit("x")).withColumn("score", F.lit(1)).withColumn("block", F.lit(0))
+    got = answer(pm.neighbours(df, df.where("vec_id % 50 = 0"), rerank=100.0))
+    want = brute([(i, np.array(v)) for i, v in rows], [(i, np.array(v)) for i, v in rows if i % 50 == 0])
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(abs(a - b) <= 1e-15 for q in want for (_, a), (_, b) in zip(got[q], want[q]))
+
+
+def test_each_length_has_an_index_of_its_own(table):
+    rng = np.random.default_rng(22)
+    rows = [(i, rng.normal(size=8 if i < 140 else 16).astype(np.float32).astype(float).tolist()) for i in range(300)]
+    df = table(rows, "vec_id long, embedding array<float>")
+    got = answer(pm.neighbours(df, df.where("vec_id % 50 = 0"), rerank=100.0))
+    assert sorted(got) == [0, 50, 100, 150, 200, 250]
+    for low, high in ((0, 140), (140, 300)):
+        part = [(i, np.array(v)) for i, v in rows if low <= i < high]
+        want = brute(part, [r for r in part if r[0] % 50 == 0])
+        assert {q: [i for i, _ in got[q]] for q in want} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_training_takes_one_row_an_id(table):
+    """An id whose rows are a third of the table trains as one row."""
+    rows = [(i, f"word{i} good text" if i % 2 else f"word{i} bad lines") for i in range(60)]
+    labels = table([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    once = cl.train(table(rows, "doc_id long, text string"), labels)
+    again = cl.train(table(rows + [rows[1]] * 30, "doc_id long, text string"), labels)
+    assert (once[0] == again[0]).all() and once[1] == again[1]

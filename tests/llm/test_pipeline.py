@@ -39,7 +39,7 @@ def test_stages(spark):
 
 def test_run_and_registration(spark):
     queries = entry.queries()
-    assert {n.split("_")[0] for n in queries if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     rows = queries["pipeline"](spark, SF).count()
     assert 0 < rows <= 2 * read(spark, SF, "documents").count()
 

@@ -125,3 +125,29 @@ def test_token_file_of_no_documents(spark, no_documents):
     to = scratch_path(spark, "tokens-none")
     tokenfile.write_tokens(no_documents, to, PATH, 2)
     assert tokenfile.read_tokens(spark, to).collect() == []
+
+
+def test_token_file_of_repeated_ids(spark, table):
+    """Rows of one id come in one order, whatever the partitions; equal rows stay."""
+    rows = [(1, f"text {i}") for i in range(40)] + [(1, "same")] * 30 + [(None, "a"), (None, None), (2, "end")]
+    found = []
+    for parts in (1, 5):
+        to = scratch_path(spark, "tokens-repeated")
+        tokenfile.write_tokens(table(rows, "doc_id long, text string", parts=parts).repartition(parts), to, PATH, 2)
+        found.append([(r["doc_id"], r["start"], r["ids"]) for r in tokenfile.read_tokens(spark, to).orderBy("start").collect()])
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    assert sorted(i for _, _, i in found[0]) == sorted(library_ids(t) + [2] for _, t in rows)
+    assert [d for d, _, _ in found[0]] == [None] * 2 + [1] * 70 + [2]
+
+
+def test_small_generations_do_not_change_ids():
+    """Encodings that are dropped are worked out again; what is used again comes back from the old generation."""
+    from quarry.llm.pieces import UnitCache
+
+    enc = tokenfile.LibraryIds(PATH)
+    enc._units = UnitCache(enc.cut, 4, 3)
+    texts = [f"word{i % 7}, other {i % 3} Ünï <|endoftext|> the the" for i in range(40)] + ["", None, "one"]
+    for at in range(0, len(texts), 5):
+        got = enc.encode(texts[at:at + 5])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library_ids(t) for t in texts[at:at + 5]]
+        assert len(enc._units._units) <= 4 and len(enc._units._pieces) <= 3
