@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators import doc_parts as DP
-from quarry.operators.util import checkpoint, discard, with_global_index
+from quarry.operators.util import checkpoint, with_global_index
 
 
 # ---------------------------------------------------------------- Spark ML LDA
@@ -175,7 +175,7 @@ def gibbs_lda(dtm: DataFrame, k: int = 5, eta: float | None = None, alpha: float
         log_sums = [float(most[j] + np.log(sums[j])) for j in topics]
         b = g.select("term_index", *[F.exp(F.col(f"g{j}") - log_sums[j]).alias(f"b{j}") for j in topics])
         before, table = table, docs.step(table, g, _doc_step(k, alpha, seed, it, log_sums))
-        discard(before)
+        DP.drop(before)
         norm_b = b.agg(F.sqrt(F.sum(sum(F.col(f"b{j}") ** 2 for j in topics)))).first()[0]
         norm_t = DP.parts(table).agg(F.sqrt(F.sum("total"))).first()[0]
         history.append((it, float(norm_b), float(norm_t)))

@@ -27,13 +27,11 @@ def write_speeches_json(spark, sf):
 
 @register("read_json_speeches", "SRC1", f"select year, source as author, text from {S.DOCS}")
 def read_json_speeches(spark, sf):
-    """Positional JSON arrays ``[year, author, text]``, one file a speech, read by the file reader."""
-    d = C.documents(spark, sf).select("year", F.col("source").alias("author"), "text", F.col("doc_id").alias("file"))
+    """Positional JSON arrays ``[year, author, text]``, one a line, written where the documents are and read back."""
+    d = C.documents(spark, sf).select("year", F.col("source").alias("author"), "text")
     path = scratch_path(spark, "speeches_arrays")
-    # a partition folder per speech gives a file per speech
-    arr = F.to_json(F.array(F.col("year").cast("string"), F.col("author"), F.col("text"))).alias("value")
-    d.select(arr, "file").write.partitionBy("file").text(path)
-    return R.read_json_speeches(spark, f"{path}/file=*").select("year", "author", "text")
+    W.write_speeches_json(d, path, positional=True)
+    return R.read_speech_lines(spark, path)
 
 
 @register("read_corpus_text", "SRC2", f"""

@@ -25,6 +25,11 @@ def read_json_speeches(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.input_file_name().alias("path"), *parse_json_speech("value"))
 
 
+def read_speech_lines(spark: SparkSession, path: str) -> DataFrame:
+    """SRC1 for many speeches: JSON arrays, one a line, in files of any size that split between tasks."""
+    return spark.read.text(path).select(*parse_json_speech("value"))
+
+
 def read_corpus_text(spark: SparkSession, path: str, delimiter: str = "**********_") -> DataFrame:
     """SRC2: a large delimited corpus, split at read time.
 
