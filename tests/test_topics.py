@@ -119,3 +119,21 @@ def test_vocabulary_has_no_limit(spark):
         F.lit("t"), (F.col("id") * 6000 + i).cast("string"))).alias("tokens"))
     vocab, vec = TP.count_vectors(docs)
     assert vocab.count() == 300_000 and vec.first()["features"].size == 300_000
+
+
+def test_rows_of_terms_move_as_matrices(spark):
+    """A pass writes a row a part and a row a part and shard, not one a term."""
+    from quarry.operators import doc_parts as DP
+
+    cells = spark.range(3000).select((F.col("id") % 50).alias("doc_id"), F.expr("id * 7 % 331 * 1000").alias("term_index"), F.lit(1.0).alias("tf")).distinct()
+    docs = DP.DocParts(cells, part_cells=10_000)
+    twice = spark.range(0, 331_000, 1000).select(F.col("id").alias("term_index"), F.col("id").cast("double").alias("a"), F.lit(2.0).alias("b"))
+
+    def fn(part, terms, m):
+        assert (m[:, 0] == terms).all() and (m[:, 1] == 2).all()
+        return part.state(terms, np.bincount(np.searchsorted(terms, part.terms), part.tf)[:, None])
+
+    out = docs.step(None, twice, fn)
+    assert out.count() == 1 + 11 and docs.needed.count() == 331
+    want = {r["term_index"]: r["n"] for r in cells.groupBy("term_index").agg(F.sum("tf").alias("n")).collect()}
+    assert {r["term_index"]: r["s0"] for r in DP.unpacked(DP.summed(out), ["s0"]).collect()} == want
