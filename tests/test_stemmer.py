@@ -33,3 +33,13 @@ def test_stem_token_arrays_keeps_order_and_nulls(spark):
     assert out[1] == ["poni", "run", "cat"]
     assert out[2] is None
     assert out[3] == []
+
+
+def test_stems_are_made_where_the_rows_are(spark):
+    """Rows of one id, null, empty and null tokens; no shuffle, and a filter on stems does not stem twice."""
+    df = spark.createDataFrame([(1, ["running", None, "cats"]), (1, ["cats"]), (2, None), (3, [])], "doc_id long, tokens array<string>")
+    out = stem_token_arrays(df)
+    assert sorted((r["doc_id"], r["tokens"]) for r in out.where("doc_id < 2 or doc_id = 3").collect()) == [(1, ["cat"]), (1, ["run", "cat"]), (3, [])]
+    assert [r["doc_id"] for r in out.where("tokens is null").collect()] == [2]
+    plan = out.where("size(tokens) > 1")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
