@@ -186,3 +186,16 @@ def test_range_finder_of_nothing(spark):
 
     us, s = truncated_svd(spark.createDataFrame([(1, "a", 0.0)], "doc_id long, term string, tfidf double"), 3)
     assert us.collect() == [] and s == []
+
+
+def test_groups_that_no_pair_asks_for_are_not_written(spark, monkeypatch):
+    from quarry.operators import similarity
+
+    unit = spark.createDataFrame([(1, "a", 1.0), (2, "a", 0.6), (2, "b", 0.8), (3, "b", 1.0), (4, "a", 1.0)], "doc_id long, term string, u double")
+    groups = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (4, "z"), (1, "z")], "doc_id long, grp string")
+    every = {(r["group_a"], r["group_b"]): r["mean_cos"] for r in similarity.group_cosine(unit, groups).collect()}
+    written, write = [], similarity.checkpoint
+    monkeypatch.setattr(similarity, "checkpoint", lambda df: written.append(write(df)) or written[-1])
+    got = {(r["group_a"], r["group_b"]): r["mean_cos"] for r in similarity.group_cosine(unit, groups, pairs=[("x", "x"), ("x", "y")]).collect()}
+    assert got == {p: every[p] for p in (("x", "x"), ("x", "y"))}
+    assert {r["grp"] for r in written[0].collect()} == {"x", "y"}
