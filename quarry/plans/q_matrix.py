@@ -14,7 +14,7 @@ from quarry.sources.tables import Tables, row_count
 
 
 def _dtm(spark, sf):
-    return M.doc_term_matrix(C.doc_tokens(spark, sf))
+    return M.doc_term_matrix(C.dealt_tokens(spark, sf))
 
 
 def _n_docs(spark, sf):

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -199,3 +200,32 @@ def test_groups_that_no_pair_asks_for_are_not_written(spark, monkeypatch):
     got = {(r["group_a"], r["group_b"]): r["mean_cos"] for r in similarity.group_cosine(unit, groups, pairs=[("x", "x"), ("x", "y")]).collect()}
     assert got == {p: every[p] for p in (("x", "x"), ("x", "y"))}
     assert {r["grp"] for r in written[0].collect()} == {"x", "y"}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_document_frequencies_are_counted_once(spark, monkeypatch):
+    # beyond the broadcast bound the IDF table is read by several joins: it is written, not worked out for each
+    docs = spark.createDataFrame([(i, [f"t{j}" for j in range(20) if i % (j + 1) == 0] * 2) for i in range(60)], "doc_id long, tokens array<string>")
+    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    want = {tuple(r) for r in M.tf_idf(M.doc_term_matrix(docs), n).select("doc_id", "term", "tf", F.round("tfidf", 9)).collect()}
+    monkeypatch.setattr(M, "IDF_BROADCAST_ROWS", 5)
+    for drop in (False, True):
+        cells = M.tf_idf(M.doc_term_matrix(docs), n, drop_zero=drop)
+        assert "HashAggregate" not in _plan(cells)
+        got = {tuple(r) for r in cells.select("doc_id", "term", "tf", F.round("tfidf", 9)).collect()}
+        assert got == {r for r in want if r[3] or not drop}
+
+
+def test_counts_by_document_and_term_need_one_exchange_of_the_texts(spark):
+    from quarry.plans.q_matrix import _dtm
+
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")  # as many splits as cores: the scan is not spread for its own sake
+    try:
+        dtm = _dtm(spark, "/root/testdata/sf0.01")
+        assert _plan(dtm).count("Exchange") == 1 and re.search(r"Exchange hashpartitioning\(doc_id#\d+L, \d+\)", _plan(dtm))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
