@@ -122,5 +122,5 @@ def rank_overlap(spark, sf):
 select lang, round(sqrt(sum(tfidf * tfidf)), 6) as frobenius
 from {S.TFIDF} t join documents d using (doc_id) group by lang""")
 def frobenius_norm(spark, sf):
-    cells = _tfidf(spark, sf).join(Tables(spark, sf).documents.select("doc_id", "lang"), "doc_id")
-    return M.frobenius_norm(cells, "tfidf", ["lang"]).withColumn("frobenius", F.round("frobenius", 6))
+    langs = Tables(spark, sf).documents.select("doc_id", "lang")
+    return M.frobenius_norm(_tfidf(spark, sf), "tfidf", ["lang"], langs).withColumn("frobenius", F.round("frobenius", 6))

@@ -229,3 +229,11 @@ def test_counts_by_document_and_term_need_one_exchange_of_the_texts(spark):
         assert _plan(dtm).count("Exchange") == 1 and re.search(r"Exchange hashpartitioning\(doc_id#\d+L, \d+\)", _plan(dtm))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
+def test_frobenius_norm_by_group_joins_rows_not_cells(spark):
+    cells = spark.createDataFrame([(1, "a", 3.0), (1, "b", 4.0), (2, "a", 2.0), (3, "c", 1.0)], "doc_id long, term string, v double")
+    groups = spark.createDataFrame([(1, "x"), (2, "x"), (2, "y"), (4, "y")], "doc_id long, grp string")
+    got = dict(M.frobenius_norm(cells, "v", ["grp"], groups).collect())
+    assert got == pytest.approx({"x": 29 ** 0.5, "y": 2.0})
+    assert got == pytest.approx(dict(M.frobenius_norm(cells.join(groups, "doc_id"), "v", ["grp"]).collect()))
