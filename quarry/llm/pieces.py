@@ -9,11 +9,15 @@ wherever that unit occurs.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from collections.abc import Callable, Iterable
-from itertools import islice
+from operator import add
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # White space as Unicode has it. Python's str.split also cuts at \x1c-\x1f, which are not white space there.
@@ -86,6 +90,8 @@ class Cutter:
         self._unit = re.compile(f"[^{SPACE}]+")
         self._piece = regex.compile(split["pattern"]["Regex"])
         self._bytes = str.maketrans({chr(b): c for b, c in byte_alphabet().items()})
+        self._break = byte_alphabet()[ord("\n")]
+        self._high = re.compile(f"[^\0-{PLAIN}]")
 
     def units(self, text: str | None) -> list[str]:
         """The text's units in order; none for null."""
@@ -98,6 +104,21 @@ class Cutter:
             out += [part] if part in self.special else self._unit.findall(part)
         return out
 
+    def letters(self, words: list[str]) -> list[str | None]:
+        """Of each word free of white space: the one pre-token it is, if it has only letters of low code points, else None."""
+        if not words:
+            return []
+        text = "\n".join(words)
+        if self._high.search(text):
+            low = [w for w in words if not self._high.search(w)]
+            found = dict(zip(low, self.letters(low)))
+            return [found.get(w) for w in words]
+        # code points this low have no lower case that looks at other words
+        text = text.lower()
+        lower = text.split("\n")
+        shown = lower if text.isascii() else text.encode().decode("latin-1").translate(self._bytes).split(self._break)
+        return [p if w.isalpha() else None for w, p in zip(lower, shown)]
+
     def pieces(self, unit: str) -> list[str]:
         """The pre-tokens of a unit that is no special string."""
         if unit.isascii():
@@ -125,6 +146,18 @@ def bare_model(path: str):
     return Tokenizer.from_str(json.dumps(spec | none | {"added_tokens": []}))
 
 
+def _joined(parts: list[bytes], codes: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The parts that the codes name, end to end, for each run of codes from one of ``ends`` to the next; parts are whole 32-bit numbers."""
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    table = np.frombuffer(b"".join(parts), "<u4")
+    long = size[codes]
+    to = np.append(0, np.cumsum(long))
+    place = np.repeat((np.cumsum(size) - size)[codes] - to[:-1], long)
+    place += np.arange(len(place))
+    raw, bounds = table[place].tobytes(), (4 * to[ends]).tolist()
+    return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 class UnitCache:
     """Encodes texts slice by slice, each distinct unit and pre-token of a slice once, and keeps encodings between slices.
 
@@ -140,27 +173,52 @@ class UnitCache:
         self._old_units: dict[str, bytes] = {}
         self._old_pieces: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None], encode: Callable[[set[str]], Iterable[tuple[str, bytes]]]) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array, encode: Callable[[set[str]], Iterable[tuple[str, bytes]]]) -> list[bytes]:
         """Little-endian 32-bit ids of each whole text, end to end; ``encode`` gives those of distinct pre-tokens."""
+        collects = gc.isenabled()
+        gc.disable()  # many small objects and no cycles: there is nothing to look for
+        try:
+            return self._encode(texts, encode)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts, encode) -> list[bytes]:
         special, kept, pieces = self.cut.special, self._units, self._pieces
-        units = [self.cut.units(t) for t in texts]
-        lacking = set().union(*units).difference(kept)
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        # Arrow cuts where str.split does; texts that need other cuts are cut one by one
+        odd = pc.or_(pc.match_substring(column, "<|"), pc.match_substring_regex(column, EXTRA_CUTS.pattern))
+        at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        cuts = [self.cut.units(column[int(i)].as_py()) for i in at]
+        split = pc.utf8_split_whitespace(pc.if_else(odd, "", column) if len(at) else column)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        lacking = set(distinct).union(*cuts).difference(kept, ("",))
         again = lacking.intersection(self._old_units)
         kept.update(zip(again, map(self._old_units.__getitem__, again)))
         lacking -= again
-        plain = [u for u in lacking if u.isascii() and u.isalpha()]  # most units are one pre-token
-        lower = [u.lower() for u in plain]
-        mixed = [(u, self.cut.pieces(u)) for u in lacking.difference(plain, special)]
-        wanted = set(lower).union(*[ps for _, ps in mixed]).difference(pieces)
+        # most units are one pre-token, or one and a full stop or comma
+        rest = lacking.difference(special)
+        ended = [u for u in rest if u[-1] in ".,"]
+        bare = list(rest.difference(ended))
+        ends = [u[-1] for u in ended]
+        words = self.cut.letters(bare + [u[:-1] for u in ended])
+        mixed = [(u, self.cut.pieces(u)) for u, w in zip(bare + ended, words) if w is None]
+        wanted = set(words).union(ends, *[ps for _, ps in mixed]).difference(pieces, (None,))
         again = wanted.intersection(self._old_pieces)
         pieces.update(zip(again, map(self._old_pieces.__getitem__, again)))
         pieces.update(encode(wanted - again))
+        pieces[None] = b""  # of the mixed ones, which follow
         get = pieces.__getitem__
-        kept.update(zip(plain, map(get, lower)))
+        kept.update(zip(bare, map(get, words)))
+        kept.update(zip(ended, map(add, map(get, words[len(bare):]), map(get, ends))))
         kept.update((u, b"".join(map(get, ps))) for u, ps in mixed)
+        del pieces[None]
         kept.update((u, special[u].to_bytes(4, "little")) for u in lacking.intersection(special))
+        out = _joined([kept[u] if u else b"" for u in distinct], coded.indices.to_numpy(), split.offsets.to_numpy())
         get = kept.__getitem__
-        out = [b"".join(map(get, us)) for us in units]
+        for i, us in zip(at.tolist(), cuts):
+            out[i] = b"".join(map(get, us))
         if len(kept) > self._most:
             self._units, self._old_units = {}, kept
         if len(pieces) > self._most_pieces:

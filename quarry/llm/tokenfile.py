@@ -21,6 +21,7 @@ it; ``start`` follows from a running sum over shards and segments.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.bpe import slices
 from quarry.llm.frames import col
-from quarry.llm.pieces import Cutter, UnitCache, bare_model, held
+from quarry.llm.pieces import Cutter, UnitCache, bare_model, byte_alphabet, held
 from quarry.operators.util import bounded_broadcast
 
 # fixed values: ids per word and bits per id, by selector
@@ -59,13 +60,15 @@ def pack(ids: np.ndarray) -> bytes:
     widest = int(ids.max()) + 1 if n else 0
     small = padded.astype(np.uint32)
     before = np.zeros(len(padded) + 1, np.int32)
+    escape, better, cost = np.empty(len(padded), bool), np.empty(width, bool), np.empty(width, np.float32)
     for s, (c, b) in enumerate(zip(COUNTS, BITS)):
-        np.cumsum(small >= np.uint32(min((1 << b) - 1, LIMIT - 1)), out=before[1:])
-        cost = (before[c: c + width] - before[:width]).astype(np.float32)
+        np.greater_equal(small, np.uint32(min((1 << b) - 1, LIMIT - 1)), out=escape)
+        np.cumsum(escape, out=before[1:])
+        np.subtract(before[c: c + width], before[:width], out=cost, casting="unsafe")
         cost *= np.float32(4 / c)
         cost += np.float32(8 / c)
-        better = cost < least
-        best[better] = s
+        np.less(cost, least, out=better)
+        np.copyto(best, np.int8(s), where=better)
         np.minimum(least, cost, out=least)
         if widest < 1 << b:  # nothing escapes: words of fewer ids only cost more
             break
@@ -148,16 +151,31 @@ class LibraryIds:
         self.cut = Cutter(path, model=False)
         self._model = bare_model(path)
         self._units = UnitCache(self.cut, KEEP, KEEP)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share out the cores
+        vocab, end = self._model.get_vocab(), self._model.model.end_of_word_suffix
+        # a pre-token's last token shows that it is the last, where every byte has such a token
+        self._last = None
+        if end and all(c + end in vocab for c in byte_alphabet().values()):
+            self._last = np.zeros(max(vocab.values()) + 1, bool)
+            self._last[[i for t, i in vocab.items() if t.endswith(end)]] = True
 
     def _ids(self, pieces: set[str]) -> Iterator[tuple[str, bytes]]:
         """Each pre-token with its ids: all of them are one sequence of words to the library."""
         words = list(pieces)
-        found = self._model.encode(words, is_pretokenized=True, add_special_tokens=False)
-        raw = np.array(found.ids, "<u4").tobytes()
-        ends = (4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words)), side="right")).tolist()
+        if not words:
+            return iter(())
+        ends = None
+        if self._last is not None:  # the fast call gives ids alone
+            ids = np.array(self._model.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self._last[ids]) + 1
+        if ends is None or len(ends) != len(words):
+            found = self._model.encode(words, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words)), side="right")
+        raw, ends = ids.astype("<u4").tobytes(), (4 * ends).tolist()
         return zip(words, map(raw.__getitem__, map(slice, [0, *ends], ends)))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Ids of each whole text, end to end."""
         return self._units.encode(texts, self._ids)
 
@@ -192,7 +210,7 @@ def write_tokens(docs: DataFrame, to: str, path: str, end_id: int, text: str = "
                             ("n_tokens", pa.list_(pa.int32())), ("payload", pa.binary())])
         for whole in batches:
             for batch in slices(whole, "text", SEGMENT_BYTES):
-                raw = [r + last for r in enc.encode(batch.column("text").to_pylist())]
+                raw = [r + last for r in enc.encode(batch.column("text"))]
                 ids = np.frombuffer(b"".join(raw), "<u4")
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(ids)]),
                                                   pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),

@@ -151,3 +151,29 @@ def test_small_generations_do_not_change_ids():
         got = enc.encode(texts[at:at + 5])
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library_ids(t) for t in texts[at:at + 5]]
         assert len(enc._units._units) <= 4 and len(enc._units._pieces) <= 3
+
+
+def test_arrow_texts_are_encoded_as_the_library_does():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from quarry.llm.pieces import Cutter
+    from quarry.llm.q_tokens import tokenizer_path
+    from quarry.llm.tokenfile import LibraryIds
+
+    path = tokenizer_path()
+    library = Tokenizer.from_file(path)
+    draw = random.Random(5)
+    marks = [*"abcAB.,.,$& éñÑßİıĊċΣσς漢😀\x1c\x1f́\n\t-_'0²ªº", "　", "<|endoftext|>", "</w>", "word", "Straße", "..."]
+    texts = [None, "", " ", ".", ","] + ["".join(draw.choices(marks, k=draw.randint(1, 40))) for _ in range(3_000)]
+    enc = LibraryIds(path)
+    for i in range(0, len(texts), 700):
+        part = texts[i:i + 700]
+        want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+        assert enc.encode(pa.array(part, pa.string())) == enc.encode(part) == want
+    cut = Cutter(path, model=False)
+    words = ["Word", "Straße", "İ", "Ċ", "a1", "漢", "ª", "a."]
+    assert [[w] for w in cut.letters(words) if w] == [cut.pieces(u) for u, w in zip(words, cut.letters(words)) if w]
+    assert cut.letters([]) == [] and cut.letters(["a."]) == [None]
