@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from quarry.llm.frames import without
-from quarry.llm.pieces import Cutter, UnitCache, bounded, byte_alphabet, held
+from quarry.llm.pieces import Cutter, UnitCache, bounded, byte_alphabet, give_back, held
 
 #: Distinct units and pre-tokens of a generation, and pairs of tokens, that a Python worker keeps.
 KEEP, KEEP_PIECES, KEEP_PAIRS = 110_000, 80_000, 120_000
@@ -193,7 +193,7 @@ class Encoder:
         self._strings = pa.array([self.words.get(i) for i in range(max(self.words) + 1)], pa.string())
         self._units = UnitCache(self.cut, KEEP, KEEP_PIECES)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each text, end to end."""
         return self._units.encode(texts, lambda words: ((w, array("I", ids).tobytes()) for w, ids in encode_words(words, self.merges)))
 
@@ -242,13 +242,15 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", decode: bool =
         enc = encoder(path)
         for whole in batches:
             for batch in slices(whole, text):
-                raw = enc.encode(batch.column(text).to_pylist())
+                raw = enc.encode(batch.column(text))
                 flat = np.frombuffer(b"".join(raw), "<i4")
                 ends = np.cumsum([0, *(len(r) // 4 for r in raw)], dtype=np.int32)
                 new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
                 if decode:
                     new.append(enc.decode_all(ends, flat))
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *("ids", "decoded")[: len(new)]])
+                del raw, flat, ends, new
+                give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -9,6 +9,7 @@ wherever that unit occurs.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import json
 import re
@@ -38,10 +39,20 @@ def held(name, make):
     """
     if name not in _HELD:
         _HELD.clear()
+        give_back()
         _HELD[name] = make()
+        give_back()  # what the making alone took
     return _HELD[name]
 
 
+def give_back() -> None:
+    """Hands to the system what Arrow's and the C library's allocators have free: they keep it otherwise, in every worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def bounded(limit: int):
     """A dict class that starts afresh when it holds ``limit`` entries."""
 

@@ -1,6 +1,9 @@
 """Operators 2, 6 and 10 against the tokenizers library and round trips."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -177,3 +180,50 @@ def test_arrow_texts_are_encoded_as_the_library_does():
     words = ["Word", "Straße", "İ", "Ċ", "a1", "漢", "ª", "a."]
     assert [[w] for w in cut.letters(words) if w] == [cut.pieces(u) for u, w in zip(words, cut.letters(words)) if w]
     assert cut.letters([]) == [] and cut.letters(["a."]) == [None]
+
+
+HELD_MEMORY = """
+import random, sys
+import pandas, pyarrow as pa, pyspark.sql
+from quarry.llm import bpe, pieces
+
+def own():
+    lines = open("/proc/self/smaps_rollup").read().splitlines()
+    return next(int(x.split()[1]) for x in lines if x.startswith("Pss_Anon")) / 1024
+
+class Docs:  # as the operator sees a table: its function runs here, over batches of ours
+    schema = pyspark.sql.types.StructType()
+    columns = []
+    def select(self, *names):
+        return self
+    def mapInArrow(self, fn, schema):
+        self.fn = fn
+        return self
+
+rnd = random.Random(1)
+words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 9))) for _ in range(60000)]
+def batches():
+    for _ in range(12):
+        yield pa.RecordBatch.from_pydict({"text": [" ".join(rnd.choices(words, k=400)) for _ in range(800)]})
+
+pieces.held("before", lambda: [b"%500d" % i for i in range(200_000)])  # 100 MB of another operator
+pin = bytes(1000)
+run = bpe.encode_decode(Docs(), sys.argv[1]).fn
+before = own()
+most = rows = 0
+for out in run(batches()):
+    rows += len(out.column("ids"))
+    del out
+    most = max(most, own())
+assert rows == 9600
+print(before, most, own())
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="Linux tells a process's own memory there")
+def test_worker_gives_back_memory_that_it_does_not_use():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    said = subprocess.run([sys.executable, "-c", HELD_MEMORY, PATH], cwd=root, capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0, said.stderr
+    before, most, after = map(float, said.stdout.split())
+    assert after - before < 30 and most - before < 80
