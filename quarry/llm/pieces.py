@@ -14,6 +14,7 @@ import gc
 import json
 import re
 from collections.abc import Callable, Iterable
+from itertools import chain, filterfalse
 from operator import add
 
 import numpy as np
@@ -204,29 +205,37 @@ class UnitCache:
         split = pc.utf8_split_whitespace(pc.if_else(odd, "", column) if len(at) else column)
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        lacking = set(distinct).union(*cuts).difference(kept, ("",))
-        again = lacking.intersection(self._old_units)
+        # what is asked for is looked up, one by one; no set of all of it is made
+        lacking = set(filterfalse(kept.__contains__, chain(distinct, *cuts)))
+        lacking.discard("")
+        again = list(filter(self._old_units.__contains__, lacking))
         kept.update(zip(again, map(self._old_units.__getitem__, again)))
-        lacking -= again
+        lacking.difference_update(again)
+        named = [u for u in special if u in lacking]
+        lacking.difference_update(named)
         # most units are one pre-token, or one and a full stop or comma
-        rest = lacking.difference(special)
-        ended = [u for u in rest if u[-1] in ".,"]
-        bare = list(rest.difference(ended))
+        bare: list[str] = []
+        ended: list[str] = []
+        for u in lacking:
+            (ended if u[-1] in ".," else bare).append(u)
         ends = [u[-1] for u in ended]
         words = self.cut.letters(bare + [u[:-1] for u in ended])
-        mixed = [(u, self.cut.pieces(u)) for u, w in zip(bare + ended, words) if w is None]
-        wanted = set(words).union(ends, *[ps for _, ps in mixed]).difference(pieces, (None,))
-        again = wanted.intersection(self._old_pieces)
-        pieces.update(zip(again, map(self._old_pieces.__getitem__, again)))
-        pieces.update(encode(wanted - again))
+        mixed = [(u, self.cut.pieces(u)) for u, w in zip(chain(bare, ended), words) if w is None]
         pieces[None] = b""  # of the mixed ones, which follow
+        wanted = set(filterfalse(pieces.__contains__, chain(words, ends, *[ps for _, ps in mixed])))
+        again = list(filter(self._old_pieces.__contains__, wanted))
+        pieces.update(zip(again, map(self._old_pieces.__getitem__, again)))
+        wanted.difference_update(again)
+        pieces.update(encode(wanted))
         get = pieces.__getitem__
         kept.update(zip(bare, map(get, words)))
         kept.update(zip(ended, map(add, map(get, words[len(bare):]), map(get, ends))))
         kept.update((u, b"".join(map(get, ps))) for u, ps in mixed)
         del pieces[None]
-        kept.update((u, special[u].to_bytes(4, "little")) for u in lacking.intersection(special))
-        out = _joined([kept[u] if u else b"" for u in distinct], coded.indices.to_numpy(), split.offsets.to_numpy())
+        kept.update((u, special[u].to_bytes(4, "little")) for u in named)
+        kept[""] = b""
+        out = _joined(list(map(kept.__getitem__, distinct)), coded.indices.to_numpy(), split.offsets.to_numpy())
+        del kept[""]
         get = kept.__getitem__
         for i, us in zip(at.tolist(), cuts):
             out[i] = b"".join(map(get, us))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.bpe import slices
 from quarry.llm.frames import col
-from quarry.llm.pieces import Cutter, UnitCache, bare_model, byte_alphabet, held
+from quarry.llm.pieces import Cutter, UnitCache, bare_model, byte_alphabet, give_back, held
 from quarry.operators.util import bounded_broadcast
 
 # fixed values: ids per word and bits per id, by selector
@@ -44,6 +44,30 @@ BLOCK = 256
 MAGIC = b"S8B1"
 LIMIT = 1 << 32
 SEGMENT_BYTES = 4 << 20
+#: Ids whose selectors are looked for at a time: few enough to stay in a core's cache.
+STRETCH = 16_384
+#: Text that is encoded at a time, in segments: common units are looked up once for all of it.
+ENCODE_BYTES = 3 * SEGMENT_BYTES
+
+
+def _selectors(ids: np.ndarray, widest: int) -> np.ndarray:
+    """The selector of the fewest bytes an id for a word that begins at each id but the last ``max(COUNTS)``; all are below ``widest``."""
+    width = len(ids) - max(COUNTS)
+    best, least = np.zeros(width, np.int8), np.full(width, np.inf, np.float32)
+    before = np.zeros(len(ids) + 1, np.int32)
+    escape, better, cost = np.empty(len(ids), bool), np.empty(width, bool), np.empty(width, np.float32)
+    for s, (c, b) in enumerate(zip(COUNTS, BITS)):
+        np.greater_equal(ids, np.uint32(min((1 << b) - 1, LIMIT - 1)), out=escape)
+        np.cumsum(escape, out=before[1:])
+        np.subtract(before[c: c + width], before[:width], out=cost, casting="unsafe")
+        cost *= np.float32(4 / c)
+        cost += np.float32(8 / c)
+        np.less(cost, least, out=better)
+        np.copyto(best, np.int8(s), where=better)
+        np.minimum(least, cost, out=least)
+        if widest < 1 << b:  # nothing escapes: words of fewer ids only cost more
+            break
+    return best
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -56,22 +80,11 @@ def pack(ids: np.ndarray) -> bytes:
     padded = np.zeros(width + max(COUNTS), np.uint64)
     padded[:n] = ids
     # best[i]: the selector of the fewest bytes an id for a word that begins at i
-    best, least = np.zeros(width, np.int8), np.full(width, np.inf, np.float32)
+    best = np.empty(width, np.int8)
     widest = int(ids.max()) + 1 if n else 0
     small = padded.astype(np.uint32)
-    before = np.zeros(len(padded) + 1, np.int32)
-    escape, better, cost = np.empty(len(padded), bool), np.empty(width, bool), np.empty(width, np.float32)
-    for s, (c, b) in enumerate(zip(COUNTS, BITS)):
-        np.greater_equal(small, np.uint32(min((1 << b) - 1, LIMIT - 1)), out=escape)
-        np.cumsum(escape, out=before[1:])
-        np.subtract(before[c: c + width], before[:width], out=cost, casting="unsafe")
-        cost *= np.float32(4 / c)
-        cost += np.float32(8 / c)
-        np.less(cost, least, out=better)
-        np.copyto(best, np.int8(s), where=better)
-        np.minimum(least, cost, out=least)
-        if widest < 1 << b:  # nothing escapes: words of fewer ids only cost more
-            break
+    for at in range(0, width, STRETCH):
+        best[at:at + STRETCH] = _selectors(small[at:at + STRETCH + max(COUNTS)], widest)
     at = np.arange(blocks, dtype=np.int64) * BLOCK
     end = np.minimum(at + BLOCK, n)
     live = np.arange(blocks)
@@ -209,13 +222,19 @@ def write_tokens(docs: DataFrame, to: str, path: str, end_id: int, text: str = "
         schema = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                             ("n_tokens", pa.list_(pa.int32())), ("payload", pa.binary())])
         for whole in batches:
-            for batch in slices(whole, "text", SEGMENT_BYTES):
-                raw = [r + last for r in enc.encode(batch.column("text"))]
-                ids = np.frombuffer(b"".join(raw), "<u4")
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(ids)]),
-                                                  pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                                                  pa.array([[len(r) // 4 for r in raw]], pa.list_(pa.int32())), pa.array([pack(ids)], pa.binary())], schema=schema)
-                segment += 1
+            for some in slices(whole, "text", ENCODE_BYTES):
+                encoded = enc.encode(some.column("text"))
+                at = 0
+                for batch in slices(some, "text", SEGMENT_BYTES):
+                    raw = [r + last for r in encoded[at:at + batch.num_rows]]
+                    at += batch.num_rows
+                    ids = np.frombuffer(b"".join(raw), "<u4")
+                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(ids)]),
+                                                      pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                                                      pa.array([[len(r) // 4 for r in raw]], pa.list_(pa.int32())), pa.array([pack(ids)], pa.binary())], schema=schema)
+                    segment += 1
+                del encoded, raw, ids
+                give_back()
 
     ordered.mapInArrow(run, SEGMENT).write.mode("error").option("compression", "none").parquet(to)
 

@@ -227,3 +227,33 @@ def test_worker_gives_back_memory_that_it_does_not_use():
     assert said.returncode == 0, said.stderr
     before, most, after = map(float, said.stdout.split())
     assert after - before < 30 and most - before < 80
+
+
+def test_selectors_do_not_depend_on_the_stretch(monkeypatch):
+    draw = np.random.default_rng(3)
+    ids = (2.0 ** draw.uniform(0, 32, 5_000)).astype(np.uint32)
+    ids[1_000:2_000] = 0
+    want = tokenfile.pack(ids)
+    for stretch in (tokenfile.BLOCK, 1_000, 100_000):
+        monkeypatch.setattr(tokenfile, "STRETCH", stretch)
+        assert tokenfile.pack(ids) == want
+    assert (tokenfile.unpack(want) == ids).all()
+
+
+def test_known_units_are_looked_up_without_sets_of_all():
+    """A slice of units that are kept already asks the old generation and the pieces for nothing."""
+    from quarry.llm.pieces import UnitCache
+
+    class Asked(dict):
+        def __iter__(self):
+            raise AssertionError("the whole generation is gone through")
+
+        keys = __iter__
+
+    enc = tokenfile.LibraryIds(PATH)
+    enc._units = UnitCache(enc.cut, 100, 100)
+    texts = ["one two, three. <|endoftext|> four5", None, "", "one ünï"]
+    want = [library_ids(t) for t in texts]
+    enc._units._old_units, enc._units._old_pieces = Asked(gone=b""), Asked(gone=b"")
+    for _ in range(2):
+        assert [np.frombuffer(g, "<u4").tolist() for g in enc.encode(texts)] == want
