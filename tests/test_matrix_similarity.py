@@ -182,6 +182,17 @@ def test_range_finder_equals_numpy(spark, k, block):
     assert np.allclose(rows @ rows.T, (u[:, : len(s)] * sv[: len(s)] ** 2) @ u[:, : len(s)].T, atol=1e-7)
 
 
+def test_range_finder_adds_blocks_until_the_range_is_exhausted(spark, monkeypatch):
+    """No number of blocks ends the whole SVD early."""
+    from quarry.operators import svd
+
+    monkeypatch.setattr(svd, "BLOCKS", 3, raising=False)
+    x = np.random.default_rng(4).random((12, 20))
+    df = spark.createDataFrame([(i, f"t{j}", float(x[i, j])) for i in range(12) for j in range(20)], "doc_id long, term string, tfidf double")
+    _, s = svd.truncated_svd(df, None, block=2)
+    assert len(s) == 12 and np.allclose(s, np.linalg.svd(x, compute_uv=False), rtol=0, atol=1e-9)
+
+
 def test_range_finder_of_nothing(spark):
     from quarry.operators.svd import truncated_svd
 
