@@ -193,6 +193,33 @@ def test_range_finder_adds_blocks_until_the_range_is_exhausted(spark, monkeypatc
     assert len(s) == 12 and np.allclose(s, np.linalg.svd(x, compute_uv=False), rtol=0, atol=1e-9)
 
 
+def test_columns_travel_a_few_at_a_time(spark, monkeypatch):
+    """A bound on what is on its way cuts a block's columns, not the result."""
+    from quarry.operators import svd
+
+    x = np.random.default_rng(8).random((9, 14))
+    df = spark.createDataFrame([(i, f"t{j:02d}", float(x[i, j])) for i in range(9) for j in range(14)], "doc_id long, term string, tfidf double")
+    sent, matrix = [], svd._through
+
+    def through(docs, table, old, width, columns):
+        def counted(a, b):
+            sent.append(b - a)
+            return columns(a, b)
+
+        return matrix(docs, table, old, width, counted)
+
+    monkeypatch.setattr(svd, "_through", through)
+    monkeypatch.setattr(svd, "MOVED", 14 * 8 * 3)
+    us, s = svd.truncated_svd(df, None, block=5)
+    assert set(sent) <= {1, 2, 3} and 3 in sent and 2 in sent
+    u, sv, _ = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(s, sv, rtol=0, atol=1e-9)
+    rows = np.zeros((9, len(s)))
+    for r in us.collect():
+        rows[r["doc_id"]] = r["us"]
+    assert np.allclose(rows @ rows.T, x @ x.T, atol=1e-7)
+
+
 def test_range_finder_of_nothing(spark):
     from quarry.operators.svd import truncated_svd
 
